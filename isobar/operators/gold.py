@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from isobar.specs import CELL_STATS, REGION_STATS
+from isobar.specs import CELL_STATS, REGION_STATS, REGIONS, Region, region_frame
 
 BROADCAST_REGIONS = 10_000
 BIN_DEGREES = 5.0
@@ -12,18 +14,25 @@ BIN_DEGREES = 5.0
 STATISTICS = {"mean": F.avg, "min": F.min, "max": F.max}
 
 
-def assign_regions(df: DataFrame, regions: DataFrame, broadcast_rows: int = BROADCAST_REGIONS) -> DataFrame:
+def assign_regions(
+    df: DataFrame, regions: Sequence[Region] | DataFrame = REGIONS, broadcast_rows: int = BROADCAST_REGIONS
+) -> DataFrame:
     """One row per observation and region box containing it, both ends inclusive.
 
-    A counted, small set of boxes is broadcast and tested next to the scan. Beyond
-    ``broadcast_rows`` boxes, both sides meet on a coarse latitude/longitude bin instead.
+    Boxes declared in code have a known number, those of a table are counted first. Up to
+    ``broadcast_rows`` of them are broadcast and tested next to the scan; beyond that, both
+    sides meet on a coarse latitude/longitude bin.
     """
+    if isinstance(regions, DataFrame):
+        boxes, few = regions, regions.limit(broadcast_rows + 1).count() <= broadcast_rows
+    else:
+        boxes, few = region_frame(df.sparkSession, tuple(regions)), len(regions) <= broadcast_rows
     lat, lon = F.col("latitude"), F.col("longitude")
     inside = lat.between(F.col("lat_min"), F.col("lat_max")) & lon.between(F.col("lon_min"), F.col("lon_max"))
-    if regions.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        joined = df.join(F.broadcast(regions), inside)
+    if few:
+        joined = df.join(F.broadcast(boxes), inside)
     else:
-        joined = _meet_on_bins(df, regions).where(inside).drop("lat_bin", "lon_bin")
+        joined = _meet_on_bins(df, boxes).where(inside).drop("lat_bin", "lon_bin")
     return joined.drop("lat_min", "lat_max", "lon_min", "lon_max")
 
 
@@ -55,7 +64,9 @@ def daily_rollup(silver: DataFrame, stats: dict[str, tuple[str, ...]] = CELL_STA
 
 
 def regional_rollup(
-    silver: DataFrame, regions: DataFrame, stats: dict[str, tuple[str, ...]] = REGION_STATS
+    silver: DataFrame,
+    regions: Sequence[Region] | DataFrame = REGIONS,
+    stats: dict[str, tuple[str, ...]] = REGION_STATS,
 ) -> DataFrame:
     """Per region and day, unweighted over all hours and cells of the box at once."""
     return assign_regions(silver, regions).groupBy("date", "region").agg(*_statistics(stats))

@@ -140,6 +140,10 @@ def gold_blockers() -> Column:
     return F.filter(F.array(*lacking), lambda name: name.isNotNull())
 
 
+def blocked_reason(blockers: str) -> str:
+    return f"Missing variable: {blockers}"
+
+
 def gold_ready(status: DataFrame) -> DataFrame:
     """Status rows of the days whose silver holds every gold input."""
     return status.where(F.col("passed") & (F.size(gold_blockers()) == 0))
@@ -158,7 +162,7 @@ def failed_days(status: DataFrame) -> DataFrame:
             "date",
             "stage",
             F.when(F.col("stage") == "silver", F.col("reason"))
-            .otherwise(F.concat(F.lit("Missing variable: "), F.array_join(blockers, ", ")))
+            .otherwise(F.concat(F.lit(blocked_reason("")), F.array_join(blockers, ", ")))
             .alias("reason"),
         )
     )

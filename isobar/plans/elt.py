@@ -28,7 +28,6 @@ from isobar.specs import (
     SOURCE_NAME,
     DatasetSpec,
     Region,
-    region_frame,
 )
 
 
@@ -167,14 +166,19 @@ class Elt:
         return sorted(r.date for r in rows.collect())
 
     def _finish(
-        self, records: DataFrame, layer: str, transformation: str, started: float, failures: DataFrame | None = None
+        self,
+        layer: str,
+        transformation: str,
+        started: float,
+        records: DataFrame,
+        done: DataFrame,
+        failures: DataFrame | None = None,
     ) -> None:
-        """Lineage of the written days, then their ledger entries."""
+        """Lineage of the written days, then the ledger entries of all days that were tried."""
         seconds = round(time.time() - started, 2)
         timed = records.withColumn("execution_duration_seconds", F.lit(seconds))
-        written = stage(lineage.conform(timed, lineage.LINEAGE))
-        tables.append_rows(written, self.at.lineage)
-        entries = lineage.ledger_rows(written, layer, transformation)
+        tables.append_rows(lineage.conform(timed, lineage.LINEAGE), self.at.lineage)
+        entries = lineage.ledger_rows(done, layer, transformation)
         if failures is not None:
             entries = entries.unionByName(
                 lineage.ledger_rows(failures, layer, transformation, lineage.FAILED, F.col("reason"))
@@ -197,7 +201,8 @@ class Elt:
         profile = quality.day_profile(self.bronze(pending).select(*columns), self.spec)
         tables.write_days(profile, self.at.profile)
         profile = self.profile(pending)
-        self._finish(lineage.bronze_lineage(profile, self.spec, self.source), "bronze", "bronze", started)
+        records = lineage.bronze_lineage(profile, self.spec, self.source)
+        self._finish("bronze", "bronze", started, records, profile)
         return pending
 
     def to_silver(self, days: list[date]) -> list[date]:
@@ -206,37 +211,45 @@ class Elt:
         if not pending:
             return pending
         started = time.time()
-        status = quality.day_status(self.profile(pending), self.spec)
+        status = stage(quality.day_status(self.profile(pending), self.spec))
         floats = [f.name for f in self._silver_schema().fields if isinstance(f.dataType, T.FloatType)]
-        silver = to_silver(self.bronze(pending), stage(status))
-        tables.write_days(tables.store_as_float(silver, floats), self.at.silver)
+        silver = to_silver(self.bronze(pending), status)
+        tables.write_days(tables.store_as_float(silver, floats), self.at.silver, laid_out=True)
         failures = lineage.failed_days(status).where("stage = 'silver'")
         records = lineage.silver_lineage(status, self.spec, self.source)
-        self._finish(records, "silver", "silver", started, failures)
+        self._finish("silver", "silver", started, records, status.where("passed"), failures)
         return pending
 
     def _rollup(self, transformation: str, ready: list[date]) -> DataFrame:
         silver = self.silver(ready)
         if transformation == "daily_regional":
-            return gold.regional_rollup(silver, region_frame(self.spark, self.regions))
+            return gold.regional_rollup(silver, self.regions)
         cells = gold.daily_rollup(silver)
         return tables.store_as_float(cells, [c for c in cells.columns if c.startswith(GOLD_INPUTS)])
 
+    def _gold_verdicts(self, days: list[date]) -> dict[date, str | None]:
+        """Why a passed day cannot reach gold, None where it can; at most one entry per listed day."""
+        status = quality.day_status(self.profile(days), self.spec)
+        blockers = F.array_join(lineage.gold_blockers(), ", ").alias("blockers")
+        rows = status.where("passed").select("date", blockers).collect()
+        return {r.date: lineage.blocked_reason(r.blockers) if r.blockers else None for r in rows}
+
     def to_gold(self, days: list[date]) -> tuple[dict[str, list[date]], dict[str, int]]:
         """Both rollups from silver. A day that lacks an input reaches neither table."""
         places = {
             "daily_global": (self.at.daily_global, self.daily_global, json.dumps("Global")),
             "daily_regional": (self.at.daily_regional, self.daily_regional, lineage.bounds_text(self.regions)),
         }
+        verdicts = self._gold_verdicts(days)
         handled: dict[str, list[date]] = {}
         counts: dict[str, int] = {}
         for transformation, (path, written, bounds) in places.items():
-            pending = self._pending(days, "gold", transformation)
-            status = quality.day_status(self.profile(pending), self.spec)
-            ready = sorted(r.date for r in lineage.gold_ready(status).collect())
-            blocked = lineage.failed_days(status).where("stage = 'gold'")
-            handled[transformation] = ready
             started = time.time()
+            pending = [d for d in self._pending(days, "gold", transformation) if d in verdicts]
+            ready = [d for d in pending if verdicts[d] is None]
+            handled[transformation] = ready
+            if not pending:
+                continue
             if ready:
                 rows = Observation(transformation)
                 rollup = self._rollup(transformation, ready).observe(rows, F.count(F.lit(1)).alias("rows"))
@@ -247,7 +260,9 @@ class Elt:
                 records = records.join(tables.day_sizes(self.spark, path), "date", "left")
             else:
                 records = self.spark.createDataFrame([], lineage.LINEAGE)
-            self._finish(records, "gold", transformation, started, blocked)
+            reasons = [(d, verdicts[d]) for d in pending if verdicts[d] is not None]
+            blocked = self.spark.createDataFrame(reasons, "date date, reason string")
+            self._finish("gold", transformation, started, records, self._requested(ready), blocked)
         return handled, counts
 
     def run(self, source: DataFrame, days: list[date]) -> RunReport:

@@ -14,7 +14,7 @@ from isobar.plans.elt import Elt
 from isobar.plans.marts import build_marts
 from isobar.session import configure, scratch_root, stage
 from isobar.sources import fixtures, grids, landing, tables
-from isobar.specs import HOURLY_GRID, region_frame
+from isobar.specs import HOURLY_GRID
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -279,7 +279,7 @@ def coarsen_grid(spark, sf_dir):
 
 @query
 def region_assign(spark, sf_dir):
-    assigned = gold.assign_regions(obs(spark, sf_dir), region_frame(spark))
+    assigned = gold.assign_regions(obs(spark, sf_dir))
     return assigned.select("region", "time", "latitude", "longitude", "temperature_2m")
 
 
@@ -291,7 +291,7 @@ def daily_global(spark, sf_dir):
 
 @query
 def daily_regional(spark, sf_dir):
-    regional = gold.regional_rollup(gold_silver_of(spark, sf_dir), region_frame(spark))
+    regional = gold.regional_rollup(gold_silver_of(spark, sf_dir))
     return rounded(regional, "wind_speed_10m_mean", "wind_speed_10m_max")
 
 

@@ -12,7 +12,6 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from isobar.operators.gold import assign_regions
-from isobar.specs import region_frame
 
 OBS_COLUMNS = {
     "time": "date_trunc('hour', ts)",
@@ -83,7 +82,7 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_regional(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-region daily table under its query names; feeds the SQL-layer reports only."""
     return (
-        assign_regions(daily(spark, sf_dir), region_frame(spark))
+        assign_regions(daily(spark, sf_dir))
         .groupBy("date", "region")
         .agg(
             F.avg("temperature_2m_mean").alias("temp_mean"),

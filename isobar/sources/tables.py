@@ -22,24 +22,31 @@ def store_as_float(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     )
 
 
+def _day_order(df: DataFrame) -> list[str]:
+    return [c for c in ("date", "latitude", "longitude", "time") if c in df.columns]
+
+
 def lay_out_days(df: DataFrame) -> DataFrame:
     """Bring the hours of a cell together, so that the daily rollup shrinks 24 to 1 before its shuffle.
 
     Rebalancing by day and latitude band lets adaptive execution split a band that is too
     large and merge bands that are too small; no task has to hold a hot day or cell whole.
     """
+    if "latitude" not in df.columns:
+        return df.hint("rebalance", F.col("date"))
     keyed = df.withColumn("latitude_band", F.floor(F.col("latitude") / LATITUDE_BAND))
-    spread = keyed.hint("rebalance", F.col("date"), F.col("latitude_band")).drop("latitude_band")
-    return spread.sortWithinPartitions("date", "latitude", "longitude", *(["time"] if "time" in df.columns else []))
+    return keyed.hint("rebalance", F.col("date"), F.col("latitude_band")).drop("latitude_band")
 
 
-def write_days(df: DataFrame, path: str) -> None:
-    """Replace exactly the days present in ``df``; other days stay untouched."""
-    if "latitude" in df.columns:
-        df = lay_out_days(df)
-    else:
-        df = df.hint("rebalance", F.col("date")).sortWithinPartitions("date")
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+def write_days(df: DataFrame, path: str, laid_out: bool = False) -> None:
+    """Replace exactly the days present in ``df``; other days stay untouched.
+
+    ``laid_out`` says that ``df`` is a row-by-row image of a table written this way. Its
+    tasks then write the files they read, without a shuffle.
+    """
+    spread = df if laid_out else lay_out_days(df)
+    ordered = spread.sortWithinPartitions(*_day_order(df))
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 
 def read_days(
