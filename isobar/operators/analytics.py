@@ -69,8 +69,17 @@ def rolling_mean(
 
 
 def top_days(df: DataFrame, by: list[Column], value: str, name: str, n: int) -> DataFrame:
-    """The ``n`` days with the highest value per group, ranked on the unrounded value; ties go to the earlier day."""
-    peaks = df.groupBy(*by, F.col("date").alias("day")).agg(F.max(value).alias("peak"))
+    """The ``n`` days with the highest value per group, ranked on the unrounded value; ties go to the earlier day.
+
+    Every task first keeps its own best ``n`` per group, so a hot group is small by the time it
+    is shuffled. Several rows of one day count as one, which a single best day needs no
+    aggregate for.
+    """
+    day, peak = F.col("date").alias("day"), F.col(value).alias("peak")
+    if n == 1:
+        peaks = df.select(*by, day, peak)
+    else:
+        peaks = df.groupBy(*by, day).agg(F.max(value).alias("peak"))
     keys = [c for c in peaks.columns if c not in ("day", "peak")]
     order = Window.partitionBy(*keys).orderBy(F.desc("peak"), F.asc("day"))
     return (

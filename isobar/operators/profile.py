@@ -9,68 +9,87 @@ from isobar.operators.audit import SQL_TYPES
 from isobar.session import stage
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-ACCURACY = 10_000
+SKETCH_SIZE = 4000
 
 
 def _numeric(field: T.StructField) -> bool:
     return isinstance(field.dataType, T.NumericType)
 
 
-def _moments(df: DataFrame, sketches: bool) -> tuple[DataFrame, list[Column]]:
-    """One wide aggregate, and the struct per column that turns it into rows.
+def _by_column(df: DataFrame, measures: list[Column], rows: list[Column]) -> DataFrame:
+    """One wide aggregate over the table, turned into one row per column."""
+    return df.agg(*measures).select(F.inline(F.array(*rows)))
 
-    All buffers are of fixed or bounded size (the sketches included), so the final merge
-    in a single task sees one small row per input task.
-    """
+
+def moments(df: DataFrame) -> DataFrame:
+    """Extremes, counts, mean and deviation of every column, in generated code throughout."""
     measures: list[Column] = [F.count(F.lit(1)).alias("_rows")]
     rows: list[Column] = []
     for field in df.schema.fields:
-        c = field.name
+        c, dtype = field.name, field.dataType.simpleString()
         measures += [F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max"), F.count(c).alias(f"{c}__n")]
         avg = std = F.lit(None).cast("double")
         if _numeric(field):
             value = F.col(c).cast("double")
             measures += [F.avg(value).alias(f"{c}__avg"), F.stddev_samp(value).alias(f"{c}__std")]
             avg, std = F.col(f"{c}__avg"), F.col(f"{c}__std")
-        parts = [
-            F.lit(c).alias("column_name"),
-            F.lit(SQL_TYPES.get(field.dataType.simpleString(), field.dataType.simpleString())).alias("column_type"),
-            F.col(f"{c}__min").cast("string").alias("min"),
-            F.col(f"{c}__max").cast("string").alias("max"),
-            avg.alias("avg"),
-            std.alias("std"),
-            F.col(f"{c}__n").alias("count"),
-            F.when(F.col("_rows") > 0, null_percentage(F.col(f"{c}__n"), F.col("_rows"))).alias("null_percentage"),
-        ]
-        if sketches:
-            measures.append(F.approx_count_distinct(c).alias(f"{c}__distinct"))
-            parts.append(F.col(f"{c}__distinct").alias("distinct_values"))
-            quartiles = F.lit(None).cast("array<double>")
-            if _numeric(field):
-                wanted = F.percentile_approx(F.col(c).cast("double"), list(QUARTILES.values()), ACCURACY)
-                measures.append(wanted.alias(f"{c}__quartiles"))
-                quartiles = F.col(f"{c}__quartiles")
-            parts += [quartiles[i].alias(q) for i, q in enumerate(QUARTILES)]
-        rows.append(F.struct(*parts))
-    return df.agg(*measures), rows
+        rows.append(
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.lit(SQL_TYPES.get(dtype, dtype.upper())).alias("column_type"),
+                F.col(f"{c}__min").cast("string").alias("min"),
+                F.col(f"{c}__max").cast("string").alias("max"),
+                avg.alias("avg"),
+                std.alias("std"),
+                F.col(f"{c}__n").alias("count"),
+                F.when(F.col("_rows") > 0, null_percentage(F.col(f"{c}__n"), F.col("_rows"))).alias("null_percentage"),
+            )
+        )
+    return _by_column(df, measures, rows)
+
+
+def sketches(df: DataFrame) -> DataFrame:
+    """Approximate distinct counts and quartiles: mergeable sketches of bounded size per task and column."""
+    measures: list[Column] = []
+    rows: list[Column] = []
+    for field in df.schema.fields:
+        c = field.name
+        measures.append(F.approx_count_distinct(c).alias(f"{c}__distinct"))
+        quartiles = F.lit(None).cast("array<double>")
+        if _numeric(field):
+            measures.append(F.kll_sketch_agg_double(F.col(c).cast("double"), F.lit(SKETCH_SIZE)).alias(f"{c}__sketch"))
+            sketch, wanted = F.col(f"{c}__sketch"), F.array(*[F.lit(q) for q in QUARTILES.values()])
+            filled = F.kll_sketch_get_n_double(sketch) > 0
+            quartiles = F.when(filled, F.kll_sketch_get_quantile_double(sketch, wanted))
+        rows.append(
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.col(f"{c}__distinct").alias("distinct_values"),
+                quartiles.alias("quartiles"),
+            )
+        )
+    return _by_column(df, measures, rows).select(
+        "column_name", "distinct_values", *[F.col("quartiles")[i].alias(q) for i, q in enumerate(QUARTILES)]
+    )
 
 
 def profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """Profile every column of a table.
 
-    By default distinct counts and quartiles are sketches, in one pass and one small shuffle.
-    ``exact`` counts every distinct value instead, which shuffles them all.
+    By default distinct counts and quartiles are sketches. They run as an aggregate of their
+    own: next to them, the extremes and moments would lose their generated code, which costs
+    more than reading the columns again. ``exact`` counts every distinct value instead, which
+    shuffles them all. The joined parts have one row per column of the table.
     """
-    totals, rows = _moments(df, sketches=not exact)
-    summary = totals.select(F.inline(F.array(*rows)))
     if not exact:
-        return summary
+        return moments(df).join(F.broadcast(sketches(df)), "column_name")
     counted = value_counts(df)
     distinct = counted.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_values"))
     quartiles = exact_quantiles(counted, QUARTILES)
     return (
-        summary.join(distinct, "column_name", "left")
-        .join(quartiles, "column_name", "left")
+        moments(df)
+        .join(F.broadcast(distinct), "column_name", "left")
+        .join(F.broadcast(quartiles), "column_name", "left")
         .withColumn("distinct_values", F.coalesce("distinct_values", F.lit(0)).cast("bigint"))
     )
 

@@ -61,6 +61,13 @@ def test_locations_are_whole_degrees(spark):
     assert str(rows[1].rlatitude) == "0.0"
 
 
+def test_days_of_a_location_count_once(spark):
+    df = cell_table(spark, (0, 10.25, 20.0, 0.0, 50.0), (0, 9.75, 20.0, 0.0, 49.0), (1, 10.0, 20.0, 0.0, 48.0))
+    for n in (1, 2):
+        rows = analytics.hottest_day_per_location(df, n=n).collect()
+        assert [(r.day.day, r.tmp_max, r["rank"]) for r in rows] == [(1, 50.0, 1), (2, 48.0, 2)][:n]
+
+
 def test_diurnal_range(spark):
     df = cell_table(spark, (0, 25.0, 0.0, 0.0, 20.5), (0, 60.0, 0.0, 0.0, 20.0), (1, 40.0, 0.0, 0.0, 30.0), (0, 61.0, 0.0, 0.0, 40.0))
     assert [r.latitude for r in analytics.diurnal_range(df, FIRST).collect()] == [25.0]
