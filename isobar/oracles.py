@@ -230,7 +230,8 @@ def _null_rows(table: str, columns: tuple[str, ...]) -> str:
     return union(
         [
             f"SELECT '{c}' AS variable, COUNT(*) AS total_elements, COUNT({c}) AS non_null_count,"
-            f" (1e0 - CAST(COUNT({c}) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE)) * 100e0 AS null_percentage FROM {table}"
+            f" CASE WHEN COUNT(*) > 0 THEN (1e0 - CAST(COUNT({c}) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE)) * 100e0 END"
+            f" AS null_percentage FROM {table}"
             for c in columns
         ]
     )

@@ -125,7 +125,7 @@ class Elt:
     def profile(self, days: list[date]) -> DataFrame:
         """The stored day profiles; no rows before the first run."""
         schema = quality.day_profile(self.spark.createDataFrame([], self._bronze_schema()), self.spec).schema
-        return tables.read_or_empty(self.spark, self.at.profile, schema).where(F.col("date").isin(days))
+        return tables.read_days(self.spark, self.at.profile, schema, days)
 
     def silver(self, days: list[date] | None = None) -> DataFrame:
         return tables.read_days(self.spark, self.at.silver, self._silver_schema(), days)

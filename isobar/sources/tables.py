@@ -49,12 +49,9 @@ def write_days(df: DataFrame, path: str, laid_out: bool = False) -> None:
     ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 
-def read_days(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, days: list[date] | None = None
-) -> DataFrame:
-    """Lazy read of a day table; ``days`` prunes partitions before any file is listed for the scan."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.parquet(path)
+def read_days(spark: SparkSession, path: str, schema: T.StructType, days: list[date] | None = None) -> DataFrame:
+    """Lazy read of a day table, without rows before its first write; ``days`` prunes partitions."""
+    df = read_or_empty(spark, path, schema)
     return df if days is None else df.where(F.col("date").isin(days))
 
 
