@@ -118,7 +118,8 @@ def exact_quantiles(counted: DataFrame, quantiles: dict[str, float]) -> DataFram
     """Interpolated quantiles of every numeric column without gathering a column anywhere.
 
     Rank positions are found per block from block totals; only the blocks that hold a wanted
-    rank are read again, and ranked inside.
+    rank are ranked inside. There are at most two of them per column and quantile, so they are
+    broadcast to the value counts, which are filtered where they lie.
     """
     numbers = counted.where(F.col("number").isNotNull())
     blocks = numbers.groupBy("column_name", "block").agg(F.sum("n").alias("block_n"))
@@ -142,7 +143,7 @@ def exact_quantiles(counted: DataFrame, quantiles: dict[str, float]) -> DataFram
         & (F.floor("position") < F.col("rows_before") + F.col("block_n"))
     )
     inside = Window.partitionBy("column_name", "block", "quantile").orderBy("number")
-    ranked = numbers.join(targets, ["column_name", "block"]).withColumn(
+    ranked = numbers.join(F.broadcast(targets), ["column_name", "block"]).withColumn(
         "last", F.col("rows_before") + F.sum("n").over(inside) - 1
     )
 

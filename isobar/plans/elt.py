@@ -31,6 +31,9 @@ from isobar.specs import (
 )
 
 
+HOURLY_COLUMNS = tuple(HOURLY_GRID.variable_names) + tuple(d.name for d in DERIVED)
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where the tables of one deployment live."""
@@ -146,9 +149,13 @@ class Elt:
         return tables.read_days(self.spark, self.at.daily_regional, schema)
 
     def views(self) -> dict[str, DataFrame]:
-        """The gold tables as the reports and the declared tests read them."""
+        """The gold tables as the reports and the declared tests read them.
+
+        The flat hourly table is a view: silver already holds exactly its rows.
+        """
         cells, regional = self.daily_global(), gold.regional_view(self.daily_regional())
         return {
+            "hourly_global": gold.hourly_table(self.silver(), HOURLY_COLUMNS),
             "daily_global": cells,
             "daily_regional": regional,
             "stg_daily_global": cells,

@@ -119,3 +119,27 @@ def test_staged_tables_know_their_size(spark):
 
 def test_reading_what_was_never_written(spark, root):
     assert tables.read_or_empty(spark, root, spark.range(1).schema).count() == 0
+
+
+def test_hot_day_is_split_into_several_files(spark, root):
+    """A third of all rows in one cell and day must not end up in one task."""
+    hot = F.col("id") % 3 == 0
+    df = spark.range(600_000).select(
+        F.when(hot, F.lit(MONDAY)).otherwise(F.date_add(F.lit(MONDAY), (F.col("id") % 20).cast("int"))).alias("date"),
+        F.when(hot, 10.0).otherwise(F.col("id") % 180 - 90.0).alias("latitude"),
+        F.when(hot, 20.0).otherwise(F.col("id") % 360 - 180.0).alias("longitude"),
+        F.timestamp_seconds(F.col("id") % 24 * 3600).alias("time"),
+        F.hash("id").cast("double").alias("temperature_2m"),
+    )
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advisory)
+    spark.conf.set(advisory, "512kb")
+    try:
+        tables.write_days(df, root)
+    finally:
+        spark.conf.set(advisory, before)
+    sizes = {r.date: r.files for r in tables.day_sizes(spark, root).collect()}
+    assert sizes[MONDAY] > 4
+    stored = spark.read.parquet(root)
+    assert stored.count() == 600_000
+    assert stored.agg(F.sum("temperature_2m")).first() == df.agg(F.sum("temperature_2m")).first()
