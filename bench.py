@@ -70,7 +70,7 @@ def main() -> None:
     days = observed_days(source)
     elt = Elt(spark, scratch_root(spark))
     timed("elt_run", lambda: elt.run(source, days))
-    timed("elt_rerun_nothing_pending", lambda: elt.run(source, days))
+    timed("elt_rerun_failed_days", lambda: elt.run(source, days))
 
     def audit_layers() -> None:
         for layer in (elt.bronze(), elt.silver()):

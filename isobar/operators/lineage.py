@@ -45,6 +45,9 @@ LINEAGE = T.StructType(
         T.StructField("execution_duration_seconds", T.DoubleType()),
     ]
 )
+JOURNAL = T.StructType(
+    [*LINEAGE.fields, T.StructField("status", T.StringType()), T.StructField("reason", T.StringType())]
+)
 # Fixed value: what the lineage of both gold tables states about their aggregation.
 AGGREGATION_LOGIC = json.dumps({"time": "1D", "metrics": ["mean", "min", "max"]})
 
@@ -182,6 +185,29 @@ def ledger_rows(
     )
 
 
+def journal_rows(records: DataFrame, failures: DataFrame | None, layer: str, transformation: str) -> DataFrame:
+    """Lineage of the finished days and the reasons of the failed ones, as entries of one table."""
+    entries = conform(records.withColumn("status", F.lit(OK)), JOURNAL)
+    if failures is None:
+        return entries
+    failed = (
+        failures.select("date", "reason")
+        .withColumn("layer", F.lit(layer))
+        .withColumn("transformation", F.lit(transformation))
+        .withColumn("ingestion_timestamp", F.current_timestamp())
+        .withColumn("status", F.lit(FAILED))
+    )
+    return entries.unionByName(conform(failed, JOURNAL))
+
+
+def journal_ledger(journal: DataFrame) -> DataFrame:
+    return conform(journal.withColumn("recorded_at", F.col("ingestion_timestamp")), LEDGER)
+
+
+def journal_lineage(journal: DataFrame) -> DataFrame:
+    return conform(journal.where(F.col("status") == OK), LINEAGE)
+
+
 def ledger_of(status: DataFrame) -> DataFrame:
     """The ledger a run over these days leaves behind.
 

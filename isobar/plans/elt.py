@@ -1,8 +1,8 @@
 """Landing to bronze to silver to gold for a list of days, one Spark job per table.
 
-Data is written first, lineage next and the ledger last, so that a run that dies half-way
-is repeated for exactly the days it did not finish. Days fail on their own: a failing day
-becomes a ledger entry and keeps the others going.
+Data is written first and its journal entry, lineage and ledger in one, last. A run that dies
+half-way is repeated for exactly the days it did not finish. Days fail on their own: a failing
+day becomes a journal entry and keeps the others going.
 """
 
 from __future__ import annotations
@@ -64,12 +64,8 @@ class Layout:
         return self.path("profile")
 
     @property
-    def ledger(self) -> str:
-        return self.path("ledger")
-
-    @property
-    def lineage(self) -> str:
-        return self.path("lineage")
+    def journal(self) -> str:
+        return self.path("journal")
 
 
 @dataclass(frozen=True)
@@ -98,11 +94,16 @@ class Elt:
 
     # tables
 
+    def journal(self) -> DataFrame:
+        return tables.read_or_empty(self.spark, self.at.journal, lineage.JOURNAL)
+
     def ledger(self) -> DataFrame:
-        return tables.read_or_empty(self.spark, self.at.ledger, lineage.LEDGER)
+        """Per table and day: finished or failed, and why."""
+        return lineage.journal_ledger(self.journal())
 
     def lineage(self) -> DataFrame:
-        return tables.read_or_empty(self.spark, self.at.lineage, lineage.LINEAGE)
+        """Per table and finished day: what was written, from what, when and how long it took."""
+        return lineage.journal_lineage(self.journal())
 
     def _bronze_schema(self) -> T.StructType:
         variables = [T.StructField(v, T.FloatType()) for v in self.spec.variable_names]
@@ -173,24 +174,12 @@ class Elt:
         return sorted(r.date for r in rows.collect())
 
     def _finish(
-        self,
-        layer: str,
-        transformation: str,
-        started: float,
-        records: DataFrame,
-        done: DataFrame,
-        failures: DataFrame | None = None,
+        self, layer: str, transformation: str, started: float, records: DataFrame, failures: DataFrame | None = None
     ) -> None:
-        """Lineage of the written days, then the ledger entries of all days that were tried."""
+        """Journal the days that were tried, in one append."""
         seconds = round(time.time() - started, 2)
         timed = records.withColumn("execution_duration_seconds", F.lit(seconds))
-        tables.append_rows(lineage.conform(timed, lineage.LINEAGE), self.at.lineage)
-        entries = lineage.ledger_rows(done, layer, transformation)
-        if failures is not None:
-            entries = entries.unionByName(
-                lineage.ledger_rows(failures, layer, transformation, lineage.FAILED, F.col("reason"))
-            )
-        tables.append_rows(lineage.conform(entries, lineage.LEDGER), self.at.ledger)
+        tables.append_rows(lineage.journal_rows(timed, failures, layer, transformation), self.at.journal)
 
     def to_bronze(self, source: DataFrame, days: list[date]) -> list[date]:
         """Copy the pending days of the landing table, replacing what an earlier attempt left.
@@ -209,7 +198,7 @@ class Elt:
         tables.write_days(profile, self.at.profile)
         profile = self.profile(pending)
         records = lineage.bronze_lineage(profile, self.spec, self.source)
-        self._finish("bronze", "bronze", started, records, profile)
+        self._finish("bronze", "bronze", started, records)
         return pending
 
     def to_silver(self, days: list[date]) -> list[date]:
@@ -224,7 +213,7 @@ class Elt:
         tables.write_days(tables.store_as_float(silver, floats), self.at.silver, laid_out=True)
         failures = lineage.failed_days(status).where("stage = 'silver'")
         records = lineage.silver_lineage(status, self.spec, self.source)
-        self._finish("silver", "silver", started, records, status.where("passed"), failures)
+        self._finish("silver", "silver", started, records, failures)
         return pending
 
     def _rollup(self, transformation: str, ready: list[date]) -> DataFrame:
@@ -269,7 +258,7 @@ class Elt:
                 records = self.spark.createDataFrame([], lineage.LINEAGE)
             reasons = [(d, verdicts[d]) for d in pending if verdicts[d] is not None]
             blocked = self.spark.createDataFrame(reasons, "date date, reason string")
-            self._finish("gold", transformation, started, records, self._requested(ready), blocked)
+            self._finish("gold", transformation, started, records, blocked)
         return handled, counts
 
     def run(self, source: DataFrame, days: list[date]) -> RunReport:

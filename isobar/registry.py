@@ -515,12 +515,12 @@ def list_tables(spark, sf_dir):
 def describe_daily_global(spark, sf_dir):
     cells = gold.daily_rollup(gold_silver_of(spark, sf_dir))
     metrics = [c for c in cells.columns if c.startswith(("temperature", "wind"))]
-    return audit.describe(tables.store_as_float(cells, metrics))
+    return audit.describe(tables.store_as_float(cells, metrics), counts=True)
 
 
 @query
 def describe_daily_regional(spark, sf_dir):
-    return audit.describe(fixtures.daily_regional(spark, sf_dir))
+    return audit.describe(fixtures.daily_regional(spark, sf_dir), counts=True)
 
 
 # whole runs
