@@ -1,9 +1,10 @@
-"""Command line: run the layers for a day or a range of days, build the marts, show a report.
+"""Command line: run the layers for a day or a range of days, build the marts, show a report or a query.
 
     python -m isobar run --landing PATH --root PATH --date 2015-01-15
     python -m isobar run --landing PATH --root PATH --start 2015-01-15 --end 2016-01-15
     python -m isobar marts --root PATH
     python -m isobar report rolling_7d --root PATH
+    python -m isobar sql "SELECT region, MAX(temp_max) FROM daily_regional GROUP BY region" --root PATH
 """
 
 from __future__ import annotations
@@ -19,6 +20,9 @@ from isobar.plans.marts import build_marts
 from isobar.plans.reports import REPORTS
 from isobar.session import configure
 from isobar.sources.landing import scan_observations
+from isobar.sources.tables import register_views
+
+SHOWN_ROWS = 1000
 
 
 def arguments() -> argparse.Namespace:
@@ -33,7 +37,9 @@ def arguments() -> argparse.Namespace:
     marts = commands.add_parser("marts", help="test the gold views and build the marts")
     report = commands.add_parser("report", help="print a report over the gold views")
     report.add_argument("name", choices=sorted(REPORTS))
-    for command in (run, marts, report):
+    sql = commands.add_parser("sql", help="print the result of a query over the gold views")
+    sql.add_argument("query")
+    for command in (run, marts, report, sql):
         command.add_argument("--root", required=True)
     parsed = parser.parse_args()
     if parsed.command == "run" and parsed.start and not parsed.end:
@@ -55,8 +61,11 @@ def main() -> None:
             print("All days processed.")
     elif asked.command == "marts":
         build_marts(spark, elt.views(), elt.at.path("marts"))
+    elif asked.command == "report":
+        REPORTS[asked.name](elt.views()).show(SHOWN_ROWS, truncate=False)
     else:
-        REPORTS[asked.name](elt.views()).show(1000, truncate=False)
+        register_views(spark, elt.views())
+        spark.sql(asked.query).show(SHOWN_ROWS, truncate=False)
 
 
 if __name__ == "__main__":

@@ -7,6 +7,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from isobar.functions.numeric import null_percentage
 from isobar.specs import HOURLY_GRID, NULL_THRESHOLD, ColumnSpec, DatasetSpec
 
+# The message texts; the observed value goes between the two halves of a bound's text.
+FAILED_TEXT = "Data Quality Validation Failed:\n"
+MISSING_TEXT = "Missing {kind}: '{name}'"
+BELOW_TEXT = ("{label} '{name}' min value ", " is below {bound}")
+ABOVE_TEXT = ("{label} '{name}' max value ", " is above {bound}")
+STEPS_TEXT = "Expected {steps} time steps, but found "
+NO_TIME_TEXT = "Missing 'time' dimension."
+
 
 def day_profile(obs: DataFrame, spec: DatasetSpec = HOURLY_GRID) -> DataFrame:
     """One row per day with all the gate, the null rule and lineage need.
@@ -53,15 +61,17 @@ def _finding(failed: Column, kind: str, target: str, observed: Column, bound: fl
 def _bound_findings(label: str, column: ColumnSpec) -> list[Column]:
     """Strict comparisons: a value equal to its bound passes, and so does a column without any value."""
     low, high = F.col(f"{column.name}__min"), F.col(f"{column.name}__max")
-    kind = label.lower()
-    findings = []
-    if column.lower is not None:
-        text = F.concat(F.lit(f"{label} '{column.name}' min value "), low, F.lit(f" is below {column.lower}"))
-        findings.append(_finding(low < column.lower, f"{kind}_min", column.name, low, column.lower, text))
-    if column.upper is not None:
-        text = F.concat(F.lit(f"{label} '{column.name}' max value "), high, F.lit(f" is above {column.upper}"))
-        findings.append(_finding(high > column.upper, f"{kind}_max", column.name, high, column.upper, text))
-    return findings
+    found = []
+    for side, observed, failed, bound, texts in (
+        ("min", low, low < column.lower if column.lower is not None else None, column.lower, BELOW_TEXT),
+        ("max", high, high > column.upper if column.upper is not None else None, column.upper, ABOVE_TEXT),
+    ):
+        if failed is None:
+            continue
+        before, after = (F.lit(t.format(label=label, name=column.name, bound=bound)) for t in texts)
+        message = F.concat(before, observed, after)
+        found.append(_finding(failed, f"{label.lower()}_{side}", column.name, observed, bound, message))
+    return found
 
 
 def findings(spec: DatasetSpec = HOURLY_GRID) -> Column:
@@ -72,14 +82,12 @@ def findings(spec: DatasetSpec = HOURLY_GRID) -> Column:
         kind = label.lower()
         for column in columns:
             absent = F.col(f"{column.name}__count").isNull()
-            text = F.lit(f"Missing {kind}: '{column.name}'")
+            text = F.lit(MISSING_TEXT.format(kind=kind, name=column.name))
             checks.append(_finding(absent, f"missing_{kind}", column.name, nothing, None, text))
             checks += _bound_findings(label, column)
     if spec.time_steps is not None:
         steps, wanted = F.col("n_times"), spec.time_steps
-        text = F.coalesce(
-            F.concat(F.lit(f"Expected {wanted} time steps, but found "), steps), F.lit("Missing 'time' dimension.")
-        )
+        text = F.coalesce(F.concat(F.lit(STEPS_TEXT.format(steps=wanted)), steps), F.lit(NO_TIME_TEXT))
         wrong = steps.isNull() | (steps != wanted)
         checks.append(_finding(wrong, "time_steps", "time", steps, float(wanted), text))
     return F.filter(F.array(*checks), lambda check: check.isNotNull())
@@ -130,7 +138,7 @@ def day_status(profile: DataFrame, spec: DatasetSpec = HOURLY_GRID, threshold: f
     """One row per day: did it pass, why not, and which variables it drops (``<variable>__drop``)."""
     found = findings(spec)
     messages = F.transform(found, lambda check: F.concat(F.lit("- "), check["message"]))
-    reason = F.concat(F.lit("Data Quality Validation Failed:\n"), F.array_join(messages, "\n"))
+    reason = F.concat(F.lit(FAILED_TEXT), F.array_join(messages, "\n"))
     return profile.select(
         "date",
         "n_rows",

@@ -190,15 +190,17 @@ class Elt:
         if not pending:
             return pending
         started = time.time()
-        landed = land_source.land(source.where(F.col("date").isin(pending)))
-        columns = [c for c in self._bronze_schema().fieldNames() if c in landed.columns]
-        rows = tables.store_as_float(landed.select(*columns), self.spec.variable_names)
-        tables.write_days(rows, self.at.bronze)
+        landed = land_source.days_slice(land_source.land(source), pending)
+        stored = [f for f in self._bronze_schema().fields if f.name in landed.columns]
+        columns = [f.name for f in stored]
+        tables.write_days(landed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in stored]), self.at.bronze)
         profile = quality.day_profile(self.bronze(pending).select(*columns), self.spec)
         tables.write_days(profile, self.at.profile)
         profile = self.profile(pending)
         records = lineage.bronze_lineage(profile, self.spec, self.source)
-        self._finish("bronze", "bronze", started, records)
+        empty = self._requested(pending).join(profile, "date", "left_anti")
+        failures = empty.withColumn("reason", F.lit("No observations for this day"))
+        self._finish("bronze", "bronze", started, records, failures)
         return pending
 
     def to_silver(self, days: list[date]) -> list[date]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from isobar.operators import analytics, audit
+from isobar.sources.tables import register_views
 
 
 def marts(views: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -15,7 +16,7 @@ def marts(views: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def build_marts(spark: SparkSession, views: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    """Test the staging views, then write each mart and return it as read back.
+    """Test the staging views, then write each mart, register it under its name and return it as read back.
 
     A failing test raises before anything is written.
     """
@@ -25,4 +26,5 @@ def build_marts(spark: SparkSession, views: dict[str, DataFrame], root: str) ->
         path = f"{root.rstrip('/')}/{name}"
         mart.write.mode("overwrite").parquet(path)
         built[name] = spark.read.schema(mart.schema).parquet(path)
+    register_views(spark, built)
     return built

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
 def clean(df: DataFrame) -> DataFrame:
@@ -34,14 +34,26 @@ def scan_observations(spark: SparkSession, path: str) -> DataFrame:
     return land(spark.read.parquet(path))
 
 
-def day_slice(df: DataFrame, day: date) -> DataFrame:
-    """One UTC calendar day.
+def _midnight(day: date) -> Column:
+    start = datetime.combine(day, datetime.min.time())
+    return F.lit(start).cast("timestamp_ntz").cast("timestamp")
+
+
+def days_slice(df: DataFrame, days: list[date]) -> DataFrame:
+    """The listed UTC calendar days.
 
     The test on ``date`` prunes partitions; the one on ``time`` reaches row-group statistics.
     """
-    start = datetime.combine(day, datetime.min.time())
-    first, after = (F.lit(t).cast("timestamp_ntz").cast("timestamp") for t in (start, start + timedelta(days=1)))
-    return df.where((F.col("date") == F.lit(day)) & (F.col("time") >= first) & (F.col("time") < after))
+    sliced = df.where(F.col("date").isin(days))
+    if not days or "time" not in df.columns:
+        return sliced
+    first, after = _midnight(min(days)), _midnight(max(days) + timedelta(days=1))
+    return sliced.where((F.col("time") >= first) & (F.col("time") < after))
+
+
+def day_slice(df: DataFrame, day: date) -> DataFrame:
+    """One UTC calendar day."""
+    return days_slice(df, [day])
 
 
 def concat_days(frames: list[DataFrame]) -> DataFrame:

@@ -82,7 +82,8 @@ def test_landing_without_a_variable_fails_its_days(elt, source):
 
 
 def test_days_that_never_landed_stay_pending(spark, elt, source):
-    elt.run(source, [GOOD, LATE])
+    report = elt.run(source, [GOOD, LATE])
+    assert report.failed == {LATE: "No observations for this day"}
     ledger = elt.ledger()
     requested = days_frame(spark, GOOD, LATE)
     assert days_of(lineage.pending(requested, ledger, "bronze", "bronze")) == [HOT, BARE, LATE]
@@ -91,6 +92,17 @@ def test_days_that_never_landed_stay_pending(spark, elt, source):
     assert days_of(audit.missing_days(requested, elt.daily_global())) == [HOT, BARE, LATE]
 
 
+def test_landing_types_are_brought_in_line(spark, elt, source):
+    loose = source.select(
+        F.col("time").cast("timestamp_ntz").alias("time"),
+        F.col("latitude").cast("float").alias("latitude"),
+        *[c for c in source.columns if c not in ("time", "latitude", "date")],
+    )
+    elt.run(loose, [GOOD])
+    assert elt.bronze().select("time").distinct().count() == 24
+    assert days_of(elt.daily_regional()) == [GOOD]
+
+
 def test_lineage(elt, source):
     elt.run(source, [GOOD, HOT])
     records = {(r.layer, r.transformation, r.date): r for r in elt.lineage().collect()}
@@ -105,6 +117,21 @@ def test_lineage(elt, source):
     assert ("silver", "silver", HOT) not in records
 
 
+def test_a_finished_layer_is_not_written_again(elt, source):
+    elt.run(source, [HOT])
+    elt.run(source.withColumn("temperature_2m", F.lit(1.0)), [HOT])
+    assert elt.bronze().agg(F.max("temperature_2m")).first()[0] == 60.0
+    assert days_of(elt.silver()) == []
+
+
+def test_views_answer_sql(spark, elt, source):
+    elt.run(source, [GOOD])
+    tables.register_views(spark, elt.views())
+    rows = spark.sql("SELECT region, MAX(temp_max) AS t FROM daily_regional GROUP BY region ORDER BY region").collect()
+    assert [tuple(r) for r in rows] == [("europe", 23.0), ("global", 23.0)]
+    assert spark.table("hourly_global").count() == 48
+
+
 def test_stored_schemas(elt, source):
     elt.run(source, [GOOD])
     assert dict(elt.daily_global().dtypes) == {
