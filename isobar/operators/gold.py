@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from isobar.specs import CELL_STATS, REGION_STATS, REGIONS, Region, region_frame
 
+INLINE_REGIONS = 8
 BROADCAST_REGIONS = 10_000
 BIN_DEGREES = 5.0
 
@@ -48,8 +49,35 @@ def _meet_on_bins(df: DataFrame, regions: DataFrame) -> DataFrame:
     return cells.join(boxes, ["lat_bin", "lon_bin"])
 
 
-def _statistics(stats: dict[str, tuple[str, ...]]) -> list[Column]:
-    return [STATISTICS[s](variable).alias(f"{variable}_{s}") for variable, names in stats.items() for s in names]
+def _named(stats: dict[str, tuple[str, ...]]) -> dict[str, tuple[str, str]]:
+    """``temperature_2m_mean`` and so on: the statistic and the variable behind each result column."""
+    return {f"{variable}_{s}": (s, variable) for variable, names in stats.items() for s in names}
+
+
+def aggregate_regions(
+    df: DataFrame, measures: dict[str, tuple[str, str]], regions: Sequence[Region] | DataFrame = REGIONS
+) -> DataFrame:
+    """Statistics per region and day; ``measures`` maps a result column to (statistic, column).
+
+    A handful of declared boxes become conditional aggregates: one pass that neither copies an
+    observation for each box it lies in nor joins anything. Other sets of boxes are joined.
+    """
+    if isinstance(regions, DataFrame) or len(regions) > INLINE_REGIONS:
+        plain = [STATISTICS[s](column).alias(name) for name, (s, column) in measures.items()]
+        return assign_regions(df, regions).groupBy("date", "region").agg(*plain)
+    wide: list[Column] = []
+    rows: list[Column] = []
+    for number, box in enumerate(regions):
+        inside = F.col("latitude").between(box.lat_min, box.lat_max) & F.col("longitude").between(
+            box.lon_min, box.lon_max
+        )
+        wide.append(F.count_if(inside).alias(f"{number}__cells"))
+        for name, (s, column) in measures.items():
+            wide.append(STATISTICS[s](F.when(inside, F.col(column))).alias(f"{number}__{name}"))
+        results = [F.col(f"{number}__{name}").alias(name) for name in measures]
+        rows.append(F.struct(F.lit(box.name).alias("region"), F.col(f"{number}__cells").alias("cells"), *results))
+    per_day = df.groupBy("date").agg(*wide).select("date", F.inline(F.array(*rows)))
+    return per_day.where(F.col("cells") > 0).drop("cells")
 
 
 def hourly_table(silver: DataFrame, variables: tuple[str, ...]) -> DataFrame:
@@ -60,7 +88,9 @@ def hourly_table(silver: DataFrame, variables: tuple[str, ...]) -> DataFrame:
 def daily_rollup(silver: DataFrame, stats: dict[str, tuple[str, ...]] = CELL_STATS) -> DataFrame:
     """Per cell and day; a cell whose values are all NULL keeps its row."""
     carried = [F.max("spatial_ref").alias("spatial_ref")] if "spatial_ref" in silver.columns else []
-    return silver.groupBy("date", "latitude", "longitude").agg(*carried, *_statistics(stats))
+    return silver.groupBy("date", "latitude", "longitude").agg(
+        *carried, *[STATISTICS[s](variable).alias(name) for name, (s, variable) in _named(stats).items()]
+    )
 
 
 def regional_rollup(
@@ -69,7 +99,7 @@ def regional_rollup(
     stats: dict[str, tuple[str, ...]] = REGION_STATS,
 ) -> DataFrame:
     """Per region and day, unweighted over all hours and cells of the box at once."""
-    return assign_regions(silver, regions).groupBy("date", "region").agg(*_statistics(stats))
+    return aggregate_regions(silver, _named(stats), regions)
 
 
 def regional_view(table: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from isobar.operators.gold import assign_regions
+from isobar.operators.gold import aggregate_regions
 
 OBS_COLUMNS = {
     "time": "date_trunc('hour', ts)",
@@ -81,13 +81,10 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_regional(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-region daily table under its query names; feeds the SQL-layer reports only."""
-    return (
-        assign_regions(daily(spark, sf_dir))
-        .groupBy("date", "region")
-        .agg(
-            F.avg("temperature_2m_mean").alias("temp_mean"),
-            F.max("temperature_2m_max").alias("temp_max"),
-            F.avg("wind_speed_10m_mean").alias("wind_speed_mean"),
-            F.max("wind_speed_10m_max").alias("wind_speed_max"),
-        )
-    )
+    measures = {
+        "temp_mean": ("mean", "temperature_2m_mean"),
+        "temp_max": ("max", "temperature_2m_max"),
+        "wind_speed_mean": ("mean", "wind_speed_10m_mean"),
+        "wind_speed_max": ("max", "wind_speed_10m_max"),
+    }
+    return aggregate_regions(daily(spark, sf_dir), measures)

@@ -80,3 +80,13 @@ def test_statistics_are_a_parameter(spark):
     df = silver(spark, [(50.0, 10.0, 1.0, 2.0), (50.0, 10.0, 3.0, 2.0)])
     got = gold.regional_rollup(df, stats={"temperature_2m": ("min", "mean", "max")}).where("region = 'europe'").first()
     assert (got.temperature_2m_min, got.temperature_2m_mean, got.temperature_2m_max) == (1.0, 2.0, 3.0)
+
+
+def test_conditional_aggregates_equal_the_join(spark):
+    rows = [(35.0 + i % 40, -20.0 + i % 70, None if i % 7 == 0 else i / 8, i % 50 / 8) for i in range(500)]
+    df = silver(spark, rows)
+    wanted = sorted(map(tuple, gold.regional_rollup(df, region_frame(spark)).collect()))
+    inline = gold.regional_rollup(df)
+    assert "Join" not in inline._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, inline.collect())) == wanted
+    assert gold.regional_rollup(df.where("latitude < 0")).count() == 0
