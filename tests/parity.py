@@ -33,7 +33,7 @@ def plain(value):
     if isinstance(value, date):
         return value.isoformat()
     if isinstance(value, float):
-        return repr(value + 0.0)
+        return repr(value)
     return str(value)
 
 
