@@ -34,6 +34,7 @@ def arguments() -> argparse.Namespace:
     days.add_argument("--date", type=date.fromisoformat, help="one day")
     days.add_argument("--start", type=date.fromisoformat, help="first day of a range")
     run.add_argument("--end", type=date.fromisoformat, help="last day of a range")
+    run.add_argument("--batch-days", type=int, help="days per job; all at once if not given")
     marts = commands.add_parser("marts", help="test the gold views and build the marts")
     report = commands.add_parser("report", help="print a report over the gold views")
     report.add_argument("name", choices=sorted(REPORTS))
@@ -53,7 +54,7 @@ def main() -> None:
     elt = Elt(spark, asked.root)
     if asked.command == "run":
         days = [asked.date] if asked.date else day_range(asked.start, asked.end)
-        report = elt.run(scan_observations(spark, asked.landing), days)
+        report = elt.run(scan_observations(spark, asked.landing), days, asked.batch_days)
         print(f"Total execution time: {report.seconds:.2f}s")
         if report.failed:
             print(f"{len(report.failed)} days failed: {sorted(d.isoformat() for d in report.failed)}")

@@ -168,10 +168,15 @@ class Elt:
     def _requested(self, days: list[date]) -> DataFrame:
         return self.spark.createDataFrame([(d,) for d in days], "date date")
 
-    def _pending(self, days: list[date], layer: str, transformation: str) -> list[date]:
-        """At most the days the caller listed; as literals they prune partitions statically."""
-        rows = lineage.pending(self._requested(days), self.ledger(), layer, transformation)
-        return sorted(r.date for r in rows.collect())
+    def _finished(self, days: list[date]) -> set[tuple[str, date]]:
+        """The tables each listed day has reached: at most one entry per table and listed day."""
+        entries = self.ledger().where((F.col("status") == lineage.OK) & F.col("date").isin(days))
+        return {(r.transformation, r.date) for r in entries.select("transformation", "date").distinct().collect()}
+
+    def _pending(self, days: list[date], transformation: str) -> list[date]:
+        """Listed days still to do; as literals they prune partitions statically."""
+        finished = self._finished(days)
+        return sorted(d for d in set(days) if (transformation, d) not in finished)
 
     def _finish(
         self, layer: str, transformation: str, started: float, records: DataFrame, failures: DataFrame | None = None
@@ -186,7 +191,7 @@ class Elt:
 
         The written days are profiled once; gate, null rule and lineage all read that profile.
         """
-        pending = self._pending(days, "bronze", "bronze")
+        pending = self._pending(days, "bronze")
         if not pending:
             return pending
         started = time.time()
@@ -205,7 +210,7 @@ class Elt:
 
     def to_silver(self, days: list[date]) -> list[date]:
         """Gate the pending days, then write those that passed."""
-        pending = self._pending(days, "silver", "silver")
+        pending = self._pending(days, "silver")
         if not pending:
             return pending
         started = time.time()
@@ -233,17 +238,18 @@ class Elt:
         return {r.date: lineage.blocked_reason(r.blockers) if r.blockers else None for r in rows}
 
     def to_gold(self, days: list[date]) -> tuple[dict[str, list[date]], dict[str, int]]:
-        """Both rollups from silver. A day that lacks an input reaches neither table."""
+        """Both rollups from finished silver days. A day that lacks an input reaches neither table."""
         places = {
             "daily_global": (self.at.daily_global, self.daily_global, json.dumps("Global")),
             "daily_regional": (self.at.daily_regional, self.daily_regional, lineage.bounds_text(self.regions)),
         }
-        verdicts = self._gold_verdicts(days)
+        finished = self._finished(days)
+        verdicts = self._gold_verdicts(sorted(d for d in set(days) if ("silver", d) in finished))
         handled: dict[str, list[date]] = {}
         counts: dict[str, int] = {}
         for transformation, (path, written, bounds) in places.items():
             started = time.time()
-            pending = [d for d in self._pending(days, "gold", transformation) if d in verdicts]
+            pending = sorted(d for d in verdicts if (transformation, d) not in finished)
             ready = [d for d in pending if verdicts[d] is None]
             handled[transformation] = ready
             if not pending:
@@ -263,13 +269,26 @@ class Elt:
             self._finish("gold", transformation, started, records, blocked)
         return handled, counts
 
-    def run(self, source: DataFrame, days: list[date]) -> RunReport:
-        """All layers for the listed days; days finished earlier are skipped table by table."""
+    def run(self, source: DataFrame, days: list[date], batch_days: int | None = None) -> RunReport:
+        """All layers for the listed days; days finished earlier are skipped table by table.
+
+        ``batch_days`` bounds the days per job. Each batch is journaled before the next one starts,
+        which limits both the shuffle files alive at a time and what a crash can cost.
+        """
         started = time.time()
-        handled = {"bronze": self.to_bronze(source, days), "silver": self.to_silver(days)}
-        gold_days, rows = self.to_gold(days)
-        handled.update(gold_days)
-        return RunReport(handled, rows, self.failed(days), round(time.time() - started, 2))
+        handled: dict[str, list[date]] = {}
+        rows: dict[str, int] = {}
+        ordered = sorted(set(days))
+        size = batch_days or max(len(ordered), 1)
+        for first in range(0, len(ordered), size):
+            batch = ordered[first : first + size]
+            done = {"bronze": self.to_bronze(source, batch), "silver": self.to_silver(batch)}
+            gold_days, written = self.to_gold(batch)
+            for table, dates in {**done, **gold_days}.items():
+                handled.setdefault(table, []).extend(dates)
+            for table, count in written.items():
+                rows[table] = rows.get(table, 0) + count
+        return RunReport(handled, rows, self.failed(ordered), round(time.time() - started, 2))
 
     def failed(self, days: list[date]) -> dict[date, str]:
         """Listed days whose latest entry for some table is a failure."""

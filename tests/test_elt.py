@@ -64,6 +64,24 @@ def test_days_arrive_one_after_another(elt, source):
     assert days_of(elt.daily_global()) == [GOOD]
 
 
+def test_batches_give_the_same_tables(spark, source, root):
+    days = [BARE, HOT, GOOD, LATE]
+    whole, batched = Elt(spark, root + "/whole"), Elt(spark, root + "/batched")
+    one, many = whole.run(source, days), batched.run(source, days, batch_days=1)
+    assert (one.days, one.rows, one.failed) == (many.days, many.rows, many.failed)
+    for read in (Elt.bronze, Elt.silver, Elt.daily_global, Elt.daily_regional):
+        assert sorted(map(str, read(whole).collect())) == sorted(map(str, read(batched).collect()))
+
+
+def test_gold_waits_for_finished_silver(spark, elt, source):
+    elt.to_bronze(source, [GOOD])
+    partial = elt_image(spark, elt, day_rows(GOOD, EUROPE, hours=3))
+    tables.write_days(partial, elt.at.silver)
+    assert elt.to_gold([GOOD]) == ({"daily_global": [], "daily_regional": []}, {})
+    elt.run(source, [GOOD])
+    assert elt.daily_global().first().temperature_2m_max == 23.0
+
+
 def test_half_written_day_is_repeated(spark, elt, source):
     tables.write_days(elt_image(spark, elt, day_rows(GOOD, EUROPE, hours=3)), elt.at.bronze)
     elt.run(source, [GOOD])
