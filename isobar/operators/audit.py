@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from isobar.functions.numeric import null_percentage
+from isobar.session import stage
 from isobar.specs import HOURLY_GRID
 
+SECONDS_PER_DAY = 86_400
+MASK_BITS = 62
 KEY_COLUMNS = ("latitude", "longitude", "spatial_ref", "date")
 
 # SQL names of the stored types, and the not-null tests declared on the gold views.
@@ -66,21 +69,58 @@ def extra_days(expected: DataFrame, df: DataFrame) -> DataFrame:
     return days_present(df).join(expected, "date", "left_anti")
 
 
-def duplicate_observations(obs: DataFrame, key: tuple[str, ...] = ("time", "latitude", "longitude")) -> DataFrame:
-    """Keys holding more than one row; counted before the shuffle, so a hot key travels as one row per task."""
-    return obs.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+def _cell_days(obs: DataFrame, steps: int) -> DataFrame:
+    """Per cell and day: how many rows, and which of the day's time steps they are on, as one bit each.
+
+    A time off the step grid, or any time where a day has more steps than there are bits, is
+    kept as a key of its own. ``n_rows > bit_count(on)`` then says exactly that some time is
+    there twice. On tables laid out by cell, a day of a cell is one row before the shuffle.
+    """
+    time = F.col("time")
+    at = F.unix_seconds(time) - F.unix_seconds(F.date_trunc("day", time))
+    slot = (at * steps / F.lit(SECONDS_PER_DAY)).cast("int")
+    if steps <= MASK_BITS:
+        off_grid = F.when((at * steps % SECONDS_PER_DAY != 0) | (F.date_trunc("second", time) != time), time)
+        on = F.call_function("shiftleft", F.lit(1).cast("bigint"), slot)
+    else:
+        off_grid, on = time, F.lit(1).cast("bigint")
+    return (
+        obs.where(time.isNotNull())
+        .select(F.to_date(time).alias("day"), "latitude", "longitude", off_grid.alias("off_grid"), on.alias("on"))
+        .groupBy("day", "latitude", "longitude", "off_grid")
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.bit_or("on").alias("on"))
+        .withColumn("repeated", F.col("n_rows") > F.bit_count("on"))
+    )
+
+
+def duplicate_observations(obs: DataFrame, steps: int = HOURLY_GRID.time_steps) -> DataFrame:
+    """Times a cell has more than one row for, with the number of rows.
+
+    Only the cells and days that repeat a time are counted by time. They are listed in the
+    shared folder first, so that a short list is broadcast and a long one is not.
+    """
+    suspects = _cell_days(obs, steps).where("repeated").select("day", "latitude", "longitude").distinct()
+    keys = stage(suspects.withColumnsRenamed({"latitude": "lat", "longitude": "lon"}))
+    same_cell = F.col("latitude").eqNullSafe(F.col("lat")) & F.col("longitude").eqNullSafe(F.col("lon"))
+    rows = obs.join(keys, (F.to_date("time") == F.col("day")) & same_cell, "left_semi")
+    counted = rows.groupBy("time", "latitude", "longitude").agg(F.count(F.lit(1)).alias("copies"))
+    return counted.where(F.col("copies") > 1)
 
 
 def hours_check(obs: DataFrame, n_days: int, steps: int = HOURLY_GRID.time_steps) -> DataFrame:
-    """Expected against present hours, and whether any cell has an hour twice."""
-    per_key = obs.groupBy("time", "latitude", "longitude").agg(F.count(F.lit(1)).alias("copies"))
-    per_hour = per_key.groupBy("time").agg(F.max("copies").alias("copies"))
+    """Expected against present time steps, and whether any cell has one twice: one pass, one small shuffle."""
+    per_day = (
+        _cell_days(obs, steps)
+        .groupBy("day", "off_grid")
+        .agg(F.bit_or("on").alias("on"), F.bool_or("repeated").alias("repeated"))
+    )
     expected = F.lit(n_days * steps).cast("bigint")
-    return per_hour.agg(F.count("time").alias("ingested_hours"), F.max("copies").alias("copies")).select(
+    present = F.coalesce(F.sum(F.bit_count("on").cast("bigint")), F.lit(0).cast("bigint"))
+    return per_day.agg(present.alias("ingested_hours"), F.bool_or("repeated").alias("repeated")).select(
         expected.alias("expected_hours"),
         "ingested_hours",
         (expected == F.col("ingested_hours")).alias("hours_equal"),
-        F.coalesce(F.col("copies") > 1, F.lit(False)).alias("duplicate_timestamps"),
+        F.coalesce("repeated", F.lit(False)).alias("duplicate_timestamps"),
     )
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from datetime import date
+from collections import Counter
+from datetime import date, datetime, timedelta
 
 import pytest
 
@@ -134,3 +135,30 @@ def test_variable_catalog(spark):
         ("wind_direction_10m", "degrees", 24),
         ("precipitation_mm_per_hour", "mm/h", 24),
     ]
+
+
+@pytest.mark.parametrize("steps", [24, 96])
+def test_time_checks_equal_brute_force(spark, steps):
+    """Hourly, off-hour and sub-second times, some of them twice, one cell without a longitude."""
+    start = datetime(2024, 3, 1)
+    offsets = [(i * 37 % 172_800) * 1_000 + (500 if i % 11 == 0 else 0) for i in range(400)]
+    offsets += [h * 3_600_000 for h in range(48)] + [3_600_000, 3_600_000, 37_000, 0]
+    rows = [
+        (start + timedelta(milliseconds=ms), 1.0 + i % 3, None if i % 5 == 0 else 2.0) for i, ms in enumerate(offsets)
+    ] + [(start, 1.0, None), (start, 1.0, None)]
+    df = spark.createDataFrame(rows, "time timestamp, latitude double, longitude double").repartition(5)
+    counts = Counter(rows)
+    wanted = {key: n for key, n in counts.items() if n > 1}
+    assert wanted
+    found = {(r.time, r.latitude, r.longitude): r.copies for r in audit.duplicate_observations(df, steps).collect()}
+    assert found == wanted
+    check = audit.hours_check(df, 2, steps).first()
+    assert check.ingested_hours == len({time for time, _, _ in rows}) and check.duplicate_timestamps
+    single = df.dropDuplicates()
+    assert audit.duplicate_observations(single, steps).count() == 0
+    assert not audit.hours_check(single, 2, steps).first().duplicate_timestamps
+
+
+def test_hours_of_no_rows(spark):
+    check = audit.hours_check(observations(spark, []), 1).first()
+    assert tuple(check) == (24, 0, False, False)
