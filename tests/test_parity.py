@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from isobar import registry
 from tests.parity import difference
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -14,7 +15,7 @@ SF_DIR = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no driver tables")
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.registered()))
 def test_query_equals_sql(spark, name):
     assert difference(spark, SF_DIR, name) == ""
 
@@ -26,5 +27,5 @@ def test_entry_returns_rows(spark):
 
 
 def test_only_the_sketch_profile_has_no_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"summarize_daily_global"}
+    assert set(registry.registered()) - set(entry.oracle_sql()) == {"summarize_daily_global"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
