@@ -160,7 +160,7 @@ def mix(
         run = units.withColumn("block", F.pmod(place, count)).withColumn("units", count)
         met = stage(_meet(run, level, seed))
         decided.append(met.where("pick IS NOT NULL").drop("p", "units"))
-        units = met.where("pick IS NULL")
+        units = met.where("pick IS NULL").drop("pick")
         if largest <= block:
             break
         largest, level = -(-largest // block), level + 1
