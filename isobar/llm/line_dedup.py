@@ -14,7 +14,7 @@ from isobar.llm.common import let, trimmed
 from isobar.session import stage
 
 #: Lines under the rolling hash.
-WINDOW = 1
+WINDOW = 2
 KEYS = ("id", "salt")
 
 
