@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from isobar.llm import importance, line_dedup, mixing, quality_rules, sharding
+from isobar.llm import importance, jaccard, line_dedup, mixing, quality_rules, sharding
 from isobar.llm.common import table
 from isobar.session import configure
 
@@ -32,6 +32,11 @@ def op1_importance(spark, sf_dir):
     return sample.select(F.col("id").alias("doc_id"), "n_grams", "log_weight", F.col("key").alias("sample_key"), "kept")
 
 
+@query
+def op2_jaccard_join(spark, sf_dir):
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_sharding(spark, sf_dir):
     return sharding.assign_shards(table(spark, sf_dir, "documents"), SHARDS)
