@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from isobar.llm import importance, jaccard, line_dedup, mixing, quality_rules, sharding
+from isobar.llm import bpe, importance, jaccard, line_dedup, mixing, quality_rules, sharding
 from isobar.llm.common import table
 from isobar.session import configure
 
@@ -60,3 +61,16 @@ def op7_quality_rules(spark, sf_dir):
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     base = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return judged.select(*base, "host_refused")
+
+
+@query
+def op8_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokenizer = bpe.WordBpe(public_tokenizers.path("word_bpe_49k.json")).fit(docs)
+    coded = tokenizer.decode(tokenizer.encode(docs).select("row.doc_id", "bpe_ids"))
+    return coded.select(
+        "doc_id",
+        F.size("bpe_ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("bpe_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(F.col("bpe_decoded"), 256).alias("decoded_sha256"),
+    )
