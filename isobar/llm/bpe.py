@@ -65,8 +65,14 @@ def _byte_characters() -> list[str]:
     return [chr(b if b in printable else next(others)) for b in range(256)]
 
 
+def prepared(text: str) -> str:
+    """The text of a tokenizer file together with the character tables, which take seconds to ask for, once on the driver."""
+    tables = {"classes": {e: _class(e) for e in (r"\p{L}", r"\p{N}", r"\s")}, "lower": _lower_cases()}
+    return json.dumps(json.loads(text) | {"tables": tables})
+
+
 class Vocabulary:
-    """A word-end vocabulary read from the text of a tokenizer file."""
+    """A word-end vocabulary read from a prepared tokenizer file."""
 
     def __init__(self, text: str):
         spec = json.loads(text)
@@ -74,18 +80,26 @@ class Vocabulary:
         self.ids: dict[str, int] = model["vocab"]
         self.end = model["end_of_word_suffix"]
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.ranks = {pair: (rank, a_b) for rank, (pair, a_b) in enumerate((p, p[0] + p[1]) for p in pairs)}
+        self.ranks = {pair: rank for rank, pair in enumerate(pairs)}
+        self.merged = [a + b for a, b in pairs]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
         self.tokens = [tokens.get(i, "") for i in range(max(tokens) + 1)]
         self.chars = _byte_characters()
-        pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        for name, inside in ((e, _class(e)) for e in (r"\p{L}", r"\p{N}", r"\s")):
-            pattern = pattern.replace(f"[{name}]", f"[{inside}]").replace(name, inside)
-        self.split = re.compile(pattern).findall
-        self.lower = _lower_cases()
-        self.odd = re.compile("[" + "".join(map(re.escape, self.lower)) + "]").search if self.lower else None
+        self.pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+        self.classes, self.lower = spec["tables"]["classes"], spec["tables"]["lower"]
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
+        self.odd = re.compile("[" + "".join(map(re.escape, self.lower)) + "]").search if self.lower else None
+        # classes without the characters beyond U+FFFF are compiled into tables, which is several times faster
+        self.split, self.split_basic, self.split_ascii = (self._finder(top) for top in (0x10FFFF, 0xFFFF, 0x7F))
+
+    def _finder(self, top: int):
+        pattern = self.pattern
+        for name, inside in self.classes.items():
+            low = [m for m in re.findall(r"\\U(.{8})-\\U(.{8})", inside) if int(m[0], 16) <= top]
+            inside = "".join(f"\\U{a}-\\U{min(int(b, 16), top):08x}" for a, b in low)
+            pattern = pattern.replace(f"[{name}]", f"[{inside}]").replace(name, inside)
+        return re.compile(pattern).findall
 
     def words(self, text: str) -> list[str]:
         """The pieces that are merged on their own; a special token is a piece by itself."""
@@ -95,49 +109,55 @@ class Vocabulary:
         return self._plain(text)
 
     def _plain(self, text: str) -> list[str]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # no final sigma
-            if self.odd and self.odd(text):
-                text = "".join(self.lower.get(c, c) for c in text)
-        return self.split(text.lower())
+        if text.isascii():
+            return self.split_ascii(text.lower())
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # no final sigma
+        if self.odd and self.odd(text):
+            text = "".join(self.lower.get(c, c) for c in text)
+        text = text.lower()
+        return (self.split_basic if len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text) else self.split)(text)
 
     def merge(self, word: str) -> list[int]:
         """The ids of one piece: of all neighbouring pairs the one of lowest rank is merged, the first of equals, until none is left."""
         if word in self.special:
             return [self.special[word]]
-        chars = self.chars
+        chars, rank, none = self.chars, self.ranks.get, len(self.merged)
         parts = [chars[b] for b in word.encode()]
         parts[-1] += self.end
-        ranks, nothing = self.ranks, (1 << 60, "")
         if len(parts) > 48:
-            parts = self._merge_long(parts)
-        while len(parts) > 1:
-            found = [ranks.get(pair, nothing) for pair in zip(parts, parts[1:])]
+            return [self.ids[p] for p in self._merge_long(parts)]
+        found = [rank(pair, none) for pair in zip(parts, parts[1:])]
+        while found:
             best = min(found)
-            if best is nothing:
+            if best == none:
                 break
             i = found.index(best)
-            parts[i : i + 2] = [best[1]]
+            parts[i] = self.merged[best]
+            del parts[i + 1], found[i]
+            if i < len(found):
+                found[i] = rank((parts[i], parts[i + 1]), none)
+            if i:
+                found[i - 1] = rank((parts[i - 1], parts[i]), none)
         return [self.ids[p] for p in parts]
 
     def _merge_long(self, parts: list[str]) -> list[str]:
         """The same with a heap, for pieces of many characters."""
         n = len(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(found[0], i, pair) for i, pair in enumerate(zip(parts, parts[1:])) if (found := self.ranks.get(pair))]
+        heap = [(found, i, pair) for i, pair in enumerate(zip(parts, parts[1:])) if (found := self.ranks.get(pair)) is not None]
         heapq.heapify(heap)
         while heap:
             _, i, pair = heapq.heappop(heap)
             j = after[i]
             if parts[i] is None or j >= n or (parts[i], parts[j]) != pair:
                 continue
-            parts[i], parts[j] = self.ranks[pair][1], None
+            parts[i], parts[j] = pair[0] + pair[1], None
             after[i] = after[j]
             if after[j] < n:
                 before[after[j]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if 0 <= a and b < n and (found := self.ranks.get((parts[a], parts[b]))):
-                    heapq.heappush(heap, (found[0], a, (parts[a], parts[b])))
+                if 0 <= a and b < n and (found := self.ranks.get((parts[a], parts[b]))) is not None:
+                    heapq.heappush(heap, (found, a, (parts[a], parts[b])))
         return [p for p in parts if p is not None]
 
 
@@ -246,7 +266,7 @@ class WordBpe:
 
     def __init__(self, path: str, lexicon: bytes | None = None):
         with open(path, encoding="utf-8") as file:
-            self.spec = file.read()
+            self.spec = prepared(file.read())
         self.lexicon = lexicon or build({})
 
     def fit(self, docs: DataFrame, text_column: str = "text", most: int = LEXICON) -> WordBpe:
