@@ -13,6 +13,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from isobar.llm.hashing import pieces, runs, sums
 from isobar.session import stage
@@ -61,7 +62,8 @@ def _score(batches: Iterator[pa.RecordBatch], bits: int, ratios: np.ndarray) ->
             part = slice(row, row + texts.n)
             n[part] = np.diff(at) + np.diff(pairs_at)
             weight[part] = sums(ratios[words], at) + sums(ratios[pairs], pairs_at)
-        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("salt"), pa.array(n), pa.array(weight)], ["id", "salt", "n_grams", "log_weight"])
+        names = [c for c in batch.schema.names if c != "text"]
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(n), pa.array(weight)], [*names, "n_grams", "log_weight"])
 
 
 def targets_of(labels: DataFrame) -> DataFrame:
@@ -113,38 +115,64 @@ def gumbel(seed: str, *parts: Column) -> Column:
     return -F.log(-F.log((draw + 0.5) / float(1 << 48)))
 
 
-def resample(
-    docs: DataFrame,
-    labels: DataFrame,
-    share: float | None = None,
-    bits: int = BUCKET_BITS,
-    target_docs: int = TARGET_DOCS,
-    smoothing: float = SMOOTHING,
-    seed: str = SEED,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-) -> DataFrame:
+class Resampler:
+    """Importance weights of documents, fitted on one corpus."""
+
+    def __init__(self, bits: int = BUCKET_BITS, target_docs: int = TARGET_DOCS, smoothing: float = SMOOTHING, seed: str = SEED, id_column: str = "doc_id", text_column: str = "text"):
+        self.bits, self.target_docs, self.smoothing, self.seed = bits, target_docs, smoothing, seed
+        self.id_column, self.text_column = id_column, text_column
+        self.ratios, self.share = np.zeros(1 << bits), 1.0
+
+    def _rows(self, docs: DataFrame, *more: Column) -> DataFrame:
+        text = F.col(self.text_column)
+        return docs.select(F.col(self.id_column).cast("bigint").alias("id"), F.substring(F.md5(text), 1, 16).alias("salt"), text.alias("text"), *more)
+
+    def fit(self, docs: DataFrame, labels: DataFrame) -> Resampler:
+        """Fit both models, and take the share of targets among labelled documents as the share to sample.
+
+        The target model is fitted on about ``target_docs`` labelled documents, chosen by a hash of the id, whose ids are all that
+        is collected besides the model; the corpus model counts all documents.
+        """
+        marked = stage(targets_of(labels))
+        known, good = marked.agg(F.count(F.lit(1)), F.sum(F.col("target").cast("bigint"))).first()
+        cut = int(2**32 * min(1.0, self.target_docs / max(good or 0, 1)))
+        chosen = marked.where("target AND doc_id IS NOT NULL").where(F.pmod(F.xxhash64("doc_id"), F.lit(2**32)) < cut)
+        target_ids = chosen.select("doc_id").toArrow()["doc_id"].to_numpy().astype(np.int64)
+        self.ratios = ratio_model(self._rows(docs).select("id", "text"), target_ids, self.bits, self.smoothing)
+        self.share = good / known if len(target_ids) else 1.0
+        return self
+
+    def weigh(self, docs: DataFrame, *more: Column) -> DataFrame:
+        """id, salt, the columns ``more``, n_grams, log_weight and key of every document. A text is weighed by itself, so the result
+        is the same however rows are dealt out."""
+        rows = self._rows(docs, *more)
+        schema = StructType([*rows.drop("text").schema, StructField("n_grams", LongType()), StructField("log_weight", DoubleType())])
+        scored = rows.mapInArrow(partial(_score, bits=self.bits, ratios=self.ratios), schema)
+        noise = gumbel(self.seed, F.col("id").cast("string"), F.col("salt"))
+        return scored.withColumn("key", F.when(F.col("n_grams") > 0, F.col("log_weight") + noise))
+
+    def sample(self, docs: DataFrame, share: float | None = None) -> tuple[DataFrame, float]:
+        """The weighed documents with ``kept``, and the key from which on they are."""
+        keys = stage(self.weigh(docs))
+        least = threshold(keys, round((self.share if share is None else share) * keys.count()))
+        return keys.withColumn("kept", F.coalesce(F.col("key") >= least, F.lit(False))), least
+
+
+def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, **parameters) -> DataFrame:
     """One row per document: id, salt (tells rows with the same id apart), n_grams, log_weight, key, and whether the sample keeps it.
 
     The sample holds ``share`` of the documents, by default the share of targets among the labelled ones; keys equal to the
-    last one in are kept as well. The target model is fitted on about ``target_docs`` labelled documents, chosen by a hash of
-    the id, whose ids are all that is collected besides the model; the corpus model counts all documents. Texts are read
-    twice and never shuffled.
+    last one in are kept as well. Texts are read twice and never shuffled.
 
     Documents without words (NULL or empty texts) have no key and are not kept. Without a labelled target all weights are 1 and
     every document with words is kept. Rows equal in id and text get the same key. An empty table gives no rows. Other columns are not read.
     """
-    rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.substring(F.md5(F.col(text_column)), 1, 16).alias("salt"), F.col(text_column).alias("text"))
-    marked = stage(targets_of(labels))
-    known, good = marked.agg(F.count(F.lit(1)), F.sum(F.col("target").cast("bigint"))).first()
-    cut = int(2**32 * min(1.0, target_docs / max(good or 0, 1)))
-    chosen = marked.where("target AND doc_id IS NOT NULL").where(F.pmod(F.xxhash64("doc_id"), F.lit(2**32)) < cut)
-    target_ids = chosen.select("doc_id").toArrow()["doc_id"].to_numpy().astype(np.int64)
-    ratios = ratio_model(rows.select("id", "text"), target_ids, bits, smoothing)
-
-    scored = rows.mapInArrow(partial(_score, bits=bits, ratios=ratios), "id bigint, salt string, n_grams bigint, log_weight double")
-    noise = gumbel(seed, F.col("id").cast("string"), F.col("salt"))
-    keys = stage(scored.withColumn("key", F.when(F.col("n_grams") > 0, F.col("log_weight") + noise)))
-    total = keys.count()
-    wanted = total if not len(target_ids) else round((good / known if share is None else share) * total)
-    return keys.withColumn("kept", F.coalesce(F.col("key") >= threshold(keys, wanted), F.lit(False)))
+    return Resampler(**parameters).fit(docs, labels).sample(docs, share)[0]
+
+
+def keep_sample(docs: DataFrame, labels: DataFrame, share: float | None = None, **parameters) -> DataFrame:
+    """The rows of ``docs`` that the sample keeps, with all their columns. They are weighed once more instead of joined, so that no
+    text is shuffled."""
+    sampler = Resampler(**parameters).fit(docs, labels)
+    _, least = sampler.sample(docs, share)
+    return sampler.weigh(docs, F.struct(*docs.columns).alias("row")).where(F.col("key") >= least).select("row.*")

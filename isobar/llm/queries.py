@@ -7,13 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from isobar.llm import bpe, importance, jaccard, line_dedup, mixing, quality_rules, sharding
+from isobar.llm import bpe, importance, jaccard, language, line_dedup, mixing, quality_rules, sharding, urls, vectors
 from isobar.llm.common import table
 from isobar.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 24
+QUERY_EVERY = 100
+URL_RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "allow"), ("com/fr/", "allow"), ("com/de/", "block"))
 
 _QUERIES: dict[str, Query] = {}
 
@@ -38,6 +40,11 @@ def op2_jaccard_join(spark, sf_dir):
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_url_filter(spark, sf_dir):
+    return urls.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query
 def op4_sharding(spark, sf_dir):
     return sharding.assign_shards(table(spark, sf_dir, "documents"), SHARDS)
@@ -74,3 +81,13 @@ def op8_bpe(spark, sf_dir):
         F.sha2(F.array_join(F.col("bpe_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(F.col("bpe_decoded"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op9_neighbours(spark, sf_dir):
+    return vectors.neighbours(table(spark, sf_dir, "embeddings"), QUERY_EVERY)
+
+
+@query
+def op10_language(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
