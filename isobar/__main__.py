@@ -1,10 +1,11 @@
-"""Command line: run the layers for a day or a range of days, build the marts, show a report or a query.
+"""Command line: run the layers for a day or a range of days, build the marts, audit the tables, show a report or a query.
 
     python -m isobar run --landing PATH --root PATH --date 2015-01-15
-    python -m isobar run --landing PATH --root PATH --start 2015-01-15 --end 2016-01-15
+    python -m isobar run --landing PATH --root PATH --start 2015-01-15 --end 2016-01-15 --redo
     python -m isobar marts --root PATH
-    python -m isobar report rolling_7d --root PATH
-    python -m isobar sql "SELECT region, MAX(temp_max) FROM daily_regional GROUP BY region" --root PATH
+    python -m isobar audit null_report --root PATH
+    python -m isobar report rolling_7d --root PATH --value wind_speed_mean
+    python -m isobar sql "SELECT region, MAX(temp_max) FROM daily_regional GROUP BY region" --root PATH --out PATH
 """
 
 from __future__ import annotations
@@ -12,20 +13,20 @@ from __future__ import annotations
 import argparse
 from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from isobar.functions.dates import day_range
+from isobar.plans.audits import AUDITS
 from isobar.plans.elt import Elt
 from isobar.plans.marts import build_marts
-from isobar.plans.reports import REPORTS
+from isobar.plans.reports import REPORTS, report_on
 from isobar.session import configure
 from isobar.sources.landing import scan_observations
 from isobar.sources.tables import register_views
+from isobar.specs import SOURCE_NAME
 
-SHOWN_ROWS = 1000
 
-
-def arguments() -> argparse.Namespace:
+def arguments(words: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="isobar")
     commands = parser.add_subparsers(dest="command", required=True)
     run = commands.add_parser("run", help="landing to bronze, silver and gold")
@@ -35,38 +36,57 @@ def arguments() -> argparse.Namespace:
     days.add_argument("--start", type=date.fromisoformat, help="first day of a range")
     run.add_argument("--end", type=date.fromisoformat, help="last day of a range")
     run.add_argument("--batch-days", type=int, help="days per job; all at once if not given")
+    run.add_argument("--redo", action="store_true", help="land the days again and rebuild everything from them")
+    run.add_argument("--source", default=SOURCE_NAME, help="where the landing comes from, for lineage")
     marts = commands.add_parser("marts", help="test the gold views and build the marts")
+    audit = commands.add_parser("audit", help="print an audit of the stored tables")
+    audit.add_argument("name", choices=sorted(AUDITS))
     report = commands.add_parser("report", help="print a report over the gold views")
     report.add_argument("name", choices=sorted(REPORTS))
+    report.add_argument("--value", help="the column to report on, where the report takes one")
     sql = commands.add_parser("sql", help="print the result of a query over the gold views")
     sql.add_argument("query")
-    for command in (run, marts, report, sql):
+    for command in (audit, report, sql):
+        command.add_argument("--out", help="write the whole result there as Parquet instead of printing it")
+    for command in (run, marts, audit, report, sql):
         command.add_argument("--root", required=True)
-    parsed = parser.parse_args()
+    parsed = parser.parse_args(words)
     if parsed.command == "run" and parsed.start and not parsed.end:
         parser.error("--end is required with --start")
     return parsed
 
 
-def main() -> None:
-    asked = arguments()
-    spark = configure(SparkSession.builder.appName("isobar").getOrCreate())
-    elt = Elt(spark, asked.root)
+def deliver(result: DataFrame, out: str | None) -> None:
+    """All rows, to a table or, one partition at a time, to the screen."""
+    if out:
+        result.write.mode("overwrite").parquet(out)
+        return
+    print("\t".join(result.columns))
+    for row in result.toLocalIterator():
+        print("\t".join("" if value is None else str(value) for value in row))
+
+
+def main(words: list[str] | None = None, spark: SparkSession | None = None) -> None:
+    asked = arguments(words)
+    spark = spark or configure(SparkSession.builder.appName("isobar").getOrCreate())
+    elt = Elt(spark, asked.root, source=getattr(asked, "source", SOURCE_NAME))
     if asked.command == "run":
         days = [asked.date] if asked.date else day_range(asked.start, asked.end)
-        report = elt.run(scan_observations(spark, asked.landing), days, asked.batch_days)
+        report = elt.run(scan_observations(spark, asked.landing), days, asked.batch_days, asked.redo)
         print(f"Total execution time: {report.seconds:.2f}s")
         if report.failed:
             print(f"{len(report.failed)} days failed: {sorted(d.isoformat() for d in report.failed)}")
         else:
             print("All days processed.")
     elif asked.command == "marts":
-        build_marts(spark, elt.views(), elt.at.path("marts"))
+        build_marts(spark, elt.views(), elt.at.marts)
+    elif asked.command == "audit":
+        deliver(AUDITS[asked.name](elt), asked.out)
     elif asked.command == "report":
-        REPORTS[asked.name](elt.views()).show(SHOWN_ROWS, truncate=False)
+        deliver(report_on(asked.name, elt.views(), asked.value), asked.out)
     else:
         register_views(spark, elt.views())
-        spark.sql(asked.query).show(SHOWN_ROWS, truncate=False)
+        deliver(spark.sql(asked.query), asked.out)
 
 
 if __name__ == "__main__":

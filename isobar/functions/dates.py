@@ -6,8 +6,12 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# Fixed value: the pattern of a day between 2000 and 2099 inside a path.
-DAY_IN_PATH = r"(20[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01]))"
+SECONDS_PER_DAY = 86_400
+
+
+def utc_day(moment: Column) -> Column:
+    """The calendar day of an instant in UTC, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(moment) / SECONDS_PER_DAY).cast("int"))
 
 
 def next_day(day: Column) -> Column:
@@ -34,8 +38,10 @@ def month_start(day: Column) -> Column:
 
 
 def day_from_path(path: Column) -> Column:
-    """First day named in a path, NULL if there is none."""
-    return F.nullif(F.regexp_extract(path, DAY_IN_PATH, 1), F.lit("")).cast("date")
+    """The day that a folder of the path names, as ``date=1995-01-02`` or bare; NULL if none names a day that exists."""
+    names = F.transform(F.split(path, "/"), lambda part: F.element_at(F.split(part, "="), -1))
+    days = F.transform(F.filter(names, lambda name: F.length(name) == 10), lambda name: name.try_cast("date"))
+    return F.get(F.filter(days, lambda day: day.isNotNull()), F.lit(0))
 
 
 def day_range(first: date, last: date) -> list[date]:

@@ -26,16 +26,18 @@ def monthly_averages(regional: DataFrame, value: str = "temp_mean", name: str =
     )
 
 
-def monthly_summary(regional: DataFrame) -> DataFrame:
-    """Monthly average and maximum per region, with the number of days behind them."""
+def monthly_summary(
+    regional: DataFrame, mean: str = "temp_mean", peak: str = "temp_max", name: str = "tmp"
+) -> DataFrame:
+    """Monthly average and maximum of a variable per region, with the number of days behind them."""
     return (
         regional.groupBy("region", month_start(F.col("date")).alias("month"))
         .agg(
-            round_half_up(F.avg("temp_mean"), 2).alias("tmp_avg"),
-            round_half_up(F.max("temp_max"), 2).alias("tmp_max"),
+            round_half_up(F.avg(mean), 2).alias(f"{name}_avg"),
+            round_half_up(F.max(peak), 2).alias(f"{name}_max"),
             F.count(F.lit(1)).alias("days_in_month"),
         )
-        .orderBy("month", "tmp_avg", "region")
+        .orderBy("month", f"{name}_avg", "region")
     )
 
 
@@ -71,15 +73,11 @@ def rolling_mean(
 def top_days(df: DataFrame, by: list[Column], value: str, name: str, n: int) -> DataFrame:
     """The ``n`` days with the highest value per group, ranked on the unrounded value; ties go to the earlier day.
 
-    Every task first keeps its own best ``n`` per group, so a hot group is small by the time it
-    is shuffled. Several rows of one day count as one, which a single best day needs no
-    aggregate for.
+    Several rows of one day count as one: every task first takes the peak per group and day in a hash aggregate and then keeps its
+    own best ``n``, so a hot group is small by the time it is ranked.
     """
-    day, peak = F.col("date").alias("day"), F.col(value).alias("peak")
-    if n == 1:
-        peaks = df.select(*by, day, peak)
-    else:
-        peaks = df.groupBy(*by, day).agg(F.max(value).alias("peak"))
+    day = F.col("date").alias("day")
+    peaks = df.groupBy(*by, day).agg(F.max(value).alias("peak"))
     keys = [c for c in peaks.columns if c not in ("day", "peak")]
     order = Window.partitionBy(*keys).orderBy(F.desc("peak"), F.asc("day"))
     return (

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from isobar.functions.dates import SECONDS_PER_DAY, utc_day
 from isobar.functions.numeric import null_percentage
 from isobar.session import stage
 from isobar.specs import HOURLY_GRID
 
-SECONDS_PER_DAY = 86_400
 MASK_BITS = 62
 KEY_COLUMNS = ("latitude", "longitude", "spatial_ref", "date")
 
@@ -77,7 +77,7 @@ def _cell_days(obs: DataFrame, steps: int) -> DataFrame:
     there twice. On tables laid out by cell, a day of a cell is one row before the shuffle.
     """
     time = F.col("time")
-    at = F.unix_seconds(time) - F.unix_seconds(F.date_trunc("day", time))
+    at = F.pmod(F.unix_seconds(time), F.lit(SECONDS_PER_DAY))
     slot = (at * steps / F.lit(SECONDS_PER_DAY)).cast("int")
     if steps <= MASK_BITS:
         off_grid = F.when((at * steps % SECONDS_PER_DAY != 0) | (F.date_trunc("second", time) != time), time)
@@ -86,7 +86,7 @@ def _cell_days(obs: DataFrame, steps: int) -> DataFrame:
         off_grid, on = time, F.lit(1).cast("bigint")
     return (
         obs.where(time.isNotNull())
-        .select(F.to_date(time).alias("day"), "latitude", "longitude", off_grid.alias("off_grid"), on.alias("on"))
+        .select(utc_day(time).alias("day"), "latitude", "longitude", off_grid.alias("off_grid"), on.alias("on"))
         .groupBy("day", "latitude", "longitude", "off_grid")
         .agg(F.count(F.lit(1)).alias("n_rows"), F.bit_or("on").alias("on"))
         .withColumn("repeated", F.col("n_rows") > F.bit_count("on"))
@@ -102,7 +102,7 @@ def duplicate_observations(obs: DataFrame, steps: int = HOURLY_GRID.time_steps)
     suspects = _cell_days(obs, steps).where("repeated").select("day", "latitude", "longitude").distinct()
     keys = stage(suspects.withColumnsRenamed({"latitude": "lat", "longitude": "lon"}))
     same_cell = F.col("latitude").eqNullSafe(F.col("lat")) & F.col("longitude").eqNullSafe(F.col("lon"))
-    rows = obs.join(keys, (F.to_date("time") == F.col("day")) & same_cell, "left_semi")
+    rows = obs.join(keys, (utc_day(F.col("time")) == F.col("day")) & same_cell, "left_semi")
     counted = rows.groupBy("time", "latitude", "longitude").agg(F.count(F.lit(1)).alias("copies"))
     return counted.where(F.col("copies") > 1)
 
@@ -161,6 +161,10 @@ def require_passing(results: DataFrame) -> None:
         raise FailedTests("; ".join(failed))
 
 
+def sql_type(stored: str) -> str:
+    return SQL_TYPES.get(stored, stored.upper())
+
+
 def describe(df: DataFrame, counts: bool = False) -> DataFrame:
     """Name, SQL type and nullability of every column; ``counts`` adds the number of values it holds."""
     source = df.agg(*[F.count(c).alias(c) for c in df.columns]) if counts else df.sparkSession.range(1)
@@ -168,12 +172,12 @@ def describe(df: DataFrame, counts: bool = False) -> DataFrame:
         source,
         [
             F.struct(
-                F.lit(name).alias("column_name"),
-                F.lit(SQL_TYPES.get(dtype, dtype.upper())).alias("column_type"),
-                F.lit("YES").alias("null"),
-                *([F.col(name).alias("n_values")] if counts else []),
+                F.lit(field.name).alias("column_name"),
+                F.lit(sql_type(field.dataType.simpleString())).alias("column_type"),
+                F.lit("YES" if field.nullable else "NO").alias("null"),
+                *([F.col(field.name).alias("n_values")] if counts else []),
             )
-            for name, dtype in df.dtypes
+            for field in df.schema.fields
         ],
     )
 
@@ -189,6 +193,8 @@ def list_tables(spark: SparkSession, names: tuple[str, ...]) -> DataFrame:
         for t in spark.catalog.listTables()
         if t.name in names
     ]
+    if not listings:
+        return spark.createDataFrame([], "table_name string, table_type string, n_rows bigint")
     combined = listings[0]
     for listing in listings[1:]:
         combined = combined.unionByName(listing)

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from isobar.operators.silver import kept_variables
-from isobar.specs import GOLD_INPUTS, GOLD_TABLES, DERIVED, HOURLY_GRID, SOURCE_NAME, DatasetSpec, Region
+from isobar.specs import CELL_STATS, DERIVED, GOLD_INPUTS, GOLD_TABLES, HOURLY_GRID, SOURCE_NAME, DatasetSpec, Region
 
-OK, FAILED = "ok", "failed"
+OK, FAILED, REDO = "ok", "failed", "redo"
 VALUE_BYTES = 4
 
 LEDGER = T.StructType(
@@ -48,8 +48,11 @@ LINEAGE = T.StructType(
 JOURNAL = T.StructType(
     [*LINEAGE.fields, T.StructField("status", T.StringType()), T.StructField("reason", T.StringType())]
 )
-# Fixed value: what the lineage of both gold tables states about their aggregation.
-AGGREGATION_LOGIC = json.dumps({"time": "1D", "metrics": ["mean", "min", "max"]})
+
+
+def aggregation_text(stats: Mapping[str, Iterable[str]]) -> str:
+    """What the lineage of a rollup states: its period, and the statistics it holds of each variable."""
+    return json.dumps({"time": "1D", "metrics": {variable: list(names) for variable, names in stats.items()}})
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -107,11 +110,15 @@ def silver_lineage(status: DataFrame, spec: DatasetSpec = HOURLY_GRID, source: s
 
 
 def gold_lineage(
-    table: DataFrame, transformation: str, spatial_bounds: str, source: str = SOURCE_NAME
+    table: DataFrame,
+    transformation: str,
+    spatial_bounds: str,
+    source: str = SOURCE_NAME,
+    stats: Mapping[str, Iterable[str]] = CELL_STATS,
 ) -> DataFrame:
     """One record per day of a gold table; over a day table the count reads file footers only."""
     records = table.groupBy("date").agg(F.count(F.lit(1)).alias("row_count"))
-    records = records.withColumn("aggregation_logic", F.lit(AGGREGATION_LOGIC)).withColumn(
+    records = records.withColumn("aggregation_logic", F.lit(aggregation_text(stats))).withColumn(
         "spatial_bounds", F.lit(spatial_bounds)
     )
     return _stamp(records, "gold", transformation, source, "silver")
@@ -131,30 +138,30 @@ def bounds_text(regions: Iterable[Region]) -> str:
     )
 
 
-def gold_blockers() -> Column:
+def gold_blockers(inputs: Iterable[str] = GOLD_INPUTS) -> Column:
     """The gold inputs a passed day lacks, because they or what they derive from were dropped."""
     sources = {d.name: d.inputs for d in DERIVED}
     lacking = []
-    for name in GOLD_INPUTS:
+    for name in inputs:
         dropped = F.lit(False)
         for i in sources.get(name, (name,)):
             dropped = dropped | F.col(f"{i}__drop")
         lacking.append(F.when(dropped, F.lit(name)))
-    return F.filter(F.array(*lacking), lambda name: name.isNotNull())
+    return F.filter(F.array(*lacking).cast("array<string>"), lambda name: name.isNotNull())
 
 
 def blocked_reason(blockers: str) -> str:
     return f"Missing variable: {blockers}"
 
 
-def gold_ready(status: DataFrame) -> DataFrame:
+def gold_ready(status: DataFrame, inputs: Iterable[str] = GOLD_INPUTS) -> DataFrame:
     """Status rows of the days whose silver holds every gold input."""
-    return status.where(F.col("passed") & (F.size(gold_blockers()) == 0))
+    return status.where(F.col("passed") & (F.size(gold_blockers(inputs)) == 0))
 
 
-def failed_days(status: DataFrame) -> DataFrame:
+def failed_days(status: DataFrame, inputs: Iterable[str] = GOLD_INPUTS) -> DataFrame:
     """One row per failing day: the layer it failed to reach and why."""
-    blockers = gold_blockers()
+    blockers = gold_blockers(inputs)
     return (
         status.withColumn(
             "stage",
@@ -230,9 +237,22 @@ def ledger_of(status: DataFrame) -> DataFrame:
     return combined
 
 
+def latest(ledger: DataFrame) -> DataFrame:
+    """The last word on each table and day."""
+    last = F.max_by(F.struct("status", "reason"), "recorded_at").alias("last")
+    return ledger.groupBy("layer", "transformation", "date").agg(last).select("layer", "transformation", "date", "last.*")
+
+
+def journal_marks(days: DataFrame, layer: str, transformation: str, status: str) -> DataFrame:
+    """Journal entries that say nothing but a status."""
+    marks = days.withColumn("layer", F.lit(layer)).withColumn("transformation", F.lit(transformation))
+    marks = marks.withColumn("status", F.lit(status)).withColumn("ingestion_timestamp", F.current_timestamp())
+    return conform(marks, JOURNAL)
+
+
 def pending(requested: DataFrame, ledger: DataFrame, layer: str, transformation: str) -> DataFrame:
     """Requested days the ledger does not list as finished for this table."""
-    done = ledger.where(
+    done = latest(ledger).where(
         (F.col("status") == OK) & (F.col("layer") == layer) & (F.col("transformation") == transformation)
     )
     return requested.join(done.select("date"), "date", "left_anti")
@@ -241,9 +261,8 @@ def pending(requested: DataFrame, ledger: DataFrame, layer: str, transformation:
 def gold_completeness(requested: DataFrame, ledger: DataFrame, required: tuple[str, ...] = GOLD_TABLES) -> DataFrame:
     """Per requested day: how many of the required gold tables are finished, and whether all are."""
     finished = (
-        ledger.where((F.col("status") == OK) & (F.col("layer") == "gold") & F.col("transformation").isin(*required))
-        .select("date", "transformation")
-        .distinct()
+        latest(ledger)
+        .where((F.col("status") == OK) & (F.col("layer") == "gold") & F.col("transformation").isin(*required))
         .groupBy("date")
         .agg(F.count(F.lit(1)).alias("finished"))
     )

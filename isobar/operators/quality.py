@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from isobar.functions.dates import utc_day
 from isobar.functions.numeric import null_percentage
 from isobar.specs import HOURLY_GRID, NULL_THRESHOLD, ColumnSpec, DatasetSpec
 
@@ -14,13 +15,15 @@ BELOW_TEXT = ("{label} '{name}' min value ", " is below {bound}")
 ABOVE_TEXT = ("{label} '{name}' max value ", " is above {bound}")
 STEPS_TEXT = "Expected {steps} time steps, but found "
 NO_TIME_TEXT = "Missing 'time' dimension."
+UNTIMED_TEXT = " rows have no time"
+OFF_DAY_TEXT = " rows have a time on another day"
 
 
 def day_profile(obs: DataFrame, spec: DatasetSpec = HOURLY_GRID) -> DataFrame:
     """One row per day with all the gate, the null rule and lineage need.
 
-    Row and distinct-hour counts, the time span, and count, minimum and maximum of every
-    declared column. A column the table lacks has a NULL count, one without values a count
+    Row and distinct-hour counts, the time span, rows without a time or with one on another UTC day, and count, minimum and
+    maximum of every declared column. A column the table lacks has a NULL count, one without values a count
     of 0. Every aggregate is partial before the shuffle; the single distinct one first
     shrinks to one row per hour.
     """
@@ -34,6 +37,8 @@ def day_profile(obs: DataFrame, spec: DatasetSpec = HOURLY_GRID) -> DataFrame:
         measure("time", F.count_distinct(F.col("time")), "bigint").alias("n_times"),
         measure("time", F.min("time"), "timestamp").alias("start_time"),
         measure("time", F.max("time"), "timestamp").alias("end_time"),
+        measure("time", F.count_if(F.col("time").isNull()), "bigint").alias("n_untimed"),
+        measure("time", F.count_if(utc_day(F.col("time")) != F.col("date")), "bigint").alias("n_off_day"),
     ]
     for column in spec.coordinates + spec.variables:
         c = column.name
@@ -90,6 +95,9 @@ def findings(spec: DatasetSpec = HOURLY_GRID) -> Column:
         text = F.coalesce(F.concat(F.lit(STEPS_TEXT.format(steps=wanted)), steps), F.lit(NO_TIME_TEXT))
         wrong = steps.isNull() | (steps != wanted)
         checks.append(_finding(wrong, "time_steps", "time", steps, float(wanted), text))
+    for kind, text in (("untimed", UNTIMED_TEXT), ("off_day", OFF_DAY_TEXT)):
+        rows = F.col(f"n_{kind}")
+        checks.append(_finding(rows > 0, kind, "time", rows, 0.0, F.concat(rows, F.lit(text))))
     return F.filter(F.array(*checks), lambda check: check.isNotNull())
 
 

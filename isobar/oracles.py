@@ -2,14 +2,40 @@
 
 from __future__ import annotations
 
-import json
-
-from isobar.operators.lineage import AGGREGATION_LOGIC, bounds_text
-from isobar.registry import DAYS_AHEAD, LIST_BLOCK, PACK_BLOCK, SLICED_DAY, TABLES
 from isobar.sources.fixtures import DAILY_KEYS, DAILY_TEMPERATURE, DAILY_WIND, OBS_COLUMNS, OBS_FILTER
-from isobar.specs import DERIVED, HOURLY_GRID, REGIONS, SOURCE_NAME
 
-VARIABLES = HOURLY_GRID.variable_names
+# Fixed values, written out here so that a change in the code under test shows: variables and bounds, regions, attributes of
+# derived variables, lineage texts, and the parameters of the queries.
+VARIABLES = ("precipitation_surface", "temperature_2m", "wind_u_10m", "wind_v_10m")
+COUNTED = ("time", "latitude", "longitude", *VARIABLES)
+BOUNDS = (
+    ("Coordinate", "latitude", "-90.0", "90.0"),
+    ("Coordinate", "longitude", "-180.0", "180.0"),
+    ("Variable", "precipitation_surface", "0.0", "1.0"),
+    ("Variable", "temperature_2m", "-80.0", "54.0"),
+    ("Variable", "wind_u_10m", "-97.0", "88.0"),
+    ("Variable", "wind_v_10m", "-88.0", "89.0"),
+)
+REGIONS = (
+    ("europe", "35.0", "70.0", "-10.0", "40.0"),
+    ("north_america", "15.0", "70.0", "-160.0", "-50.0"),
+    ("global", "-90.0", "90.0", "-180.0", "180.0"),
+)
+DERIVED = (
+    ('wind_speed_10m', ('wind_u_10m', 'wind_v_10m'), 'm/s', 'Wind Speed 10 meters above earth surface', 'Derived from u and v components.'),
+    ('wind_direction_10m', ('wind_u_10m', 'wind_v_10m'), 'degrees', '10m Meteorological Wind Direction', 'Direction the wind is coming from (0=North, 90=East, 180=South, 270=West).'),
+    ('precipitation_mm_per_hour', ('precipitation_surface',), 'mm/h', 'Hourly Precipitation Accumulation', 'Derived assuming surface precipitation rate is in kg/m^2/s.'),
+)
+SOURCE_NAME = "NOAA_GFS"
+CELL_LOGIC = '{"time": "1D", "metrics": {"temperature_2m": ["mean", "min", "max"], "wind_speed_10m": ["mean", "max"]}}'
+REGION_LOGIC = '{"time": "1D", "metrics": {"temperature_2m": ["mean", "max"], "wind_speed_10m": ["mean", "max"]}}'
+REGION_BOUNDS = (
+    '{"europe": {"lat_slice": {"start": 70.0, "stop": 35.0, "step": null}, "lon_slice": {"start": -10.0, "stop": 40.0, "step": null}},'
+    ' "north_america": {"lat_slice": {"start": 70.0, "stop": 15.0, "step": null}, "lon_slice": {"start": -160.0, "stop": -50.0, "step": null}},'
+    ' "global": {"lat_slice": {"start": 90.0, "stop": -90.0, "step": null}, "lon_slice": {"start": -180.0, "stop": 180.0, "step": null}}}'
+)
+DAYS_AHEAD, LIST_BLOCK, SLICED_DAY, TIME_STEPS = 6, 4, "2024-01-10", 24
+TABLES = (("bronze", "bronze"), ("silver", "silver"), ("gold", "daily_global"), ("gold", "daily_regional"))
 
 
 def decimals(value: str, digits: int) -> str:
@@ -28,29 +54,32 @@ def union(parts: list[str]) -> str:
 
 _COLUMNS = ", ".join(f"{e} AS {n}" for n, e in OBS_COLUMNS.items())
 _KEYS = ", ".join(f"{e} AS {n}" for n, e in DAILY_KEYS.items())
-_BOUNDED = [("Coordinate", c) for c in HOURLY_GRID.coordinates if c.bounded] + [
-    ("Variable", v) for v in HOURLY_GRID.variables
-]
 _PROFILE = ", ".join(
-    [f"COUNT({c.name}) AS {c.name}__count" for c in HOURLY_GRID.coordinates + HOURLY_GRID.variables]
-    + [f"MIN({c.name}) AS {c.name}__min, MAX({c.name}) AS {c.name}__max" for _, c in _BOUNDED]
+    ["COUNT(*) - COUNT(time) AS n_untimed", "COUNT(*) FILTER (CAST(time AS DATE) <> date) AS n_off_day"]
+    + [f"COUNT({c}) AS {c}__count" for c in COUNTED]
+    + [f"MIN({c}) AS {c}__min, MAX({c}) AS {c}__max" for _, c, _, _ in BOUNDS]
 )
 
 
 def _violations() -> str:
     parts = []
-    for label, c in _BOUNDED:
-        for side, sign, bound, word in (("min", "<", c.lower, "below"), ("max", ">", c.upper, "above")):
+    for label, c, lower, upper in BOUNDS:
+        for side, sign, bound, word in (("min", "<", lower, "below"), ("max", ">", upper, "above")):
             parts.append(
-                f"SELECT date, '{label.lower()}_{side}' AS kind, '{c.name}' AS target, {c.name}__{side} AS observed,"
+                f"SELECT date, '{label.lower()}_{side}' AS kind, '{c}' AS target, {c}__{side} AS observed,"
                 f" CAST({bound} AS DOUBLE) AS bound,"
-                f" '{label} ''{c.name}'' {side} value ' || {c.name}__{side} || ' is {word} {bound}' AS message,"
-                f" {len(parts)} AS seq FROM prof WHERE {c.name}__{side} {sign} {bound}"
+                f" '{label} ''{c}'' {side} value ' || {c}__{side} || ' is {word} {bound}' AS message,"
+                f" {len(parts)} AS seq FROM prof WHERE {c}__{side} {sign} {bound}"
             )
     parts.append(
         "SELECT date, 'time_steps' AS kind, 'time' AS target, CAST(n_times AS DOUBLE) AS observed, 24e0 AS bound,"
         f" 'Expected 24 time steps, but found ' || n_times AS message, {len(parts)} AS seq FROM prof WHERE n_times <> 24"
     )
+    for kind, text in (("untimed", "have no time"), ("off_day", "have a time on another day")):
+        parts.append(
+            f"SELECT date, '{kind}', 'time', CAST(n_{kind} AS DOUBLE), 0e0, n_{kind} || ' rows {text}', {len(parts)}"
+            f" FROM prof WHERE n_{kind} > 0"
+        )
     return union(parts)
 
 
@@ -67,9 +96,9 @@ PARTS = {
     "obs": f"SELECT {_COLUMNS}, CAST(0 AS BIGINT) AS spatial_ref FROM events WHERE {OBS_FILTER}",
     "regions": union(
         [
-            f"SELECT '{r.name}' AS region, {r.lat_min}e0 AS lat_min, {r.lat_max}e0 AS lat_max,"
-            f" {r.lon_min}e0 AS lon_min, {r.lon_max}e0 AS lon_max"
-            for r in REGIONS
+            f"SELECT '{name}' AS region, {lat_min}e0 AS lat_min, {lat_max}e0 AS lat_max,"
+            f" {lon_min}e0 AS lon_min, {lon_max}e0 AS lon_max"
+            for name, lat_min, lat_max, lon_min, lon_max in REGIONS
         ]
     ),
     "daily": (
@@ -253,6 +282,19 @@ def _profile_rows(table: str, columns: dict[str, str]) -> str:
     return union(parts)
 
 
+def _summary_rows(table: str, columns: dict[str, str]) -> str:
+    """What the sketched profile gives exactly, and that its approximate values are within their bounds."""
+    return union(
+        [
+            f"SELECT '{c}' AS column_name, '{t}' AS column_type, CAST(MIN({c}) AS VARCHAR) AS \"min\","
+            f" CAST(MAX({c}) AS VARCHAR) AS \"max\", {six(f'AVG({c})') if t == 'DOUBLE' else 'CAST(NULL AS DOUBLE)'} AS avg,"
+            f" COUNT({c}) AS \"count\", TRUE AS distinct_near,"
+            f" {'TRUE' if t == 'DOUBLE' else 'CAST(NULL AS BOOLEAN)'} AS quartiles_near FROM {table}"
+            for c, t in columns.items()
+        ]
+    )
+
+
 _CELL_METRICS = (
     "temperature_2m_mean",
     "temperature_2m_min",
@@ -303,16 +345,16 @@ def _list_when(conditions: dict[str, str]) -> str:
 
 
 _STORED = {v: f"NOT {v}__drop" for v in VARIABLES}
-_MADE = {d.name: " AND ".join(f"NOT {i}__drop" for i in d.inputs) for d in DERIVED}
+_MADE = {name: " AND ".join(f"NOT {i}__drop" for i in inputs) for name, inputs, *_ in DERIVED}
 _N_KEPT = " + ".join(f"CAST({c} AS INT)" for c in [f"({e})" for e in [*_STORED.values(), *_MADE.values()]])
 
 
 def _catalog() -> str:
     return union(
         [
-            f"SELECT '{d.name}' AS variable, '{d.units}' AS units, '{d.long_name}' AS long_name,"
-            f" '{d.description}' AS description, COUNT({d.name}) AS n_values FROM silver"
-            for d in DERIVED
+            f"SELECT '{name}' AS variable, '{units}' AS units, '{long_name}' AS long_name,"
+            f" '{description}' AS description, COUNT({name}) AS n_values FROM silver"
+            for name, _, units, long_name, description in DERIVED
         ]
     )
 
@@ -338,7 +380,7 @@ _FAILED = (
 
 
 def statements() -> dict[str, str]:
-    day = SLICED_DAY.isoformat()
+    day = SLICED_DAY
     pending = (
         "SELECT t.layer, t.transformation, r.date FROM requested r, ("
         + union([f"SELECT '{layer}' AS layer, '{name}' AS transformation" for layer, name in TABLES])
@@ -367,9 +409,9 @@ def statements() -> dict[str, str]:
             "SELECT vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS p FROM embeddings) e"
         ),
         "grid_pack": (
-            f"SELECT date, latitude, longitude, event_id // {PACK_BLOCK} AS block, CAST(COUNT(*) AS INT) AS steps,"
-            " array_to_string(list(COALESCE(CAST(temperature_2m AS VARCHAR), 'null') ORDER BY time, event_id), ',')"
-            f" AS packed FROM (SELECT event_id, {_COLUMNS} FROM events WHERE {OBS_FILTER}) o GROUP BY 1, 2, 3, 4"
+            f"SELECT date, latitude, longitude, COUNT(*) AS steps, CASE WHEN COUNT(*) <= {TIME_STEPS} THEN"
+            " array_to_string(list(COALESCE(CAST(temperature_2m AS VARCHAR), 'null') ORDER BY time, event_id), ',') END"
+            f" AS packed FROM (SELECT event_id, {_COLUMNS} FROM events WHERE {OBS_FILTER}) o GROUP BY 1, 2, 3"
         ),
         "hourly_global": over(
             "silver",
@@ -435,6 +477,7 @@ def statements() -> dict[str, str]:
             " MAX(temp_max) AS peak FROM daily_regional GROUP BY 1, 2) g) r WHERE rank <= 50",
         ),
         "mart_global_hottest_days": over("daily", _HOTTEST_MART),
+        "summarize_daily_global": over("daily", _summary_rows("daily", _DAILY_TYPES)),
         "profile_daily_global": over("daily", _profile_rows("daily", _DAILY_TYPES)),
         "profile_daily_regional": over(
             "daily_regional",
@@ -505,9 +548,9 @@ def statements() -> dict[str, str]:
         ),
         "lineage_gold": over(
             "cells silver ready regions",
-            f"SELECT 'gold' AS layer, 'daily_global' AS transformation, date, '{AGGREGATION_LOGIC}' AS aggregation_logic,"
-            f" '{json.dumps('Global')}' AS spatial_bounds, COUNT(*) AS row_count FROM cells GROUP BY date"
-            f" UNION ALL SELECT 'gold', 'daily_regional', date, '{AGGREGATION_LOGIC}', '{bounds_text(REGIONS)}',"
+            f"SELECT 'gold' AS layer, 'daily_global' AS transformation, date, '{CELL_LOGIC}' AS aggregation_logic,"
+            " '\"Global\"' AS spatial_bounds, COUNT(*) AS row_count FROM cells GROUP BY date"
+            f" UNION ALL SELECT 'gold', 'daily_regional', date, '{REGION_LOGIC}', '{REGION_BOUNDS}',"
             f" COUNT(DISTINCT region) FROM silver JOIN regions ON {_INSIDE}"
             " WHERE date IN (SELECT date FROM ready) GROUP BY date",
         ),

@@ -16,13 +16,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from isobar.operators import gold, lineage, quality
 from isobar.operators.silver import to_silver
-from isobar.session import stage
+from isobar.plans.marts import MARTS
+from isobar.session import release, stage, staged_so_far
 from isobar.sources import landing as land_source, tables
 from isobar.specs import (
     CELL_STATS,
     DERIVED,
-    GOLD_INPUTS,
     HOURLY_GRID,
+    NULL_THRESHOLD,
     REGION_STATS,
     REGIONS,
     SOURCE_NAME,
@@ -30,8 +31,9 @@ from isobar.specs import (
     Region,
 )
 
-
-HOURLY_COLUMNS = tuple(HOURLY_GRID.variable_names) + tuple(d.name for d in DERIVED)
+Stats = dict[str, tuple[str, ...]]
+Verdict = tuple[str, str | None]
+TABLES = (("bronze", "bronze"), ("silver", "silver"), ("gold", "daily_global"), ("gold", "daily_regional"))
 
 
 @dataclass(frozen=True)
@@ -59,6 +61,10 @@ class Layout:
     def daily_regional(self) -> str:
         return self.path("gold", "daily_regional")
 
+    @property
+    def marts(self) -> str:
+        return self.path("marts")
+
     @property
     def profile(self) -> str:
         return self.path("profile")
@@ -79,7 +85,12 @@ class RunReport:
 
 
 class Elt:
-    """One deployment: a session, a root folder and the declarations it runs under."""
+    """One deployment: a session, a root folder and the declarations it runs under.
+
+    ``cell_stats`` and ``region_stats`` name the statistics (mean, min, max) that the gold tables hold of each variable; those of
+    variables that ``spec`` neither declares nor has the inputs of are left out. ``threshold`` is the null share, in percent, from
+    which on a day drops a variable. Results do not depend on the session's time zone: days are UTC days.
+    """
 
     def __init__(
         self,
@@ -88,9 +99,17 @@ class Elt:
         spec: DatasetSpec = HOURLY_GRID,
         regions: tuple[Region, ...] = REGIONS,
         source: str = SOURCE_NAME,
+        cell_stats: Stats = CELL_STATS,
+        region_stats: Stats = REGION_STATS,
+        threshold: float = NULL_THRESHOLD,
     ) -> None:
-        self.spark, self.spec, self.regions, self.source = spark, spec, regions, source
+        self.spark, self.spec, self.regions, self.source, self.threshold = spark, spec, regions, source, threshold
         self.at = Layout(root)
+        self.derived = tuple(d.name for d in DERIVED if set(d.inputs) <= set(spec.variable_names))
+        self.variables = tuple(spec.variable_names) + self.derived
+        self.cell_stats = {v: s for v, s in cell_stats.items() if v in self.variables}
+        self.region_stats = {v: s for v, s in region_stats.items() if v in self.variables}
+        self.gold_inputs = tuple(dict.fromkeys((*self.cell_stats, *self.region_stats)))
 
     # tables
 
@@ -120,7 +139,7 @@ class Elt:
 
     def _silver_schema(self) -> T.StructType:
         fields = self._bronze_schema().fields
-        derived = [T.StructField(d.name, T.FloatType()) for d in DERIVED]
+        derived = [T.StructField(name, T.FloatType()) for name in self.derived]
         return T.StructType([*fields[:-1], *derived, fields[-1]])
 
     def bronze(self, days: list[date] | None = None) -> DataFrame:
@@ -134,146 +153,178 @@ class Elt:
     def silver(self, days: list[date] | None = None) -> DataFrame:
         return tables.read_days(self.spark, self.at.silver, self._silver_schema(), days)
 
-    def daily_global(self) -> DataFrame:
-        metrics = [T.StructField(f"{v}_{s}", T.FloatType()) for v, stats in CELL_STATS.items() for s in stats]
+    def daily_global(self, days: list[date] | None = None) -> DataFrame:
+        metrics = [T.StructField(f"{v}_{s}", T.FloatType()) for v, stats in self.cell_stats.items() for s in stats]
         keys = [
             T.StructField("latitude", T.DoubleType()),
             T.StructField("longitude", T.DoubleType()),
             T.StructField("spatial_ref", T.LongType()),
         ]
         schema = T.StructType([*keys, *metrics, T.StructField("date", T.DateType())])
-        return tables.read_days(self.spark, self.at.daily_global, schema)
+        return tables.read_days(self.spark, self.at.daily_global, schema, days)
 
-    def daily_regional(self) -> DataFrame:
-        metrics = [T.StructField(f"{v}_{s}", T.DoubleType()) for v, stats in REGION_STATS.items() for s in stats]
+    def daily_regional(self, days: list[date] | None = None) -> DataFrame:
+        metrics = [T.StructField(f"{v}_{s}", T.DoubleType()) for v, stats in self.region_stats.items() for s in stats]
         schema = T.StructType([T.StructField("region", T.StringType()), *metrics, T.StructField("date", T.DateType())])
-        return tables.read_days(self.spark, self.at.daily_regional, schema)
+        return tables.read_days(self.spark, self.at.daily_regional, schema, days)
 
     def views(self) -> dict[str, DataFrame]:
-        """The gold tables as the reports and the declared tests read them.
+        """The gold tables as the reports and the declared tests read them, and the marts built so far.
 
         The flat hourly table is a view: silver already holds exactly its rows.
         """
         cells, regional = self.daily_global(), gold.regional_view(self.daily_regional())
-        return {
-            "hourly_global": gold.hourly_table(self.silver(), HOURLY_COLUMNS),
+        found = {
+            "hourly_global": gold.hourly_table(self.silver(), self.variables),
             "daily_global": cells,
             "daily_regional": regional,
             "stg_daily_global": cells,
             "stg_daily_regional": regional,
         }
+        for name in MARTS:
+            stored = tables.stored(self.spark, f"{self.at.marts}/{name}")
+            if stored is not None:
+                found[name] = stored
+        return found
 
     # steps
 
     def _requested(self, days: list[date]) -> DataFrame:
         return self.spark.createDataFrame([(d,) for d in days], "date date")
 
-    def _finished(self, days: list[date]) -> set[tuple[str, date]]:
-        """The tables each listed day has reached: at most one entry per table and listed day."""
-        entries = self.ledger().where((F.col("status") == lineage.OK) & F.col("date").isin(days))
-        return {(r.transformation, r.date) for r in entries.select("transformation", "date").distinct().collect()}
+    def _verdicts(self, days: list[date]) -> dict[tuple[str, date], Verdict]:
+        """The last status and reason of each table and listed day, from one reading of the journal: at most four entries a day."""
+        entries = lineage.latest(self.ledger().where(F.col("date").isin(days))).collect()
+        return {(r.transformation, r.date): (r.status, r.reason) for r in entries}
 
-    def _pending(self, days: list[date], transformation: str) -> list[date]:
+    @staticmethod
+    def _pending(days: list[date], transformation: str, known: dict[tuple[str, date], Verdict]) -> list[date]:
         """Listed days still to do; as literals they prune partitions statically."""
-        finished = self._finished(days)
-        return sorted(d for d in set(days) if (transformation, d) not in finished)
+        return sorted(d for d in set(days) if known.get((transformation, d), ("", None))[0] != lineage.OK)
 
     def _finish(
-        self, layer: str, transformation: str, started: float, records: DataFrame, failures: DataFrame | None = None
+        self,
+        layer: str,
+        transformation: str,
+        started: float,
+        records: DataFrame | None,
+        reasons: dict[date, str],
+        known: dict[tuple[str, date], Verdict],
     ) -> None:
-        """Journal the days that were tried, in one append."""
+        """Journal the days that were tried, in one append. A failure that the journal has already is not repeated."""
+        new = [(d, r) for d, r in sorted(reasons.items()) if known.get((transformation, d)) != (lineage.FAILED, r)]
+        known |= {(transformation, d): (lineage.FAILED, r) for d, r in new}
+        if records is None and not new:
+            return
         seconds = round(time.time() - started, 2)
-        timed = records.withColumn("execution_duration_seconds", F.lit(seconds))
+        done = self.spark.createDataFrame([], lineage.LINEAGE) if records is None else records
+        timed = done.withColumn("execution_duration_seconds", F.lit(seconds))
+        failures = self.spark.createDataFrame(new, "date date, reason string") if new else None
         tables.append_rows(lineage.journal_rows(timed, failures, layer, transformation), self.at.journal)
 
-    def to_bronze(self, source: DataFrame, days: list[date]) -> list[date]:
+    def to_bronze(self, source: DataFrame, days: list[date], known: dict | None = None) -> list[date]:
         """Copy the pending days of the landing table, replacing what an earlier attempt left.
 
         The written days are profiled once; gate, null rule and lineage all read that profile.
         """
-        pending = self._pending(days, "bronze")
+        known = self._verdicts(days) if known is None else known
+        pending = self._pending(days, "bronze", known)
         if not pending:
             return pending
         started = time.time()
-        landed = land_source.days_slice(land_source.land(source), pending)
+        landed = land_source.land_days(source, pending)
         stored = [f for f in self._bronze_schema().fields if f.name in landed.columns]
         columns = [f.name for f in stored]
+        for path in (self.at.bronze, self.at.profile):
+            tables.drop_days(self.spark, path, pending)
         tables.write_days(landed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in stored]), self.at.bronze)
         profile = quality.day_profile(self.bronze(pending).select(*columns), self.spec)
         tables.write_days(profile, self.at.profile)
         profile = self.profile(pending)
-        records = lineage.bronze_lineage(profile, self.spec, self.source)
-        empty = self._requested(pending).join(profile, "date", "left_anti")
-        failures = empty.withColumn("reason", F.lit("No observations for this day"))
-        self._finish("bronze", "bronze", started, records, failures)
+        present = {r.date for r in profile.select("date").collect()}
+        records = lineage.bronze_lineage(profile, self.spec, self.source) if present else None
+        reasons = {d: "No observations for this day" for d in pending if d not in present}
+        self._finish("bronze", "bronze", started, records, reasons, known)
+        known |= {("bronze", d): (lineage.OK, None) for d in present}
         return pending
 
-    def to_silver(self, days: list[date]) -> list[date]:
+    def _judged(self, days: list[date]) -> dict[date, tuple[str | None, str | None]]:
+        """Per profiled day why it cannot reach silver, and why it cannot reach gold: at most one entry per listed day."""
+        status = quality.day_status(self.profile(days), self.spec, self.threshold)
+        lacking = F.array_join(lineage.gold_blockers(self.gold_inputs), ", ").alias("lacking")
+        rows = status.select("date", "reason", lacking).collect()
+        return {r.date: (r.reason, lineage.blocked_reason(r.lacking) if r.lacking else None) for r in rows}
+
+    def to_silver(self, days: list[date], known: dict | None = None) -> list[date]:
         """Gate the pending days, then write those that passed."""
-        pending = self._pending(days, "silver")
+        known = self._verdicts(days) if known is None else known
+        pending = self._pending(days, "silver", known)
         if not pending:
             return pending
         started = time.time()
-        status = stage(quality.day_status(self.profile(pending), self.spec))
-        floats = [f.name for f in self._silver_schema().fields if isinstance(f.dataType, T.FloatType)]
-        silver = to_silver(self.bronze(pending), status)
-        tables.write_days(tables.store_as_float(silver, floats), self.at.silver, laid_out=True)
-        failures = lineage.failed_days(status).where("stage = 'silver'")
-        records = lineage.silver_lineage(status, self.spec, self.source)
-        self._finish("silver", "silver", started, records, failures)
+        judged = self._judged(pending)
+        passed = sorted(d for d, (reason, _) in judged.items() if reason is None)
+        records = None
+        if passed:
+            status = stage(quality.day_status(self.profile(passed), self.spec, self.threshold))
+            floats = [f.name for f in self._silver_schema().fields if isinstance(f.dataType, T.FloatType)]
+            silver = to_silver(self.bronze(passed), status)
+            tables.drop_days(self.spark, self.at.silver, passed)
+            tables.write_days(tables.store_as_float(silver, floats), self.at.silver, laid_out=True)
+            records = lineage.silver_lineage(status, self.spec, self.source)
+        reasons = {d: reason for d, (reason, _) in judged.items() if reason is not None}
+        self._finish("silver", "silver", started, records, reasons, known)
+        known |= {("silver", d): (lineage.OK, None) for d in passed}
         return pending
 
-    def _rollup(self, transformation: str, ready: list[date]) -> DataFrame:
-        silver = self.silver(ready)
-        if transformation == "daily_regional":
-            return gold.regional_rollup(silver, self.regions)
-        cells = gold.daily_rollup(silver)
-        return tables.store_as_float(cells, [c for c in cells.columns if c.startswith(GOLD_INPUTS)])
-
-    def _gold_verdicts(self, days: list[date]) -> dict[date, str | None]:
-        """Why a passed day cannot reach gold, None where it can; at most one entry per listed day."""
-        status = quality.day_status(self.profile(days), self.spec)
-        blockers = F.array_join(lineage.gold_blockers(), ", ").alias("blockers")
-        rows = status.where("passed").select("date", blockers).collect()
-        return {r.date: lineage.blocked_reason(r.blockers) if r.blockers else None for r in rows}
-
-    def to_gold(self, days: list[date]) -> tuple[dict[str, list[date]], dict[str, int]]:
-        """Both rollups from finished silver days. A day that lacks an input reaches neither table."""
+    def to_gold(self, days: list[date], known: dict | None = None) -> tuple[dict[str, list[date]], dict[str, int]]:
+        """Both rollups from finished silver days, from one reading of silver. A day that lacks an input reaches neither table."""
+        known = self._verdicts(days) if known is None else known
         places = {
-            "daily_global": (self.at.daily_global, self.daily_global, json.dumps("Global")),
-            "daily_regional": (self.at.daily_regional, self.daily_regional, lineage.bounds_text(self.regions)),
+            "daily_global": (self.at.daily_global, self.daily_global, json.dumps("Global"), self.cell_stats),
+            "daily_regional": (self.at.daily_regional, self.daily_regional, lineage.bounds_text(self.regions), self.region_stats),
         }
-        finished = self._finished(days)
-        verdicts = self._gold_verdicts(sorted(d for d in set(days) if ("silver", d) in finished))
-        handled: dict[str, list[date]] = {}
+        finished = sorted(d for d in set(days) if known.get(("silver", d), ("", None))[0] == lineage.OK)
+        todo = {name: self._pending(finished, name, known) for name in places}
+        wanted = sorted(set().union(*todo.values()))
+        handled: dict[str, list[date]] = {name: [] for name in places}
         counts: dict[str, int] = {}
-        for transformation, (path, written, bounds) in places.items():
+        if not wanted:
+            return handled, counts
+        judged = self._judged(wanted)
+        ready = [d for d in wanted if judged[d][1] is None]
+        stats = {v: () for v in self.gold_inputs}
+        totals = stage(gold.cell_totals(self.silver(ready), stats)) if ready else None
+        for transformation, (path, written, bounds, own) in places.items():
             started = time.time()
-            pending = sorted(d for d in verdicts if (transformation, d) not in finished)
-            ready = [d for d in pending if verdicts[d] is None]
-            handled[transformation] = ready
-            if not pending:
-                continue
-            if ready:
+            pending = todo[transformation]
+            mine = [d for d in pending if d in set(ready)]
+            handled[transformation] = mine
+            records = None
+            if mine:
                 rows = Observation(transformation)
-                rollup = self._rollup(transformation, ready).observe(rows, F.count(F.lit(1)).alias("rows"))
-                tables.write_days(rollup, path)
+                chosen = totals.where(F.col("date").isin(mine))
+                if transformation == "daily_global":
+                    cells = gold.cells_from_totals(chosen, own)
+                    rollup = tables.store_as_float(cells, [c for c in cells.columns if c.startswith(self.gold_inputs)])
+                else:
+                    rollup = gold.regions_from_totals(chosen, self.regions, own)
+                tables.drop_days(self.spark, path, mine)
+                tables.write_days(rollup.observe(rows, F.count(F.lit(1)).alias("rows")), path)
                 counts[transformation] = rows.get["rows"]
-                done = written().where(F.col("date").isin(ready))
-                records = lineage.gold_lineage(done, transformation, bounds, self.source)
-                records = records.join(tables.day_sizes(self.spark, path), "date", "left")
-            else:
-                records = self.spark.createDataFrame([], lineage.LINEAGE)
-            reasons = [(d, verdicts[d]) for d in pending if verdicts[d] is not None]
-            blocked = self.spark.createDataFrame(reasons, "date date, reason string")
-            self._finish("gold", transformation, started, records, blocked)
+                records = lineage.gold_lineage(written(mine), transformation, bounds, self.source, own)
+                records = records.join(tables.day_sizes(self.spark, path, mine), "date", "left")
+            reasons = {d: judged[d][1] for d in pending if judged[d][1] is not None}
+            self._finish("gold", transformation, started, records, reasons, known)
+            known |= {(transformation, d): (lineage.OK, None) for d in mine}
         return handled, counts
 
-    def run(self, source: DataFrame, days: list[date], batch_days: int | None = None) -> RunReport:
+    def run(self, source: DataFrame, days: list[date], batch_days: int | None = None, redo: bool = False) -> RunReport:
         """All layers for the listed days; days finished earlier are skipped table by table.
 
         ``batch_days`` bounds the days per job. Each batch is journaled before the next one starts,
-        which limits both the shuffle files alive at a time and what a crash can cost.
+        which limits both the shuffle files alive at a time and what a crash can cost. It never changes a result.
+        ``redo`` takes the listed days back first, in the journal, so that they land again and everything is built anew from them.
         """
         started = time.time()
         handled: dict[str, list[date]] = {}
@@ -281,27 +332,31 @@ class Elt:
         ordered = sorted(set(days))
         size = batch_days or max(len(ordered), 1)
         for first in range(0, len(ordered), size):
-            batch = ordered[first : first + size]
-            done = {"bronze": self.to_bronze(source, batch), "silver": self.to_silver(batch)}
-            gold_days, written = self.to_gold(batch)
+            batch, mark = ordered[first : first + size], staged_so_far()
+            if redo:
+                self._take_back(batch)
+            known = self._verdicts(batch)
+            done = {"bronze": self.to_bronze(source, batch, known), "silver": self.to_silver(batch, known)}
+            gold_days, written = self.to_gold(batch, known)
+            release(mark)
             for table, dates in {**done, **gold_days}.items():
                 handled.setdefault(table, []).extend(dates)
             for table, count in written.items():
                 rows[table] = rows.get(table, 0) + count
         return RunReport(handled, rows, self.failed(ordered), round(time.time() - started, 2))
 
+    def _take_back(self, days: list[date]) -> None:
+        """Journal that the listed days are to be done again, then delete what is stored of them."""
+        marks = [lineage.journal_marks(self._requested(days), layer, name, lineage.REDO) for layer, name in TABLES]
+        tables.append_rows(land_source.concat_days(marks), self.at.journal)
+        for path in (self.at.bronze, self.at.profile, self.at.silver, self.at.daily_global, self.at.daily_regional):
+            tables.drop_days(self.spark, path, days)
+
     def failed(self, days: list[date]) -> dict[date, str]:
         """Listed days whose latest entry for some table is a failure."""
         rows = self.failures().where(F.col("date").isin(days)).select("date", "reason").distinct()
         return {r.date: r.reason for r in rows.collect()}
 
     def failures(self) -> DataFrame:
-        """The latest failure of each day and table that has not been finished since."""
-        entries = self.ledger()
-        finished = entries.where(F.col("status") == lineage.OK).select("layer", "transformation", "date")
-        return (
-            entries.where(F.col("status") == lineage.FAILED)
-            .join(finished, ["layer", "transformation", "date"], "left_anti")
-            .groupBy("layer", "transformation", "date")
-            .agg(F.max_by("reason", "recorded_at").alias("reason"))
-        )
+        """The days and tables whose last word is a failure, with its reason."""
+        return lineage.latest(self.ledger()).where(F.col("status") == lineage.FAILED).drop("status")

@@ -26,3 +26,22 @@ REPORTS: dict[str, Callable[[Views], DataFrame]] = {
     "diurnal_range": lambda v: analytics.diurnal_range(v["daily_global"]),
     "not_null_tests": lambda v: audit.not_null_tests(v),
 }
+
+# Reports on one column, which may be another one.
+VALUED: dict[str, Callable[[Views, str], DataFrame]] = {
+    "regional_trend": lambda v, value: analytics.regional_trend(v["daily_regional"], value, value),
+    "monthly_regional_averages": lambda v, value: analytics.monthly_averages(v["daily_regional"], value, f"{value}_avg"),
+    "hottest_days_per_region": lambda v, value: analytics.hottest_days(v["daily_regional"], value=value, name=value),
+    "compare_regions_over_time": lambda v, value: analytics.compare_regions(v["daily_regional"], value, f"{value}_avg"),
+    "rolling_7d": lambda v, value: analytics.rolling_mean(v["daily_regional"], 7, value, value, f"{value}_rolling_7d"),
+    "rolling_30d": lambda v, value: analytics.rolling_mean(v["daily_regional"], 30, value, value, f"{value}_rolling_30d"),
+}
+
+
+def report_on(name: str, views: Views, value: str | None = None) -> DataFrame:
+    """A report by name, on ``value`` instead of its own column if given."""
+    if value is None:
+        return REPORTS[name](views)
+    if name not in VALUED:
+        raise ValueError(f"{name} takes no column")
+    return VALUED[name](views, value)

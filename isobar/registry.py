@@ -20,7 +20,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SLICED_DAY = date(2024, 1, 10)
 DAYS_AHEAD = 6
-PACK_BLOCK = 65_536
 LIST_BLOCK = 4
 TABLES = (("bronze", "bronze"), ("silver", "silver"), ("gold", "daily_global"), ("gold", "daily_regional"))
 
@@ -175,15 +174,13 @@ def grid_flatten(spark, sf_dir):
 @query
 def grid_pack(spark, sf_dir):
     observations = fixtures.obs(spark, sf_dir, extra=("event_id",))
-    block = F.expr(f"event_id div {PACK_BLOCK}")
-    packed = grids.pack(observations, "temperature_2m", ("time", "event_id"), block)
+    packed = grids.pack(observations, "temperature_2m", ("time", "event_id"))
     values = F.transform("values", lambda v: v.cast("string"))
     return packed.select(
         "date",
         "latitude",
         "longitude",
-        "block",
-        F.size("values").alias("steps"),
+        F.col("rows").alias("steps"),
         F.array_join(values, ",", "null").alias("packed"),
     )
 
@@ -354,7 +351,11 @@ def profile_daily_regional(spark, sf_dir):
 
 @query
 def summarize_daily_global(spark, sf_dir):
-    return profile.profile(fixtures.daily(spark, sf_dir))
+    """The sketched profile, with its approximate values held against the bounds it states."""
+    cells = stage(fixtures.daily(spark, sf_dir))
+    checked = profile.within_bounds(cells, profile.profile(cells))
+    exact = ("column_name", "column_type", "min", "max", "avg", "count")
+    return rounded(checked.select(*exact, "distinct_near", "quartiles_near"), "avg")
 
 
 # days, text and paths
@@ -461,14 +462,14 @@ def duplicate_observations(spark, sf_dir):
 
 @query
 def gold_missing_partitions(spark, sf_dir):
-    cells = gold.daily_rollup(gold_silver_of(spark, sf_dir))
+    cells = finished_elt(spark, sf_dir).daily_global()
     missing = audit.missing_days(requested_days(obs(spark, sf_dir)), cells)
     return missing.select(text.title_label(F.lit("daily_global")).alias("table_label"), "date")
 
 
 @query
 def gold_null_report(spark, sf_dir):
-    return audit.table_null_report(gold.daily_rollup(gold_silver_of(spark, sf_dir)))
+    return audit.table_null_report(finished_elt(spark, sf_dir).daily_global())
 
 
 @query
@@ -520,7 +521,7 @@ def describe_daily_global(spark, sf_dir):
 
 @query
 def describe_daily_regional(spark, sf_dir):
-    return audit.describe(fixtures.daily_regional(spark, sf_dir), counts=True)
+    return audit.describe(stage(fixtures.daily_regional(spark, sf_dir)), counts=True)
 
 
 # whole runs

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from isobar.functions.dates import utc_day
+
 
 def clean(df: DataFrame) -> DataFrame:
     """NaN becomes NULL, once, here; from then on NULL is the only missing value."""
@@ -19,11 +21,27 @@ def clean(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+EPOCH = "TIMESTAMP '1970-01-01 00:00:00Z' + (time - TIMESTAMP_NTZ '1970-01-01 00:00:00')"
+
+
+def instants(df: DataFrame) -> DataFrame:
+    """A ``time`` without a zone is UTC, whatever the session's time zone."""
+    if isinstance(df.schema["time"].dataType, T.TimestampNTZType):
+        return df.withColumn("time", F.expr(EPOCH))
+    return df
+
+
 def land(df: DataFrame, spatial_ref: int = 0) -> DataFrame:
-    """Cleaned observations with the ``date`` key and the scalar coordinate as columns."""
+    """Cleaned observations with the ``date`` key and the scalar coordinate as columns.
+
+    A ``date`` that the landing table has is kept as it is; the gate compares it with ``time``. Without one, it is the
+    UTC day of ``time``.
+    """
     df = clean(df)
+    if "time" in df.columns:
+        df = instants(df)
     if "date" not in df.columns:
-        df = df.withColumn("date", F.to_date("time"))
+        df = df.withColumn("date", utc_day(F.col("time")))
     if "spatial_ref" not in df.columns:
         df = df.withColumn("spatial_ref", F.lit(spatial_ref).cast("bigint"))
     return df
@@ -34,21 +52,26 @@ def scan_observations(spark: SparkSession, path: str) -> DataFrame:
     return land(spark.read.parquet(path))
 
 
-def _midnight(day: date) -> Column:
-    start = datetime.combine(day, datetime.min.time())
-    return F.lit(start).cast("timestamp_ntz").cast("timestamp")
-
-
 def days_slice(df: DataFrame, days: list[date]) -> DataFrame:
-    """The listed UTC calendar days.
+    """The rows of the listed days.
 
-    The test on ``date`` prunes partitions; the one on ``time`` reaches row-group statistics.
+    A row belongs to its ``date`` and to nothing else, so that it is in the same slice however days are batched. On a
+    partitioned landing table the test prunes partitions.
     """
-    sliced = df.where(F.col("date").isin(days))
-    if not days or "time" not in df.columns:
-        return sliced
-    first, after = _midnight(min(days)), _midnight(max(days) + timedelta(days=1))
-    return sliced.where((F.col("time") >= first) & (F.col("time") < after))
+    return df.where(F.col("date").isin(days))
+
+
+def land_days(df: DataFrame, days: list[date]) -> DataFrame:
+    """``land`` and ``days_slice`` in one. Where ``date`` follows from ``time``, the days bound ``time`` as well, which reaches
+    row-group statistics and changes nothing else."""
+    if days and "date" not in df.columns:
+        bare = isinstance(df.schema["time"].dataType, T.TimestampNTZType)
+
+        def midnight(day: date) -> Column:
+            return F.lit(f"{day} 00:00:00{'' if bare else 'Z'}").cast("timestamp_ntz" if bare else "timestamp")
+
+        df = df.where((F.col("time") >= midnight(min(days))) & (F.col("time") < midnight(max(days) + timedelta(days=1))))
+    return days_slice(land(df), days)
 
 
 def day_slice(df: DataFrame, day: date) -> DataFrame:

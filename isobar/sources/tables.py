@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from isobar.session import delete
+
 LATITUDE_BAND = 15.0
 
 
@@ -49,10 +51,23 @@ def write_days(df: DataFrame, path: str, laid_out: bool = False) -> None:
     ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 
+def _folders(path: str, days: list[date]) -> str:
+    """The folders of some days as one pattern, so that the folders of other days are never listed."""
+    return f"{path}/date={{{','.join(sorted(d.isoformat() for d in days))}}}"
+
+
 def read_days(spark: SparkSession, path: str, schema: T.StructType, days: list[date] | None = None) -> DataFrame:
-    """Lazy read of a day table, without rows before its first write; ``days`` prunes partitions."""
-    df = read_or_empty(spark, path, schema)
-    return df if days is None else df.where(F.col("date").isin(days))
+    """Lazy read of a day table, without rows before its first write; with ``days`` only their folders are listed."""
+    if days is None:
+        return read_or_empty(spark, path, schema)
+    if not days:
+        return spark.createDataFrame([], schema)
+    return read_or_empty(spark, _folders(path, days), schema, path).where(F.col("date").isin(days))
+
+
+def drop_days(spark: SparkSession, path: str, days: list[date]) -> None:
+    """Delete the stored rows of some days, as far as there are any."""
+    delete(spark, *[f"{path}/date={d.isoformat()}" for d in days])
 
 
 def read_uneven_days(spark: SparkSession, path: str) -> DataFrame:
@@ -64,19 +79,30 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("append").parquet(path)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table, or no rows where nothing was written yet."""
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, root: str | None = None) -> DataFrame:
+    """The table, or no rows where nothing was written yet. ``root`` is the table's folder if ``path`` is below it."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.option("basePath", root or path).schema(schema).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
-def day_sizes(spark: SparkSession, path: str) -> DataFrame:
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table as it was written, or nothing if it never was."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def day_sizes(spark: SparkSession, path: str, days: list[date] | None = None) -> DataFrame:
     """Bytes and files per day, from the file listing alone: the content column is never read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("basePath", path)
+    files = reader.load(_folders(path, days) if days else path)
     return files.groupBy("date").agg(
         F.sum("length").alias("size_bytes"),
         F.count(F.lit(1)).alias("files"),

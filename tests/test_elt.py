@@ -1,15 +1,20 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from isobar.__main__ import main
 from isobar.functions.dates import days_frame
 from isobar.operators import audit, lineage
+from isobar.plans.audits import AUDITS
 from isobar.plans.elt import Elt
 from isobar.sources import tables
+from isobar.specs import HOURLY_GRID
 from tests.frames import day_rows, observations
 
 GOOD, HOT, BARE, LATE = (date(2024, 5, d) for d in (1, 2, 3, 4))
@@ -180,3 +185,127 @@ def test_silver_write_does_not_shuffle(elt, source):
     silver = elt.silver([GOOD])
     plan = silver.sortWithinPartitions("date")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def straddling(spark):
+    """48 rows of two complete days, and one of the first day whose time lies on the second."""
+    rows = [*day_rows(GOOD), *day_rows(HOT)]
+    return observations(spark, rows, [(day_rows(HOT)[5][0], GOOD, *day_rows(HOT)[5][2:])])
+
+
+@pytest.mark.parametrize("batch", [None, 1, 2])
+def test_batches_change_neither_rows_nor_verdicts(spark, root, batch):
+    elt = Elt(spark, root)
+    report = elt.run(straddling(spark), [GOOD, HOT], batch_days=batch)
+    assert elt.bronze().count() == 49
+    assert list(report.failed) == [GOOD] and "1 rows have a time on another day" in report.failed[GOOD]
+    assert days_of(elt.daily_global()) == [HOT]
+
+
+def test_rows_without_a_time_are_judged(spark, elt):
+    untimed = observations(spark, day_rows(GOOD), [(None, *day_rows(GOOD)[0][1:])])
+    report = elt.run(untimed, [GOOD])
+    assert elt.bronze().count() == 25
+    assert report.failed == {GOOD: "Data Quality Validation Failed:\n- 1 rows have no time"}
+
+
+@pytest.mark.parametrize("dated", [True, False])
+def test_session_zone_does_not_matter(spark, elt, root, dated):
+    source = observations(spark, day_rows(GOOD, EUROPE))
+    (source if dated else source.drop("date")).write.parquet(root + "/landing")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        landed = spark.read.parquet(root + "/landing")
+        report = elt.run(landed, [GOOD])
+        hours = audit.hours_check(elt.bronze(), 1).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert report.failed == {} and days_of(elt.daily_global()) == [GOOD]
+    assert hours.hours_equal and not hours.duplicate_timestamps
+
+
+def test_redo_lands_a_repaired_day(spark, elt):
+    broken, whole = (observations(spark, day_rows(GOOD, EUROPE, hours=h), day_rows(HOT, EUROPE)) for h in (20, 24))
+    assert list(elt.run(broken, [GOOD, HOT]).failed) == [GOOD]
+    assert list(elt.run(whole, [GOOD, HOT]).failed) == [GOOD]
+    report = elt.run(whole, [GOOD], redo=True)
+    assert report.failed == {} and report.days["bronze"] == [GOOD]
+    assert days_of(elt.daily_global()) == [GOOD, HOT] == days_of(elt.silver())
+    assert elt.bronze().count() == 96
+    assert elt.run(whole, [GOOD, HOT]).days == {"bronze": [], "silver": [], "daily_global": [], "daily_regional": []}
+
+
+def test_redo_of_a_day_that_lands_empty_leaves_nothing(spark, elt, source):
+    elt.run(source, [GOOD])
+    report = elt.run(source.where("date <> '2024-05-01'"), [GOOD], redo=True)
+    assert report.failed == {GOOD: "No observations for this day"}
+    for table in (elt.bronze(), elt.silver(), elt.daily_global(), elt.daily_regional()):
+        assert table.count() == 0
+    complete = lineage.gold_completeness(days_frame(spark, GOOD, GOOD), elt.ledger()).first()
+    assert complete.finished == 0
+
+
+def test_half_written_day_that_lands_empty_leaves_nothing(spark, elt, source):
+    tables.write_days(elt_image(spark, elt, day_rows(LATE, EUROPE, hours=3)), elt.at.bronze)
+    assert elt.run(source, [LATE]).failed == {LATE: "No observations for this day"}
+    assert elt.bronze().count() == 0
+
+
+def test_a_rerun_without_news_writes_nothing(elt, source):
+    elt.run(source, [GOOD, HOT, BARE])
+    entries = elt.journal().count()
+    elt.run(source, [GOOD, HOT, BARE])
+    assert elt.journal().count() == entries
+
+
+def test_temperature_only(spark, root, source):
+    spec = replace(HOURLY_GRID, variables=tuple(v for v in HOURLY_GRID.variables if v.name == "temperature_2m"))
+    elt = Elt(spark, root, spec=spec, region_stats={"temperature_2m": ("mean", "min", "max")}, source="elsewhere")
+    elt.run(source.drop("wind_u_10m", "wind_v_10m", "precipitation_surface"), [GOOD])
+    row = elt.daily_regional().where("region = 'europe'").first()
+    assert (row.temperature_2m_mean, row.temperature_2m_min, row.temperature_2m_max) == (11.5, 0.0, 23.0)
+    assert elt.daily_global().columns == ["latitude", "longitude", "spatial_ref", "temperature_2m_mean", "temperature_2m_min", "temperature_2m_max", "date"]
+    assert {r.source for r in elt.lineage().collect()} == {"elsewhere"}
+    logic = elt.lineage().where("transformation = 'daily_regional'").first().aggregation_logic
+    assert json.loads(logic)["metrics"] == {"temperature_2m": ["mean", "min", "max"]}
+
+
+def test_threshold_can_be_set(spark, root, source):
+    assert list(Elt(spark, root + "/a", threshold=60.0).run(source, [BARE]).failed) == []
+    assert list(Elt(spark, root + "/b").run(source, [BARE]).failed) == [BARE]
+
+
+def test_gold_sizes_are_file_sizes(elt, source):
+    elt.run(source, [GOOD])
+    folder = Path(elt.at.daily_global) / f"date={GOOD.isoformat()}"
+    stored = elt.lineage().where("transformation = 'daily_global'").first().size_bytes
+    assert stored == sum(f.stat().st_size for f in folder.glob("*.parquet"))
+
+
+def test_one_scan_of_silver_for_both_gold_tables(elt, source, monkeypatch):
+    reads = []
+    silver = Elt.silver
+    monkeypatch.setattr(Elt, "silver", lambda self, days=None: reads.append(days) or silver(self, days))
+    elt.run(source, [GOOD])
+    assert reads == [[GOOD]]
+
+
+def test_command_line(spark, root, source, capsys):
+    source.write.parquet(root + "/landing")
+    at = ["--root", root + "/tables"]
+    main(["run", "--landing", root + "/landing", "--start", GOOD.isoformat(), "--end", BARE.isoformat(), "--source", "here", *at], spark)
+    assert "2 days failed" in capsys.readouterr().out
+    main(["marts", *at], spark)
+    fresh = spark.newSession()
+    main(["sql", "SELECT COUNT(*) AS n FROM mart_regional_monthly_averages", *at], fresh)
+    assert capsys.readouterr().out.split() == ["n", "2"]
+    main(["sql", "SELECT * FROM mart_global_hottest_days", "--out", root + "/out", *at], fresh)
+    assert spark.read.parquet(root + "/out").columns == ["rlongitude", "rlatitude", "day", "tmp_max", "rank"]
+    main(["sql", "SELECT id FROM range(1500)", *at], spark)
+    assert len(capsys.readouterr().out.split()) == 1501
+    for name in AUDITS:
+        main(["audit", name, "--out", f"{root}/audit/{name}", *at], spark)
+    missing = {(r.table_name, r.date) for r in spark.read.parquet(f"{root}/audit/missing_days").collect()}
+    assert ("silver", HOT) in missing and ("daily_global", BARE) in missing and ("bronze", HOT) not in missing
+    main(["report", "rolling_7d", "--value", "wind_speed_mean", *at], spark)
+    assert capsys.readouterr().out.splitlines()[0].split() == ["region", "day", "wind_speed_mean", "wind_speed_mean_rolling_7d"]

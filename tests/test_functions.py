@@ -80,11 +80,16 @@ def test_calendar(spark):
         dates.month_start(later).alias("month"),
         dates.day_from_path(F.lit("bronze/date=2015-05-13/part-0.parquet")).alias("found"),
         dates.day_from_path(F.lit("bronze/date=2015-13-13/part-0.parquet")).alias("none"),
+        dates.day_from_path(F.lit("s3://b/date=1995-01-02/x")).alias("early"),
+        dates.day_from_path(F.lit("date=2024-02-31/x")).alias("no_such"),
+        dates.day_from_path(F.lit("2024-02-29/date=2024-03-01")).alias("first"),
+        dates.day_from_path(F.lit(None).cast("string")).alias("nothing"),
     ).first()
     assert row.next == date(2024, 2, 29)
     assert (row.gap, row.back) == (12, -12)
     assert row.days == [date(2025, 1, d) for d in (1, 2, 3, 4)]
     assert (row.month, row.found, row.none) == (date(2025, 1, 1), date(2015, 5, 13), None)
+    assert (row.early, row.no_such, row.first, row.nothing) == (date(1995, 1, 2), None, date(2024, 2, 29), None)
     assert dates.day_range(date(2025, 1, 30), date(2025, 2, 1)) == [date(2025, 1, 30), date(2025, 1, 31), date(2025, 2, 1)]
 
 
@@ -92,3 +97,10 @@ def test_rounding_ignores_the_order_of_a_sum(spark):
     df = spark.createDataFrame([(1.005,), (1.00499999999999,), (-1.005,), (2.3449,)], "x double")
     got = [r[0] for r in df.select(numeric.round_half_up(F.col("x"), 2)).collect()]
     assert got == [1.01, 1.01, -1.01, 2.34]
+
+
+def test_rounding_takes_any_double(spark):
+    values = [2e14, -2e14, 1e300, float("inf"), None, 9.9e12 + 0.125]
+    df = spark.createDataFrame([(v,) for v in [*values, float("nan")]], "x double")
+    got = [r[0] for r in df.select(numeric.round_half_up(F.col("x"), 2)).collect()]
+    assert got[:5] == values[:5] and got[5] == 9.9e12 + 0.13 and got[6] != got[6]

@@ -39,7 +39,11 @@ def test_binned_join_equals_broadcast_join(spark):
         (F.lit(-180.0) + F.floor(F.col("id") / 721) * 30.25).alias("longitude"),
     )
     wanted = sorted(map(tuple, gold.assign_regions(grid).collect()))
-    binned = gold.assign_regions(grid, REGIONS, broadcast_rows=0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    binned = gold.assign_regions(grid, REGIONS)
+    assert "SortMergeJoin" in binned._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "BroadcastNestedLoopJoin" not in binned._jdf.queryExecution().toString()
     assert sorted(map(tuple, binned.collect())) == wanted
     table = gold.assign_regions(grid, region_frame(spark))
@@ -90,3 +94,37 @@ def test_conditional_aggregates_equal_the_join(spark):
     assert "Join" not in inline._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, inline.collect())) == wanted
     assert gold.regional_rollup(df.where("latitude < 0")).count() == 0
+
+
+def some_boxes(n):
+    """Overlapping boxes; every third shares its name with another one."""
+    return tuple(
+        Region(f"r{i - i % 3 if i % 3 == 2 else i}", -80.0 + i % 40, -70.0 + 3 * (i % 40), -170.0 + i, -150.0 + 2 * (i % 100)) for i in range(n)
+    )
+
+
+@pytest.mark.parametrize("n", [1, 2, 8, 9, 20, 300])
+def test_boxes_of_one_name_are_one_region_in_either_form(spark, n):
+    rows = [(DAY, -85.0 + i % 170, -175.0 + (i * 7) % 350, i / 8, i % 50 / 8) for i in range(600)]
+    df = spark.createDataFrame(rows, "date date, latitude double, longitude double, temperature_2m double, wind_speed_10m double")
+    boxes = some_boxes(n)
+    joined = gold.regional_rollup(df, region_frame(spark, boxes))
+    assert "NestedLoop" not in joined._jdf.queryExecution().executedPlan().toString()
+    wanted = {}
+    for _, lat, lon, t, _ in rows:
+        for name in {b.name for b in boxes if b.lat_min <= lat <= b.lat_max and b.lon_min <= lon <= b.lon_max}:
+            wanted.setdefault(name, []).append(t)
+    expected = {name: (sum(t) / len(t), max(t)) for name, t in wanted.items()}
+    forms = [joined] + ([gold.regional_rollup(df, boxes)] if n <= 20 else [])
+    for form in forms:
+        assert {r.region: (r.temperature_2m_mean, r.temperature_2m_max) for r in form.collect()} == expected
+
+
+def test_rollups_from_totals_equal_rollups_from_silver(spark):
+    rows = [(DAY, 35.0 + i % 4, i % 3 * 1.0, None if i % 5 == 0 else i / 8, i / 4) for i in range(90)]
+    df = spark.createDataFrame(rows, "date date, latitude double, longitude double, temperature_2m double, wind_speed_10m double")
+    stats = {"temperature_2m": ("mean", "min", "max"), "wind_speed_10m": ("mean",)}
+    totals = gold.cell_totals(df, stats)
+    assert sorted(gold.cells_from_totals(totals, stats).collect()) == sorted(gold.daily_rollup(df, stats).collect())
+    from_cells = gold.regions_from_totals(totals, REGIONS, stats)
+    assert sorted(from_cells.collect()) == sorted(gold.regional_rollup(df, REGIONS, stats).collect())

@@ -26,6 +26,30 @@ def test_entry_returns_rows(spark):
     assert result.count() > 0
 
 
-def test_only_the_sketch_profile_has_no_sql():
-    assert set(registry.registered()) - set(entry.oracle_sql()) == {"summarize_daily_global"}
+# The order that each ordered query promises: column names, those with a minus downwards.
+ORDERS = {
+    "regional_trend": ("day", "region"),
+    "monthly_regional_averages": ("month", "tmp_avg", "region"),
+    "monthly_wind_averages": ("month", "wind_avg", "region"),
+    "mart_regional_monthly_averages": ("month", "tmp_avg", "region"),
+    "compare_regions_over_time": ("day", "region"),
+    "rolling_7d": ("day", "region"),
+    "rolling_30d": ("day", "region"),
+    "hottest_days_per_region": ("rank", "-tmp_max", "region"),
+    "mart_global_hottest_days": ("rank", "-tmp_max", "rlongitude", "rlatitude"),
+}
+
+
+@pytest.mark.parametrize("name", ORDERS)
+def test_ordered_queries_are_in_order(spark, name):
+    result = entry.queries()[name](spark, SF_DIR)
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Sort [") and ", true" in plan.splitlines()[0]
+    rows = result.collect()
+    keys = [tuple(-r[c[1:]] if c[0] == "-" else r[c] for c in ORDERS[name]) for r in rows]
+    assert len(rows) > 1 and keys == sorted(keys)
+
+
+def test_every_query_has_sql():
+    assert set(registry.registered()) <= set(entry.oracle_sql())
     assert set(entry.oracle_sql()) <= set(entry.queries())

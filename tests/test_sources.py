@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from isobar import session
@@ -32,7 +33,29 @@ def test_landing_scan_and_partition_pruning(spark, root):
     tables.write_days(observations(spark, day_rows(MONDAY), day_rows(TUESDAY)), root)
     scan = landing.scan_observations(spark, root)
     plan = landing.day_slice(scan, MONDAY)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date" in plan and "PushedFilters: [IsNotNull(time)" in plan
+    assert "PartitionFilters: [isnotnull(date" in plan
+
+
+def test_landing_without_a_date_is_pruned_by_time(spark, root):
+    observations(spark, day_rows(MONDAY), day_rows(TUESDAY)).drop("date").write.parquet(root)
+    sliced = landing.land_days(spark.read.parquet(root), [MONDAY])
+    plan = sliced._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(time), GreaterThanOrEqual(time" in plan
+    assert sliced.count() == 24
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Tokyo"])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_days_are_utc_days_in_any_session(spark, zone, kind):
+    rows = observations(spark, day_rows(MONDAY), day_rows(TUESDAY)).drop("date").withColumn("time", F.col("time").cast(kind))
+    rows = session.stage(rows)
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        counts = {r.date: r["count"] for r in landing.land(rows).groupBy("date").count().collect()}
+        sliced = landing.land_days(rows, [TUESDAY]).count()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert counts == {MONDAY: 24, TUESDAY: 24} and sliced == 24
 
 
 def test_write_replaces_only_its_days(spark, root):
@@ -88,7 +111,7 @@ def test_flatten_and_pack_are_inverse(spark):
     assert all(r["values"] == [None if h == 3 else float(h) for h in range(24)] for r in packed)
 
 
-def test_hot_cell_packs_into_bounded_arrays(spark):
+def test_cell_with_too_many_rows_is_reported_and_not_collected(spark):
     df = spark.range(1000).select(
         F.lit(MONDAY).alias("date"),
         F.lit(1.0).alias("latitude"),
@@ -97,9 +120,11 @@ def test_hot_cell_packs_into_bounded_arrays(spark):
         "id",
         F.col("id").cast("double").alias("v"),
     )
-    rows = grids.pack(df, "v", ("time", "id"), F.expr("id div 64")).collect()
-    assert max(len(r["values"]) for r in rows) == 64
-    assert sorted(v for r in rows for v in r["values"]) == [float(i) for i in range(1000)]
+    assert [(r.rows, r["values"]) for r in grids.pack(df, "v", ("time", "id")).collect()] == [(1000, None)]
+    whole = grids.pack(df, "v", ("id",), most=1000).first()
+    assert whole.rows == 1000 and whole["values"] == [float(i) for i in range(1000)]
+    nowhere = df.where("id < 3").withColumn("latitude", F.lit(None).cast("double"))
+    assert [(r.latitude, r["values"]) for r in grids.pack(nowhere, "v").collect()] == [(None, [0.0, 1.0, 2.0])]
 
 
 def test_scratch_folder_follows_the_cluster(spark):
@@ -110,6 +135,24 @@ def test_scratch_folder_follows_the_cluster(spark):
         assert first.startswith(base)
 
 
+def test_staged_folders_are_deleted(spark):
+    mark = session.staged_so_far()
+    staged = session.stage(spark.range(3))
+    assert staged.count() == 3
+    path = staged.inputFiles()[0].rpartition("/")[0]
+    session.release(mark)
+    assert tables.stored(spark, path) is None and session.staged_so_far() == mark
+
+
+def test_days_are_dropped(spark, root):
+    tables.write_days(observations(spark, day_rows(MONDAY), day_rows(TUESDAY)), root)
+    tables.drop_days(spark, root, [MONDAY, date(2023, 1, 1)])
+    assert spark.read.parquet(root).select("date").distinct().collect() == [(TUESDAY,)]
+    schema = spark.read.parquet(root).schema
+    assert tables.read_days(spark, root, schema, [MONDAY]).count() == 0
+    assert tables.read_days(spark, root, schema, [MONDAY, TUESDAY]).count() == 24
+
+
 def test_staged_tables_know_their_size(spark):
     staged = session.stage(spark.range(10))
     assert staged.count() == 10
