@@ -37,6 +37,7 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
     run.add_argument("--end", type=date.fromisoformat, help="last day of a range")
     run.add_argument("--batch-days", type=int, help="days per job; all at once if not given")
     run.add_argument("--redo", action="store_true", help="land the days again and rebuild everything from them")
+    run.add_argument("--laid-out", action="store_true", help="the landing is ordered by day and cell: copy it without a shuffle")
     run.add_argument("--source", default=SOURCE_NAME, help="where the landing comes from, for lineage")
     marts = commands.add_parser("marts", help="test the gold views and build the marts")
     audit = commands.add_parser("audit", help="print an audit of the stored tables")
@@ -72,7 +73,7 @@ def main(words: list[str] | None = None, spark: SparkSession | None = None) -> N
     elt = Elt(spark, asked.root, source=getattr(asked, "source", SOURCE_NAME))
     if asked.command == "run":
         days = [asked.date] if asked.date else day_range(asked.start, asked.end)
-        report = elt.run(scan_observations(spark, asked.landing), days, asked.batch_days, asked.redo)
+        report = elt.run(scan_observations(spark, asked.landing), days, asked.batch_days, asked.redo, asked.laid_out)
         print(f"Total execution time: {report.seconds:.2f}s")
         if report.failed:
             print(f"{len(report.failed)} days failed: {sorted(d.isoformat() for d in report.failed)}")

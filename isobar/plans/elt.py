@@ -222,10 +222,13 @@ class Elt:
         failures = self.spark.createDataFrame(new, "date date, reason string") if new else None
         tables.append_rows(lineage.journal_rows(timed, failures, layer, transformation), self.at.journal)
 
-    def to_bronze(self, source: DataFrame, days: list[date], known: dict | None = None) -> list[date]:
+    def to_bronze(
+        self, source: DataFrame, days: list[date], known: dict | None = None, laid_out: bool = False
+    ) -> list[date]:
         """Copy the pending days of the landing table, replacing what an earlier attempt left.
 
-        The written days are profiled once; gate, null rule and lineage all read that profile.
+        The written days are profiled once; gate, null rule and lineage all read that profile. A landing table that is
+        ``laid_out`` by day and cell already is copied without a shuffle.
         """
         known = self._verdicts(days) if known is None else known
         pending = self._pending(days, "bronze", known)
@@ -237,7 +240,8 @@ class Elt:
         columns = [f.name for f in stored]
         for path in (self.at.bronze, self.at.profile):
             tables.drop_days(self.spark, path, pending)
-        tables.write_days(landed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in stored]), self.at.bronze)
+        typed = landed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in stored])
+        tables.write_days(typed, self.at.bronze, laid_out)
         profile = quality.day_profile(self.bronze(pending).select(*columns), self.spec)
         tables.write_days(profile, self.at.profile)
         profile = self.profile(pending)
@@ -319,12 +323,20 @@ class Elt:
             known |= {(transformation, d): (lineage.OK, None) for d in mine}
         return handled, counts
 
-    def run(self, source: DataFrame, days: list[date], batch_days: int | None = None, redo: bool = False) -> RunReport:
+    def run(
+        self,
+        source: DataFrame,
+        days: list[date],
+        batch_days: int | None = None,
+        redo: bool = False,
+        laid_out: bool = False,
+    ) -> RunReport:
         """All layers for the listed days; days finished earlier are skipped table by table.
 
         ``batch_days`` bounds the days per job. Each batch is journaled before the next one starts,
         which limits both the shuffle files alive at a time and what a crash can cost. It never changes a result.
         ``redo`` takes the listed days back first, in the journal, so that they land again and everything is built anew from them.
+        ``laid_out`` says that the landing table is ordered by day and cell, and saves its shuffle.
         """
         started = time.time()
         handled: dict[str, list[date]] = {}
@@ -336,7 +348,7 @@ class Elt:
             if redo:
                 self._take_back(batch)
             known = self._verdicts(batch)
-            done = {"bronze": self.to_bronze(source, batch, known), "silver": self.to_silver(batch, known)}
+            done = {"bronze": self.to_bronze(source, batch, known, laid_out), "silver": self.to_silver(batch, known)}
             gold_days, written = self.to_gold(batch, known)
             release(mark)
             for table, dates in {**done, **gold_days}.items():

@@ -70,11 +70,6 @@ def drop_days(spark: SparkSession, path: str, days: list[date]) -> None:
     delete(spark, *[f"{path}/date={d.isoformat()}" for d in days])
 
 
-def read_uneven_days(spark: SparkSession, path: str) -> DataFrame:
-    """Read a day table whose partitions hold different variables; missing ones are NULL."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
-
-
 def append_rows(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("append").parquet(path)
 

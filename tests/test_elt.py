@@ -251,6 +251,13 @@ def test_half_written_day_that_lands_empty_leaves_nothing(spark, elt, source):
     assert elt.bronze().count() == 0
 
 
+def test_a_laid_out_landing_gives_the_same_tables(spark, root, source):
+    one, two = Elt(spark, root + "/one"), Elt(spark, root + "/two")
+    ordered = source.coalesce(1).sortWithinPartitions("date", "latitude", "longitude", "time")
+    assert one.run(source, [GOOD, HOT]).rows == two.run(ordered, [GOOD, HOT], laid_out=True).rows
+    assert sorted(map(str, one.bronze().collect())) == sorted(map(str, two.bronze().collect()))
+
+
 def test_a_rerun_without_news_writes_nothing(elt, source):
     elt.run(source, [GOOD, HOT, BARE])
     entries = elt.journal().count()

@@ -65,16 +65,6 @@ def test_write_replaces_only_its_days(spark, root):
     assert counts == {MONDAY: 24, TUESDAY: 5}
 
 
-def test_uneven_days_read_as_one_table(spark, root):
-    tables.write_days(observations(spark, day_rows(MONDAY)).drop("precipitation_surface"), root)
-    tables.write_days(observations(spark, day_rows(TUESDAY)), root)
-    df = tables.read_uneven_days(spark, root)
-    assert df.groupBy("date").agg(F.count("precipitation_surface").alias("n")).orderBy("date").collect() == [
-        (MONDAY, 0),
-        (TUESDAY, 24),
-    ]
-
-
 def test_concat_tolerates_uneven_variables(spark):
     a = observations(spark, day_rows(MONDAY)).drop("wind_u_10m")
     b = observations(spark, day_rows(TUESDAY))
