@@ -7,6 +7,9 @@ where sizes differ too much, and the first node of each part is the pivot of a r
 it is small. A larger one is cut: all its nodes are measured against several pivots, which links most of a dense group; the
 nodes left over go to the Voronoi region of their nearest pivot, together with all nodes in the window of distances that the
 triangle inequality leaves for their neighbours.
+
+Before texts are sent to a small region, sketches are: a set folded into bits, each the parity of the shingles that fall on it. Two
+sketches differ in no more bits than the sets in shingles, so nodes whose sketch is too far from all others of the region can be left out.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from isobar.llm.components import connected
 from isobar.llm.hashing import mixed, pieces, runs
@@ -27,6 +30,10 @@ SHINGLE = 5
 PERCENT = 80
 #: Nodes of one join task.
 REGION = 512
+#: Nodes of one task that compares sketches.
+SKETCH_PART = 4096
+#: Slots of document ids; bounds what is broadcast to pass over documents that no region asks for.
+SLOTS = 1 << 20
 #: Pivots of a large region.
 PIVOTS = 8
 #: Shingles are compared by 64 bits, cells are told apart by 48; equal cells of different shingles only cost comparisons.
@@ -67,6 +74,76 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
+#: Bits of a sketch per shingle, at least; rounded up to a power of two.
+SKETCH_BITS = 4
+
+
+def sketch(s: np.ndarray) -> bytes:
+    """The parity of the number of shingles on each of 2^k bits, 64 at the least."""
+    bits = max(64, 1 << int(len(s) * SKETCH_BITS - 1).bit_length())
+    count = np.bincount((mixed(s) & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((count & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(sketches: np.ndarray) -> np.ndarray:
+    """Sketches of half as many bits."""
+    half = sketches.shape[1] // 2
+    return sketches[:, :half] ^ sketches[:, half:]
+
+
+def near_in_sketch(size: np.ndarray, sketches: list[bytes], asks: np.ndarray, group: np.ndarray, percent: int) -> np.ndarray:
+    """Which of some nodes may have a neighbour in another group; only pairs with one that ``asks`` are looked at.
+
+    Neighbours differ in (100 - p) / (100 + p) of their shingles at the most, and their sketches in no more bits. Sizes of neighbours
+    differ so little that their sketches are equally long, or one twice as long as the other, which is folded then.
+    """
+    near, bits = np.zeros(len(size), bool), np.array([len(x) for x in sketches])
+
+    def compare(rows: np.ndarray, own: np.ndarray, others: np.ndarray, theirs: np.ndarray) -> None:
+        for i, row in zip(rows[asks[rows]], own[asks[rows]], strict=True):
+            close = (100 * size[others] >= percent * size[i]) & (100 * size[i] >= percent * size[others]) & (group[others] != group[i])
+            at = np.flatnonzero(close)
+            if len(at):
+                differ = np.bitwise_count(theirs[at] ^ row).sum(1, dtype=np.int64)
+                found = others[at[differ * (100 + percent) <= (100 - percent) * (size[i] + size[others[at]])]]
+                if len(found):
+                    near[i] = True
+                    near[found] = True
+
+    held = {}
+    for b in np.unique(bits).tolist():
+        rows = np.flatnonzero(bits == b)
+        held[b] = rows, np.frombuffer(b"".join(sketches[i] for i in rows), np.uint64).reshape(len(rows), -1)
+    for b, (rows, own) in held.items():
+        compare(rows, own, rows, own)
+        if 2 * b in held:
+            others, longer = held[2 * b]
+            compare(rows, own, others, _folded(longer))
+            compare(others, _folded(longer), rows, own)
+    return near
+
+
+def _near_members(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The rows (region, node) of nodes that may have a neighbour in their part; rows of a part follow one another."""
+
+    def chosen(region: int, rows: list[tuple]) -> pa.RecordBatch:
+        nodes, asks, groups, sizes, sketches = zip(*rows, strict=True)
+        near = near_in_sketch(np.array(sizes), list(sketches), np.array(asks) > 0, np.array(groups), percent)
+        ids = np.unique(np.array(nodes)[near])
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), region, np.int64)), pa.array(ids, pa.int64())], ["region", "node"])
+
+    key, rows = None, []
+    for batch in batches:
+        for region, part, *row in zip(*(batch.column(c).to_pylist() for c in ("region", "part", "node", "role", "comp", "n", "sketch")), strict=True):
+            if (region, part) != key:
+                if len(rows) > 1:
+                    yield chosen(key[0], rows)
+                key, rows = (region, part), []
+            rows.append(tuple(row))
+    if len(rows) > 1:
+        yield chosen(key[0], rows)
+
+
 def slack(n: int, percent: int = PERCENT) -> int:
     """Shingles that a set of n may have and a neighbour not."""
     return n - -(-n * percent // 100)
@@ -105,11 +182,11 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _first_shingles(batches: Iterator[pa.RecordBatch], common: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
-    """Per document its digest and the cells it lies in."""
+    """Per document its digest, the cells it lies in, and its sketch."""
     for batch in batches:
         ids = batch.column("doc_id")
         for row, texts in pieces(batch.column("text")):
-            n, d1, d2, cells = [], [], [], []
+            n, d1, d2, cells, sketches = [], [], [], [], []
             for s in shingle_sets(texts):
                 n.append(len(s))
                 a, b = _digest(s)
@@ -118,10 +195,11 @@ def _first_shingles(batches: Iterator[pa.RecordBatch], common: np.ndarray, perce
                 often = np.isin(s, common, assume_unique=True) if len(common) else np.zeros(len(s), bool)
                 order = np.concatenate([s[~often], s[often]])
                 cells.append((order[: slack(len(s), percent) + 1] & CELL_MASK).view(np.int64))
+                sketches.append(sketch(s))
             at = np.concatenate([[0], np.cumsum([len(c) for c in cells])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(cells)))
-            columns = [ids.slice(row, texts.n), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), lists]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "d1", "d2", "cells"])
+            columns = [ids.slice(row, texts.n), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), lists, pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "d1", "d2", "cells", "sketch"])
 
 
 # joining the nodes of one region in one task
@@ -244,6 +322,23 @@ def _measure_parts(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
         yield pa.RecordBatch.from_arrays(columns, ["region", "node", "distances"])
 
 
+def _whole(members: DataFrame) -> DataFrame:
+    """Regions (region, node, comp) as one part each, all of whose nodes meet."""
+    return members.select("region", F.lit(0).cast("bigint").alias("part"), F.lit(1).alias("role"), "node", "comp")
+
+
+def _against(some: DataFrame, every: DataFrame, most: int, group: Column) -> DataFrame:
+    """Parts in which some nodes (role 1) meet every node (role 0) of their region and group, in blocks of about half of ``most`` nodes
+    of either kind. Both frames have n_rest and n_all, the numbers of nodes."""
+    blocks = [F.ceil(F.col(n) * 2 / F.lit(most)).cast("int") for n in ("n_rest", "n_all")]
+    own = [F.pmod(F.xxhash64("node", F.lit(i)), b).cast("int") for i, b in enumerate(blocks)]
+    each = [F.explode(F.sequence(F.lit(0), b - 1)) for b in blocks]
+    part = (group.cast("bigint") * 2**56 + F.col("a").cast("bigint") * 2**28 + F.col("b")).alias("part")
+    left = some.withColumn("a", own[0]).withColumn("b", each[1]).select("region", part, F.lit(1).alias("role"), "node", "comp")
+    right = every.withColumn("b", own[1]).withColumn("a", each[0]).select("region", part, F.lit(0).alias("role"), "node", "comp")
+    return left.unionByName(right)
+
+
 class Join:
     """The similarity join of one table of documents (doc_id, text)."""
 
@@ -258,11 +353,11 @@ class Join:
         return np.sort(often.select("d1").toArrow()["d1"].to_numpy().astype(np.int64).view(np.uint64))
 
     def nodes(self, common: np.ndarray) -> DataFrame:
-        """One row per distinct shingle set: node, smallest doc_id, size, digest, cells."""
-        found = self.docs.mapInArrow(
-            partial(_first_shingles, common=common, percent=self.percent), "doc_id bigint, n bigint, d1 bigint, d2 bigint, cells array<bigint>"
-        )
-        sets = found.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("cells").alias("cells"))
+        """One row per distinct shingle set: node, smallest doc_id, size, digest, cells, sketch."""
+        schema = "doc_id bigint, n bigint, d1 bigint, d2 bigint, cells array<bigint>, sketch binary"
+        found = self.docs.mapInArrow(partial(_first_shingles, common=common, percent=self.percent), schema)
+        equal = [F.first(c).alias(c) for c in ("n", "cells", "sketch")]
+        sets = found.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), *equal)
         return stage(sets.withColumn("node", F.monotonically_increasing_id()))
 
     def members(self, nodes: DataFrame) -> DataFrame:
@@ -275,10 +370,27 @@ class Join:
         pairs = cells.select("node", pivot.alias("region")).where("node <> region").distinct()
         return stage(pairs.unionByName(pairs.select(F.col("region").alias("node"), "region").distinct()))
 
+    def near(self, nodes: DataFrame, rows: DataFrame) -> DataFrame:
+        """(region, node) of those of the rows (region, part, role, node, comp) that may have a neighbour of another comp in their part, by
+        their sketches. Rows of role 1 are compared with all."""
+        full = rows.join(nodes.select("node", "n", "sketch"), "node")
+        sorted_ = full.repartition("region", "part").sortWithinPartitions("region", "part")
+        return stage(sorted_.mapInArrow(partial(_near_members, percent=self.percent), "region bigint, node bigint").distinct())
+
     def texts(self, nodes: DataFrame, members: DataFrame) -> DataFrame:
-        """The texts of all nodes that have a region, once."""
-        wanted = members.select("node").distinct().join(nodes.select("node", "rep", "d1", "d2"), "node")
-        return stage(self.docs.join(wanted, self.docs["doc_id"].eqNullSafe(wanted["rep"])).select("node", "d1", "d2", "text"))
+        """The texts of the members, once each.
+
+        Documents none of whose hash slots is wanted are passed over before the shuffle; there are ``SLOTS`` slots, so what is
+        broadcast has that many rows at the most.
+        """
+        wanted = stage(members.select("node").distinct().join(nodes.select("node", "rep", "d1", "d2"), "node"))
+
+        def slot(key: str) -> Column:
+            return F.pmod(F.xxhash64(key), F.lit(SLOTS)).alias("slot")
+
+        slots = wanted.select(slot("rep")).distinct()
+        docs = self.docs.select("doc_id", "text", slot("doc_id")).join(F.broadcast(slots), "slot", "left_semi")
+        return stage(docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select("node", "d1", "d2", "text"))
 
     def _run(self, rows: DataFrame, texts: DataFrame, work: Callable, schema: str) -> DataFrame:
         """``work`` over the rows (region, part, role, node, comp) with their texts, a part in one task, pivots first."""
@@ -288,70 +400,81 @@ class Join:
     def links(self, nodes: DataFrame) -> DataFrame:
         """A spanning set of the links between nodes: (a, b), the same components as all links."""
         members = self.members(nodes)
-        texts = self.texts(nodes, members)
         sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
-        sized = members.join(sizes, "region")
-        small = sized.where(F.col("size") <= self.region).select("region", F.lit(0).alias("part"), F.lit(1).alias("role"), "node", F.col("node").alias("comp"))
-        found = stage(self._run(small, texts, _join_parts, LINKS))
+        sized = members.join(sizes, "region").withColumn("comp", F.col("node"))
+        small = self.near(nodes, _whole(sized.where(F.col("size") <= self.region)))
+        found = stage(self._run(_whole(small.withColumn("comp", F.col("node"))), self.texts(nodes, small), _join_parts, LINKS))
         large = stage(sized.where(F.col("size") > self.region))
         if large.isEmpty():
             return found
-        return found.unionByName(self.large_links(large, texts, found))
-
-    def _cut(self, size, node):
-        """A part of a region of ``size`` nodes, about ``region / 2`` nodes each."""
-        return F.pmod(F.xxhash64(node), F.ceil(size * 2 / F.lit(self.region))).cast("int")
-
-    def large_links(self, large: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
-        """Links within regions of more nodes than a task takes; ``large`` has (region, node, size)."""
+        stars = self.star_links(nodes, large)
+        open_ = self.open_members(nodes, large, found.unionByName(stars))
+        if open_ is None:
+            return found.unionByName(stars)
+        return found.unionByName(stars).unionByName(self.rest_links(nodes, open_))
+
+    def _parts(self, rows: DataFrame, most: int) -> DataFrame:
+        """Rows (region, node, comp) of role 1 dealt out to parts of about half of ``most`` nodes, with the region's pivots in every part
+        as role 2. Pivots are a few nodes chosen by a hash."""
+        counted = rows.join(rows.groupBy("region").agg(F.ceil(F.count(F.lit(1)) * 2 / F.lit(most)).cast("int").alias("parts")), "region")
         rank = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("node"), "node"))
-        pivots = stage(large.withColumn("rank", rank).where(F.col("rank") <= self.pivots).select("region", "node", "size"))
-        parts = F.explode(F.sequence(F.lit(0), F.ceil(F.col("size") * 2 / F.lit(self.region)).cast("int") - 1))
-        at_all = pivots.select("region", parts.alias("part"), F.lit(2).alias("role"), "node", F.col("node").alias("comp"))
-        own = large.select("region", self._cut(F.col("size"), F.col("node")).alias("part"), F.lit(1).alias("role"), "node", F.col("node").alias("comp"))
-        stars = stage(self._run(own.unionByName(at_all), texts, _join_parts, LINKS))
-
-        comps = connected(found.unionByName(stars))
-        labelled = large.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        pivots = counted.withColumn("rank", rank).where(F.col("rank") <= self.pivots)
+        part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")
+        own = counted.select("region", part, F.lit(1).alias("role"), "node", "comp")
+        every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+        return own.unionByName(pivots.select("region", every, F.lit(2).alias("role"), "node", "comp"))
+
+    def star_links(self, nodes: DataFrame, large: DataFrame) -> DataFrame:
+        """Links with the pivots of large regions, and those within their parts among nodes that look near to a pivot: nearly all of a dense
+        group, for one look at each node."""
+        dealt = self._parts(large.select("region", "node", "comp"), SKETCH_PART)
+        near = self.near(nodes, dealt.withColumn("role", (F.col("role") == 2).cast("int")))
+        rows = self._parts(near.withColumn("comp", F.col("node")), self.region)
+        return stage(self._run(rows, self.texts(nodes, near), _join_parts, LINKS))
+
+    def open_members(self, nodes: DataFrame, large: DataFrame, found: DataFrame) -> DataFrame | None:
+        """Of regions that are not one component yet, the nodes that may still have a neighbour of another component: (region, node,
+        comp, rest), ``rest`` for nodes outside the region's largest component. Every such pair has one of these."""
+        comps = connected(found)
+        labelled = stage(large.drop("comp", "size").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
         counts = labelled.groupBy("region", "comp").agg(F.count(F.lit(1)).alias("n"))
         main = counts.groupBy("region").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all")).where(F.col("top.n") < F.col("all"))
-        open_ = stage(labelled.join(main.select("region", F.col("top.comp").alias("main")), "region").withColumn("rest", F.col("comp") != F.col("main")))
-        if open_.isEmpty():
-            return stars
-        return stars.unionByName(self.window_links(open_, pivots, own, at_all, texts))
-
-    def window_links(self, open_: DataFrame, pivots: DataFrame, own: DataFrame, at_all: DataFrame, texts: DataFrame) -> DataFrame:
+        main = main.select("region", F.col("top.comp").alias("main"), (F.col("all") - F.col("top.n")).alias("n_rest"), F.col("all").alias("n_all"))
+        still = labelled.join(main, "region").withColumn("rest", F.col("comp") != F.col("main"))
+        near = self.near(nodes, _against(still.where("rest"), still, SKETCH_PART, F.lit(0)))
+        open_ = stage(near.join(still.select("region", "node", "comp", "rest"), ["region", "node"]))
+        return None if open_.isEmpty() else open_
+
+    def rest_links(self, nodes: DataFrame, open_: DataFrame) -> DataFrame:
+        """Links of the open nodes: of a region in one task if it has few of them, else by Voronoi regions."""
+        texts = self.texts(nodes, open_)
+        sized = stage(open_.join(open_.groupBy("region").agg(F.count(F.lit(1)).alias("size")), "region"))
+        links = stage(self._run(_whole(sized.where(F.col("size") <= self.region)), texts, _join_parts, LINKS))
+        large = sized.where(F.col("size") > self.region).drop("size")
+        return links if large.isEmpty() else links.unionByName(self.window_links(large, texts))
+
+    def window_links(self, open_: DataFrame, texts: DataFrame) -> DataFrame:
         """Links of the nodes outside their region's main component, by Voronoi regions and windows.
 
         A node goes to its nearest pivot. Its neighbours are at distances from that pivot that differ from its own by the radius at
         most, so every node in the window around the distances of a Voronoi region's own nodes comes there as well.
         """
         radius = 1 - self.percent / 100 + 1e-9
-        still = open_.select("region").distinct()
-        rows = own.unionByName(at_all).join(still, "region", "left_semi")
+        rows = stage(self._parts(open_.select("region", "node", "comp"), self.region))
         measured = self._run(rows, texts, _measure_parts, "region bigint, node bigint, distances array<double>")
         known = stage(measured.join(open_, ["region", "node"]).select("region", "node", "comp", "rest", "distances"))
-        near = known.where("rest").withColumn("home", F.array_position("distances", F.array_min("distances")).cast("int"))
+        nearest = F.array_position("distances", F.array_min("distances")).cast("int")
+        own = F.element_at("distances", F.col("home"))
+        near = known.where("rest").withColumn("home", nearest).withColumn("d", own)
         reach = near.groupBy("region", "home").agg(
-            (F.min(F.element_at("distances", F.col("home"))) - radius).alias("low"),
-            (F.max(F.element_at("distances", F.col("home"))) + radius).alias("high"),
-            F.count(F.lit(1)).alias("n_rest"),
+            (F.min("d") - radius).alias("low"), (F.max("d") + radius).alias("high"), F.count(F.lit(1)).alias("n_rest")
         )
-        at = known.join(reach, "region").withColumn("d", F.element_at("distances", F.col("home")))
-        inside = at.where(F.col("d").between(F.col("low"), F.col("high")))
-        home = F.array_position("distances", F.array_min("distances")).cast("int") == F.col("home")
-        inside = inside.select("region", "home", "node", "comp", (F.col("rest") & home).alias("mine"), "n_rest")
+        inside = known.join(reach, "region").where(own.between(F.col("low"), F.col("high")))
+        inside = inside.select("region", "home", "node", "comp", (F.col("rest") & (nearest == F.col("home"))).alias("mine"), "n_rest")
         n = inside.groupBy("region", "home").agg(F.count(F.lit(1)).alias("n_all"))
-        inside = inside.join(n, ["region", "home"])
-        # the own nodes in blocks of half a task, against all nodes of the window in blocks of half a task
-        rest_blocks, all_blocks = F.ceil(F.col("n_rest") * 2 / F.lit(self.region)).cast("int"), F.ceil(F.col("n_all") * 2 / F.lit(self.region)).cast("int")
-        mine = F.pmod(F.xxhash64("node", F.lit(1)), rest_blocks).cast("int")
-        theirs = F.pmod(F.xxhash64("node", F.lit(2)), all_blocks).cast("int")
-        every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-        task = lambda a, b: (F.col("home").cast("bigint") * 2**48 + a.cast("bigint") * 2**24 + b).alias("part")
-        left = inside.where("mine").withColumn("a", mine).withColumn("b", every(all_blocks)).select("region", task(F.col("a"), F.col("b")), F.lit(2).alias("role"), "node", "comp")
-        right = inside.withColumn("b", theirs).withColumn("a", every(rest_blocks)).select("region", task(F.col("a"), F.col("b")), F.lit(0).alias("role"), "node", "comp")
-        return stage(self._run(left.unionByName(right), texts, _join_parts, LINKS))
+        inside = stage(inside.join(n, ["region", "home"]))
+        rows = _against(inside.where("mine"), inside, self.region, F.col("home")).withColumn("role", F.col("role") * 2)
+        return stage(self._run(rows, texts, _join_parts, LINKS))
 
     def classes(self) -> DataFrame:
         """One row per document: doc_id, n_shingles, class_id (smallest doc_id with the same set), component_id (smallest reachable)."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from isobar.llm import jaccard
@@ -71,6 +72,29 @@ def test_awkward_rows(spark):
     assert jaccard.near_duplicates(frames.none(spark)).collect() == []
 
 
+def test_sketches_differ_in_no_more_bits_than_sets():
+    rng = np.random.default_rng(2)
+    sets = []
+    for i in range(120):
+        s = rng.integers(0, 2**63, 5 + 3 * i, dtype=np.uint64)
+        for _ in range(3):
+            changed = s.copy()
+            changed[: rng.integers(0, 2 + len(s) // 5)] = rng.integers(0, 2**63, 1)
+            sets.append(np.unique(changed))
+    everyone, alone_each = np.ones(len(sets), bool), np.arange(len(sets))
+    near = jaccard.near_in_sketch(np.array([len(s) for s in sets]), [jaccard.sketch(s) for s in sets], everyone, alone_each, 80)
+    for i, s in enumerate(sets):
+        common = np.array([len(np.intersect1d(s, t)) for t in sets])
+        union = len(s) + np.array([len(t) for t in sets]) - common
+        linked = 100 * common >= 80 * union
+        linked[i] = False
+        assert near[i] or not linked.any()
+    alone = [rng.integers(0, 2**63, 300, dtype=np.uint64) for _ in range(50)]
+    assert not jaccard.near_in_sketch(np.full(50, 300), [jaccard.sketch(s) for s in alone], everyone[:50], np.arange(50), 80).any()
+    same = [jaccard.sketch(alone[0])] * 4
+    assert jaccard.near_in_sketch(np.full(4, 300), same, np.array([True, False, False, False]), np.array([0, 0, 1, 2]), 80).tolist() == [True, False, True, True]
+
+
 def test_components(spark):
     random.seed(5)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 200), (300, 301), (301, 300)]
