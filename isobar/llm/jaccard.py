@@ -39,9 +39,9 @@ PIVOTS = 8
 #: Shingles are compared by 64 bits, cells are told apart by 48; equal cells of different shingles only cost comparisons.
 CELL_MASK = np.uint64((1 << 48) - 1)
 #: A shingle is common if this share of the documents of some stretch of the input has it; common ones come last in the order.
-COMMON = 1 / 256
-STRETCH = 4096
-LEAST_COMMON = 8
+COMMON = 1 / 2048
+STRETCH = 32_768
+LEAST_COMMON = 4
 
 
 def shingle_sets(texts, size: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -346,8 +346,8 @@ class Join:
         self.docs, self.percent, self.region, self.pivots = docs.select("doc_id", "text"), percent, region, pivots
 
     def common_shingles(self, survey: DataFrame) -> np.ndarray:
-        """Shingles of many documents. Each stretch names at most 256 times the mean set size, and a shingle counts if it was
-        named for one in 512 of all documents, so the list has a bound that does not grow with the input."""
+        """Shingles of many documents. A shingle counts if it was named for one in 4096 of all documents, so there are at most 4096 times
+        the mean number that a document has in the quarter of shingles surveyed, a bound that does not grow with the input."""
         n = survey.where("kind = 0").count()
         often = survey.where("kind = 1").groupBy("d1").agg(F.sum("n").alias("n")).where(F.col("n") >= max(LEAST_COMMON, n * COMMON / 2))
         return np.sort(often.select("d1").toArrow()["d1"].to_numpy().astype(np.int64).view(np.uint64))
@@ -402,9 +402,13 @@ class Join:
         members = self.members(nodes)
         sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
         sized = members.join(sizes, "region").withColumn("comp", F.col("node"))
-        small = self.near(nodes, _whole(sized.where(F.col("size") <= self.region)))
-        found = stage(self._run(_whole(small.withColumn("comp", F.col("node"))), self.texts(nodes, small), _join_parts, LINKS))
-        large = stage(sized.where(F.col("size") > self.region))
+        few = F.col("size") <= SKETCH_PART // 2
+        near = self.near(nodes, _whole(sized.where(few))).withColumn("comp", F.col("node"))
+        left = near.join(near.groupBy("region").agg(F.count(F.lit(1)).alias("size")), "region")
+        small = stage(left.where(F.col("size") <= self.region))
+        found = stage(self._run(_whole(small), self.texts(nodes, small), _join_parts, LINKS))
+        columns = ("region", "node", "comp")
+        large = stage(left.where(F.col("size") > self.region).select(*columns).unionByName(sized.where(~few).select(*columns)))
         if large.isEmpty():
             return found
         stars = self.star_links(nodes, large)
@@ -436,7 +440,7 @@ class Join:
         """Of regions that are not one component yet, the nodes that may still have a neighbour of another component: (region, node,
         comp, rest), ``rest`` for nodes outside the region's largest component. Every such pair has one of these."""
         comps = connected(found)
-        labelled = stage(large.drop("comp", "size").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+        labelled = stage(large.drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
         counts = labelled.groupBy("region", "comp").agg(F.count(F.lit(1)).alias("n"))
         main = counts.groupBy("region").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all")).where(F.col("top.n") < F.col("all"))
         main = main.select("region", F.col("top.comp").alias("main"), (F.col("all") - F.col("top.n")).alias("n_rest"), F.col("all").alias("n_all"))
