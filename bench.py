@@ -1,7 +1,8 @@
-"""Time the reports over stored gold tables, the marts, the audits and a full run. Prints one JSON line.
+"""Time a full run, and the reports, marts and audits over the gold tables it stores. Prints one JSON line.
 
-The reports run the way they are used: over gold tables that already exist as Parquet.
-Building those tables is timed on its own (``build_*``).
+The reports run the way they are used: over ``Elt.views()``, one folder per day. Those over whole cell tables run again over a
+table of several years (``*_years``), whose building is timed on its own (``build_*``). With ``BENCH_ROWS`` set, three operators also run
+over that many generated rows, next to DuckDB on the same files; these figures go to the entry ``large``.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ import time
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+import duckdb
+from pyspark.sql import SparkSession, functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -27,6 +29,49 @@ from isobar.sources import fixtures  # noqa: E402
 from isobar.specs import HOURLY_GRID  # noqa: E402
 
 REPEATS = 3
+CELL_COLUMNS = ("temperature_2m_mean", "temperature_2m_min", "temperature_2m_max", "wind_speed_10m_mean", "wind_speed_10m_max")
+
+
+def best(work: Callable) -> float:
+    times = []
+    for _ in range(REPEATS):
+        started = time.perf_counter()
+        work()
+        times.append(time.perf_counter() - started)
+    return round(min(times), 3)
+
+
+def large(spark: SparkSession, rows: int) -> dict[str, list[float]]:
+    """Seconds of Spark and of DuckDB, for the hottest day per location, the profile and the daily rollup of generated cells."""
+    path = scratch_root(spark)
+    number = F.col("id")
+    spark.range(rows).select(
+        F.date_add(F.lit("2015-01-01").cast("date"), (number % 360).cast("int")).alias("date"),
+        (90 - F.pmod(F.hash(number), F.lit(721)) * 0.25).alias("latitude"),
+        (-180 + F.pmod(F.hash(number, F.lit(1)), F.lit(1440)) * 0.25).alias("longitude"),
+        *[(F.pmod(F.hash(number, F.lit(i + 2)), F.lit(1120)) / 8 - 92).cast("float").alias(c) for i, c in enumerate(CELL_COLUMNS)],
+    ).write.parquet(path)
+    cells = spark.read.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW cells AS SELECT * FROM read_parquet('{path.removeprefix('file:')}/*.parquet')")
+    hottest = (
+        "SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY lon, lat ORDER BY peak DESC, date) AS rank FROM (SELECT ROUND(longitude, 0)"
+        " AS lon, ROUND(latitude, 0) AS lat, date, MAX(temperature_2m_max) AS peak FROM cells WHERE temperature_2m_max >= 45 GROUP BY 1, 2, 3))"
+        " WHERE rank = 1"
+    )
+    rollup = "SELECT COUNT(*) FROM (SELECT date, latitude, longitude, AVG(temperature_2m_mean), MAX(temperature_2m_max) FROM cells GROUP BY 1, 2, 3)"
+    by_cell = cells.groupBy("date", "latitude", "longitude").agg(F.avg("temperature_2m_mean"), F.max("temperature_2m_max"))
+    return {
+        "hottest_day_per_location": [
+            best(lambda: REPORTS["hottest_day_per_location"]({"daily_global": cells}).collect()),
+            best(lambda: con.execute(hottest).fetchall()),
+        ],
+        "summarize": [
+            best(lambda: REPORTS["summarize_daily_global"]({"daily_global": cells}).collect()),
+            best(lambda: con.execute("SUMMARIZE cells").fetchall()),
+        ],
+        "daily_rollup": [best(by_cell.count), best(lambda: con.execute(rollup).fetchall())],
+    }
 
 
 def main() -> None:
@@ -54,18 +99,6 @@ def main() -> None:
         return result
 
     spark.range(10**6).selectExpr("sum(id)").collect()
-    cells = timed("build_daily_global", lambda: stage(fixtures.daily(spark, sf_dir)), REPEATS)
-    regional = timed("build_daily_regional", lambda: stage(fixtures.daily_regional(spark, sf_dir)), REPEATS)
-    views = {
-        "daily_global": cells,
-        "daily_regional": regional,
-        "stg_daily_global": cells,
-        "stg_daily_regional": regional,
-    }
-    for name, report in REPORTS.items():
-        timed(name, lambda report=report: report(views).collect(), REPEATS)
-    timed("marts_with_tests", lambda: build_marts(spark, views, scratch_root(spark)), REPEATS)
-
     source = fixtures.obs(spark, sf_dir)
     days = observed_days(source)
 
@@ -76,6 +109,16 @@ def main() -> None:
 
     elt = timed("elt_run", run_all, REPEATS)
     timed("elt_rerun_failed_days", lambda: elt.run(source, days))
+    views = elt.views()
+    for name, report in REPORTS.items():
+        timed(name, lambda report=report: report(views).collect(), REPEATS)
+    timed("marts_with_tests", lambda: build_marts(spark, views, scratch_root(spark)), REPEATS)
+
+    cells = timed("build_daily_global", lambda: stage(fixtures.daily(spark, sf_dir)), REPEATS)
+    regional = timed("build_daily_regional", lambda: stage(fixtures.daily_regional(spark, sf_dir)), REPEATS)
+    years = {"daily_global": cells, "daily_regional": regional}
+    for name in ("summarize_daily_global", "hottest_day_per_location", "diurnal_range", "rolling_30d", "hottest_days_per_region"):
+        timed(f"{name}_years", lambda name=name: REPORTS[name](years).collect(), REPEATS)
 
     def audit_layers() -> None:
         for layer in (elt.bronze(), elt.silver()):
@@ -101,7 +144,13 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "sf": float(sf_dir.rstrip("/").rsplit("sf", 1)[-1]),
-                "rows": {"daily_global": cells.count(), "daily_regional": regional.count()},
+                "rows": {
+                    "daily_global": views["daily_global"].count(),
+                    "daily_regional": views["daily_regional"].count(),
+                    "daily_global_years": cells.count(),
+                    "daily_regional_years": regional.count(),
+                },
+                **({"large": large(spark, int(os.environ["BENCH_ROWS"]))} if os.environ.get("BENCH_ROWS") else {}),
             }
         )
     )
