@@ -3,18 +3,24 @@
 A line begins a new chunk where the rolling hash of the lines from it on is smaller than that of the line before and not larger than
 that of the line after. That depends on nearby lines alone, so insertions elsewhere do not shift the cuts, and it keeps cuts two
 lines apart: every chunk of a text with two or more lines has two or more lines. Of the chunks with the same bytes all but the
-first are removed.
+first are removed. A passage of a few lines rarely has a whole chunk of its own, so chunks miss most of those.
+
+``dedup_runs`` misses none: it compares every line with the next one, so a repeated run needs no cut at its ends.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from isobar.llm.common import let, trimmed
+from isobar.llm.common import let, trimmed, word_count
 from isobar.session import stage
 
 #: Lines under the rolling hash.
 WINDOW = 2
+#: A line of more words than this is a run by itself.
+LONG = 50
 KEYS = ("id", "salt")
 
 
@@ -79,6 +85,60 @@ def repeated_chunks(rows: DataFrame, window: int) -> DataFrame:
     return repeats.groupBy(*KEYS).agg(F.array_sort(F.collect_set(F.struct("start", "n", "chunk"))).alias("repeats"))
 
 
+def units(rows: DataFrame) -> DataFrame:
+    """Key, first line, number of lines and hashes of the smallest runs that count: from a line that holds more than space to the next
+    such line, and a line of more than ``LONG`` words. Each longer run is a chain of them."""
+
+    def spans(lines: Column) -> Column:
+        def unit(start: Column, n: Column) -> Column:
+            text = F.array_join(F.slice(lines, start + 1, n), "\n")
+            return F.struct(start.alias("start"), n.alias("n"), F.xxhash64(text).alias("h"), F.hash(text).alias("g"))
+
+        def chain(filled: Column) -> Column:
+            after = F.slice(filled, 2, F.greatest(F.size(filled) - 1, F.lit(0)))
+            pairs = F.transform(after, lambda i, k: unit(F.get(filled, k), i - F.get(filled, k) + 1))
+            long = F.filter(filled, lambda i: word_count(F.get(lines, i)) > LONG)
+            return F.concat(pairs, F.transform(long, lambda i: unit(i, F.lit(1))))
+
+        return let(F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: trimmed(F.get(lines, i)) != ""), chain)
+
+    known = rows.where("body IS NOT NULL").select(*KEYS, F.explode(let(F.split("body", "\n"), spans)).alias("unit"))
+    return known.select(*KEYS, "unit.*")
+
+
+def repeated_units(rows: DataFrame) -> DataFrame:
+    """As ``repeated_chunks``, of units; a copy that overlaps the one that stays is none."""
+    marks = stage(units(rows))
+    at = F.struct("id", "salt", "start", "n")
+    groups = marks.groupBy("h", "g").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last")
+    wanted = groups.groupBy(F.col("first.id").alias("id"), F.col("first.salt").alias("salt")).agg(
+        F.collect_list(F.struct("h", "g", "first")).alias("wanted")
+    )
+
+    def texts(lines: Column) -> Column:
+        return F.transform("wanted", lambda w: F.struct(w["h"].alias("h"), w["g"].alias("g"), w["first"].alias("first"), span_text(lines, w["first"]).alias("chunk")))
+
+    found = rows.select(*KEYS, "body").join(wanted, list(KEYS)).select(F.explode(let(F.split("body", "\n"), texts)).alias("w")).select("w.*")
+    stays = found.groupBy("h", "g").agg(F.min("first").alias("first"), F.min("chunk").alias("chunk"))
+    apart = (F.struct(*KEYS) != F.struct("first.id", "first.salt")) | (F.col("first.start") + F.col("first.n") <= F.col("start"))
+    repeats = marks.join(stays, ["h", "g"]).where(apart)
+    return repeats.groupBy(*KEYS).agg(F.array_sort(F.collect_set(F.struct("start", "n", "chunk"))).alias("repeats"))
+
+
+def merged(spans: Column) -> Column:
+    """The lines of ``spans``, which are in order and may overlap, as spans that do not."""
+
+    def ends(s: Column) -> Column:
+        def end(x: Column) -> Column:
+            return x["start"] + x["n"]
+
+        begin = F.filter(s, lambda x, k: (k == 0) | (x["start"] >= end(F.get(s, k - 1))))
+        last = F.filter(s, lambda x, k: (k == F.size(s) - 1) | (F.get(s, k + 1)["start"] >= end(x)))
+        return F.zip_with(begin, last, lambda b, e: F.struct(b["start"].alias("start"), (end(e) - b["start"]).alias("n")))
+
+    return let(spans, ends)
+
+
 def without(lines: Column, spans: Column) -> Column:
     """``lines`` without the lines of ``spans``, which are in order and do not overlap."""
 
@@ -101,16 +161,31 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id"
     empty one has one line. Rows equal in id and text count as one document and are treated alike; a NULL id counts as the
     smallest. ``id_column`` and ``text_column`` are read, other columns pass through whatever their names. An empty table gives no rows.
     """
+    return _cut(docs, lambda rows: repeated_chunks(rows, window), lambda spans: spans, id_column, text_column)
+
+
+def dedup_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """As ``dedup_lines``, but every run of lines goes that stands at an earlier place, whatever surrounds it.
+
+    A run counts if two of its lines hold more than space, or if it is a line of more than ``LONG`` words; blank lines go inside a run
+    only. Earlier is an earlier document by id, or an earlier place of the same document that does not overlap. Each line that is
+    removed stays somewhere; where two runs overlap, their copies that stay may lie in different documents.
+    """
+    return _cut(docs, repeated_units, merged, id_column, text_column)
+
+
+def _cut(docs: DataFrame, repeated: Callable[[DataFrame], DataFrame], apart: Callable[[Column], Column], id_column: str, text_column: str) -> DataFrame:
+    """``docs`` without the spans that ``repeated`` finds; ``apart`` makes them free of overlaps."""
     rows = docs.select(F.struct(*docs.columns).alias("row"))
     known = F.coalesce(F.col("row")[id_column].cast("bigint"), F.lit(-(2**63)).cast("bigint"))
     salt = F.coalesce(F.substring(F.md5(F.col("row")[text_column]), 1, 16), F.lit(""))
     rows = rows.select(known.alias("id"), salt.alias("salt"), F.col("row")[text_column].alias("body"), "row")
-    joined = rows.drop("body").join(repeated_chunks(rows.drop("row"), window), list(KEYS), "left")
+    joined = rows.drop("body").join(repeated(rows.drop("row")), list(KEYS), "left")
     body = F.col("row")[text_column]
 
     def verified(lines: Column) -> Column:
         same = F.filter(F.col("repeats"), lambda r: span_text(lines, r) == r["chunk"])
-        return F.struct(lines.alias("lines"), F.transform(same, lambda r: F.struct(r["start"].alias("start"), r["n"].alias("n"))).alias("spans"))
+        return F.struct(lines.alias("lines"), apart(F.transform(same, lambda r: F.struct(r["start"].alias("start"), r["n"].alias("n")))).alias("spans"))
 
     checked = joined.select("row", F.when(F.col("repeats").isNotNull(), let(F.split(body, "\n"), verified)).alias("cut"))
     left = let(F.col("cut"), lambda c: F.array_join(without(c["lines"], c["spans"]), "\n"))

@@ -63,6 +63,12 @@ def op6_line_dedup(spark, sf_dir):
     return cut.select("row.doc_id", "n_lines", "n_removed", F.col("kept_text").alias("text"))
 
 
+@query
+def op6_line_runs(spark, sf_dir):
+    cut = line_dedup.dedup_runs(table(spark, sf_dir, "documents"))
+    return cut.select("row.doc_id", "n_lines", "n_removed", F.col("kept_text").alias("text"))
+
+
 @query
 def op7_quality_rules(spark, sf_dir):
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
