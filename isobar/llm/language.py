@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from isobar.llm.charmodel import GRAMS, PIECE, Alphabet, Model, count_task, counted, letters_only
+from isobar.llm.charmodel import PIECE, Alphabet, Tables, count_task, fitted, letters_only
 from isobar.llm.hashing import pieces
 from isobar.session import stage
 
@@ -28,7 +28,7 @@ LEAD_BINS = 100
 REJECT = 0.5
 
 
-def _score(batches: Iterator[pa.RecordBatch], model: Model, languages: Sequence[str]) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], model: Tables, languages: Sequence[str]) -> Iterator[pa.RecordBatch]:
     alphabet = Alphabet(letters_only)
     names = np.array([*languages, None], object)
     for batch in batches:
@@ -64,14 +64,12 @@ def rising(right: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.concatenate([np.full(int(k), r / m) for r, m, k in pools])
 
 
-def identify(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", most: int = GRAMS
-) -> DataFrame:
+def identify(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score, lead, rejected.
 
-    Models count the characters of all documents with a language and an id in the training folds; the id only decides the fold. The
-    grams kept, ``most`` for all languages together, are what is collected. The score is the share of calibration documents with
-    such a lead whose prediction is right, made to rise with the lead; a score below REJECT marks the prediction as rejected.
+    Models count the characters of all documents with a language and an id in the training folds, and keep all grams; the id only
+    decides the fold. The score is the share of calibration documents with such a lead whose prediction is right, made to rise with
+    the lead; a score below REJECT marks the prediction as rejected.
 
     A text without a letter (NULL and empty ones too) is ``und`` with score 0, as is every text where there is nothing to learn from. A NULL id
     counts as held out. Equal cross-entropies go to the language first by code point. An empty table gives no rows. Other columns are not read.
@@ -81,8 +79,7 @@ def identify(
     )
     training = rows.where((F.col("fold") != 0) & (F.col("fold") != CALIBRATION_FOLD) & F.col("label").isNotNull())
     languages = sorted(r["label"] for r in training.select("label").distinct().collect())
-    k, codes, n = counted(training.select("label", "text"), partial(count_task, classes=languages, rule=letters_only), most)
-    model = Model(k, codes, n, len(languages))
+    model = fitted(training.select("label", "text"), partial(count_task, classes=languages, rule=letters_only), len(languages))
     kept = rows.drop("text").schema
     scored = stage(rows.mapInArrow(partial(_score, model=model, languages=languages), schema_of(kept, "best string, lead double")))
 

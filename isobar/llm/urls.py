@@ -14,7 +14,7 @@ import pyarrow as pa
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from isobar.llm.charmodel import PIECE, Alphabet, Model, any_character, count_task, counted
+from isobar.llm.charmodel import PIECE, Alphabet, Tables, any_character, count_task, fitted
 from isobar.llm.hashing import pieces
 from isobar.llm.importance import threshold
 from isobar.session import stage
@@ -50,7 +50,7 @@ def rule_of(host_: Column, path_: Column, rules: Sequence[tuple[str, str]], valu
     return found
 
 
-def _differences(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+def _differences(batches: Iterator[pa.RecordBatch], model: Tables) -> Iterator[pa.RecordBatch]:
     alphabet = Alphabet(any_character)
     for batch in batches:
         difference, known = np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool)
@@ -86,9 +86,8 @@ def filter_urls(
     judged = judged.withColumn("label", rule_of(F.col("host"), F.col("path"), rules, 1))
     judged = judged.withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS)))
     training = judged.where("label IS NOT NULL AND fold <> 0").select("label", "text")
-    k, codes, n = counted(training, partial(count_task, classes=VERDICTS, rule=any_character))
-    both = len(np.unique(k)) == len(VERDICTS)
-    model = Model(k, codes, n, len(VERDICTS), least_context)
+    model = fitted(training, partial(count_task, classes=VERDICTS, rule=any_character), len(VERDICTS), least_context)
+    both = model.seen == len(VERDICTS)
     schema = "page_id {}, host string, path string, rule string, label string, fold bigint, difference double".format(dict(judged.dtypes)["page_id"])
     scored = stage(judged.mapInArrow(partial(_differences, model=model), schema))
 

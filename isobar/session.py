@@ -60,6 +60,13 @@ def _release_at_exit() -> None:
         pass  # the session is gone, and what remains lies in the cluster's checkpoint folder
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A fresh folder as ``scratch_root`` names it, deleted by ``release`` or at the end of the program."""
+    path = scratch_root(spark)
+    _STAGED.append((spark, path))
+    return path
+
+
 def stage(df: DataFrame, root: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -68,8 +75,6 @@ def stage(df: DataFrame, root: str | None = None) -> DataFrame:
     ``spark.sql.autoBroadcastJoinThreshold`` and sort-merged above it. The folder is deleted by ``release`` or at the
     end of the program; a ``root`` of the caller's is the caller's to delete.
     """
-    path = root or scratch_root(df.sparkSession)
-    if not root:
-        _STAGED.append((df.sparkSession, path))
+    path = root or shared_folder(df.sparkSession)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
