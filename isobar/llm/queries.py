@@ -7,9 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from isobar.llm import bpe, importance, jaccard, language, line_dedup, mixing, quality_rules, sharding, urls, vectors
+from isobar.llm import bpe, importance, jaccard, language, line_dedup, mixing, quality_rules, sharding, token_files, urls, vectors
 from isobar.llm.common import table
-from isobar.session import configure
+from isobar.session import configure, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,3 +97,9 @@ def op9_neighbours(spark, sf_dir):
 @query
 def op10_language(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_token_files(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return token_files.write_tokens(docs, shared_folder(spark), public_tokenizers.path("byte_bpe_50k.json")).documents()
