@@ -108,5 +108,40 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM judged j JOIN rated r ON j.host IS NOT DISTINCT FROM r.host"""
 
 
+def op12_merkle() -> str:
+    # CRC-32 by its definition: a byte is added to the register, which then takes eight steps
+    steps = "flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    crc = f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {steps}), lambda r, s: CASE WHEN s >= 0 THEN xor(r, s) ELSE xor(r >> 1, 3988292384 * (r & 1)) END), 4294967295)"
+
+    def digest(text: str) -> str:
+        fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+        return "sha256(concat(" + ", ".join(f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen({f}) || ':' || {f} END" for f in fields) + "))"
+
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def levels(name: str, start: str) -> str:
+        return f"""{name} AS ({start} UNION ALL SELECT tree, level + 1, pos // 16, sha256(string_agg(hash, '' ORDER BY pos)), (n + 15) // 16
+ FROM {name} WHERE n > 1 GROUP BY tree, level, n, pos // 16)"""
+
+    return f"""WITH RECURSIVE hashed AS MATERIALIZED (SELECT doc_id, source, {digest("text")} AS leaf,
+ CASE WHEN {crc} % 5 = 0 THEN {digest(lowered)} ELSE {digest("text")} END AS tampered FROM documents),
+leaves AS MATERIALIZED (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, COUNT(*) OVER (PARTITION BY source) AS n,
+ row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, tampered) - 1 AS pos FROM hashed),
+{levels("below", "SELECT tree, CAST(0 AS BIGINT) AS level, pos, leaf AS hash, n FROM leaves")},
+subroots AS (SELECT tree, level, hash FROM below WHERE n = 1),
+{levels("above", "SELECT CAST(-1 AS BIGINT) AS tree, CAST(0 AS BIGINT) AS level, tree AS pos, hash, (SELECT COUNT(*) FROM subroots) AS n FROM subroots")},
+runs AS (SELECT tree, level, pos // 16 AS run, string_agg(hash, '' ORDER BY pos) AS joined FROM (SELECT * FROM below WHERE n > 1 UNION ALL SELECT * FROM above WHERE n > 1) x GROUP BY tree, level, pos // 16),
+families AS (SELECT r.tree, r.level, r.run, joined, CASE WHEN b.n = 1 AND r.tree >= 0 THEN -1 ELSE r.tree END AS up_tree,
+ CASE WHEN b.n = 1 AND r.tree >= 0 THEN 0 ELSE r.level + 1 END AS up_level, CASE WHEN b.n = 1 AND r.tree >= 0 THEN r.tree ELSE r.run END AS up_pos
+ FROM runs r JOIN (SELECT * FROM below UNION ALL SELECT * FROM above) b ON b.tree = r.tree AND b.level = r.level + 1 AND b.pos = r.run),
+climb AS (SELECT tree AS of_tree, pos AS of_pos, CASE WHEN n = 1 THEN -1 ELSE tree END AS tree, CAST(0 AS BIGINT) AS level, CASE WHEN n = 1 THEN tree ELSE pos END AS pos, tampered AS folded, '' AS proof FROM leaves
+ UNION ALL SELECT of_tree, of_pos, up_tree, up_level, up_pos, sha256(joined[:pos % 16 * 64] || folded || joined[pos % 16 * 64 + 65:]),
+  proof || joined[:pos % 16 * 64] || joined[pos % 16 * 64 + 65:]
+ FROM climb c JOIN families f ON f.tree = c.tree AND f.level = c.level AND f.run = c.pos // 16),
+ended AS (SELECT of_tree, of_pos, folded, proof FROM climb QUALIFY row_number() OVER (PARTITION BY of_tree, of_pos ORDER BY length(proof) DESC) = 1)
+SELECT doc_id, leaf, s.hash AS subroot, t.hash AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = t.hash AS verified
+FROM leaves l JOIN ended e ON e.of_tree = l.tree AND e.of_pos = l.pos JOIN subroots s ON s.tree = l.tree CROSS JOIN (SELECT hash FROM above WHERE n = 1) t"""
+
+
 def statements() -> dict[str, str]:
-    return {f.__name__: f() for f in (op5_mixing, op6_line_dedup, op7_quality_rules)}
+    return {f.__name__: f() for f in (op5_mixing, op6_line_dedup, op7_quality_rules, op12_merkle)}
