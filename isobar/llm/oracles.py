@@ -108,6 +108,26 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM judged j JOIN rated r ON j.host IS NOT DISTINCT FROM r.host"""
 
 
+def op11_collocations() -> str:
+    lowered = "translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""WITH pieces AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM (
+  SELECT COALESCE(lang, 'und') AS lang, unnest(regexp_split_to_array({lowered}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents) x),
+starts AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM pieces),
+counted AS MATERIALIZED (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, COUNT(*) AS a FROM starts, range(1, 6) r(k) WHERE i + k - 1 <= len(ws) GROUP BY ALL),
+totals AS (SELECT lang, CAST(SUM(a) AS BIGINT) AS n FROM counted WHERE k = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS ws FROM counted WHERE k > 1 AND a >= 100),
+parts AS MATERIALIZED (SELECT lang, phrase, a FROM counted WHERE a >= 100),
+cuts AS MATERIALIZED (SELECT lang, phrase, a, c, array_to_string(ws[:c], ' ') AS head, array_to_string(ws[c + 1:], ' ') AS tail FROM candidates, range(1, 5) r(c) WHERE c < k),
+heads AS MATERIALIZED (SELECT c.*, p.a AS l FROM cuts c JOIN parts p ON p.lang = c.lang AND p.phrase = c.head),
+both_parts AS MATERIALIZED (SELECT c.*, p.a AS r FROM heads c JOIN parts p ON p.lang = c.lang AND p.phrase = c.tail),
+scores AS (SELECT b.lang, phrase, a, c, l, r, n, CAST(1000 * CAST(a AS HUGEINT) * n // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM both_parts b JOIN totals o ON o.lang = b.lang),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+inner_parts AS (SELECT lang, a, array_to_string(ws[i:i + m - 1], ' ') AS phrase FROM candidates, range(2, 5) r(m), range(1, 5) s(i) WHERE m < k AND i + m - 1 <= k),
+absorbed AS (SELECT lang, phrase, MAX(a) AS longer FROM inner_parts GROUP BY lang, phrase),
+kept AS (SELECT w.* FROM lowest w LEFT JOIN absorbed b ON b.lang = w.lang AND b.phrase = w.phrase WHERE b.longer IS NULL OR 100 * b.longer < 100 * w.a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) x WHERE rank <= 2000"""
+
+
 def op12_merkle() -> str:
     # CRC-32 by its definition: a byte is added to the register, which then takes eight steps
     steps = "flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
@@ -144,4 +164,4 @@ FROM leaves l JOIN ended e ON e.of_tree = l.tree AND e.of_pos = l.pos JOIN subro
 
 
 def statements() -> dict[str, str]:
-    return {f.__name__: f() for f in (op5_mixing, op6_line_dedup, op7_quality_rules, op12_merkle)}
+    return {f.__name__: f() for f in (op5_mixing, op6_line_dedup, op7_quality_rules, op11_collocations, op12_merkle)}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from isobar.llm import bpe, importance, jaccard, language, line_dedup, merkle, mixing, quality_rules, sharding, token_files, urls, vectors
+from isobar.llm import bpe, importance, jaccard, language, line_dedup, merkle, mixing, phrases, quality_rules, sharding, token_files, urls, vectors
 from isobar.llm.common import table
 from isobar.session import configure, shared_folder
 
@@ -99,6 +99,11 @@ def op10_language(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_merkle(spark, sf_dir):
     proofs = merkle.Manifest(table(spark, sf_dir, "documents")).proofs()
