@@ -5,6 +5,7 @@
     python -m isobar marts --root PATH
     python -m isobar audit null_report --root PATH
     python -m isobar report rolling_7d --root PATH --value wind_speed_mean
+    python -m isobar summary daily_global --root PATH
     python -m isobar sql "SELECT region, MAX(temp_max) FROM daily_regional GROUP BY region" --root PATH --out PATH
 """
 
@@ -45,11 +46,13 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
     report = commands.add_parser("report", help="print a report over the gold views")
     report.add_argument("name", choices=sorted(REPORTS))
     report.add_argument("--value", help="the column to report on, where the report takes one")
+    summary = commands.add_parser("summary", help="print a column profile of a gold table from its stored sketches")
+    summary.add_argument("name", choices=("daily_global", "daily_regional"))
     sql = commands.add_parser("sql", help="print the result of a query over the gold views")
     sql.add_argument("query")
-    for command in (audit, report, sql):
+    for command in (audit, report, summary, sql):
         command.add_argument("--out", help="write the whole result there as Parquet instead of printing it")
-    for command in (run, marts, audit, report, sql):
+    for command in (run, marts, audit, report, summary, sql):
         command.add_argument("--root", required=True)
     parsed = parser.parse_args(words)
     if parsed.command == "run" and parsed.start and not parsed.end:
@@ -83,6 +86,8 @@ def main(words: list[str] | None = None, spark: SparkSession | None = None) -> N
         build_marts(spark, elt.views(), elt.at.marts)
     elif asked.command == "audit":
         deliver(AUDITS[asked.name](elt), asked.out)
+    elif asked.command == "summary":
+        deliver(elt.summary(asked.name), asked.out)
     elif asked.command == "report":
         deliver(report_on(asked.name, elt.views(), asked.value), asked.out)
     else:

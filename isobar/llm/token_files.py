@@ -28,8 +28,9 @@ from isobar.llm import dac
 
 #: Ids at which a segment is closed.
 SEGMENT = 1 << 18
-#: The splitting rule that the ByteLevel step of the tokenizers library applies; fixed by its format.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The splitting rule that the ByteLevel step of the tokenizers library applies, fixed by its format, with possessive runs: they cut alike, but no
+#: run of letters is tried again in parts.
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 #: Characters next to which a character of either class would be split or merged differently.
 _CONTEXTS = ("a{0}a {0}a  {0}  {0}a", "1{0}1 {0}1{0}{0}", "!{0}! {0}!  {0}\n{0} \n{0}", "'{0}s {0}'s\t{0}\t{0}  ")
 
@@ -122,10 +123,10 @@ def _segments(batches: Iterator[pa.RecordBatch], spec, end_id: int, size: int) -
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            codes = dac.Codes(row["codes"])
+            data = dac.Codes(row["codes"]).run(0, row["n_ids"]).astype("<u4").tobytes()
             ends = np.array(row["ends"], np.int64)
             starts = np.concatenate([[0], ends[:-1]])
-            sums = [zlib.crc32(codes.run(a, b).astype("<u4").tobytes()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+            sums = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
             columns = [pa.array(row["doc_ids"], pa.int64()), pa.array(row["start"] + starts), pa.array(ends - starts), pa.array(sums, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
@@ -155,7 +156,7 @@ class TokenFiles:
 
     def documents(self) -> DataFrame:
         """doc_id, start (ids of all documents before), n_tokens, ids_crc32 of the ids as little-endian 4-byte integers; all from the files."""
-        placed = self._placed("doc_ids", "ends", "codes").select("start", "doc_ids", "ends", "codes")
+        placed = self._placed("doc_ids", "ends", "codes").select("start", "n_ids", "doc_ids", "ends", "codes")
         return placed.mapInArrow(_documents, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
     def tokens_at(self, positions: DataFrame, size: int = SEGMENT) -> DataFrame:

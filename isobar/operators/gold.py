@@ -7,12 +7,20 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from isobar.functions.exact import PARTS, exact_mean, exact_sum, joined, sum_parts
 from isobar.session import stage
 from isobar.specs import CELL_STATS, REGION_STATS, REGIONS, Region, region_frame
 
 BIN_DEGREES = 5.0
 
-STATISTICS = {"mean": F.avg, "min": F.min, "max": F.max, "sum": F.sum}
+#: Means and sums do not depend on the order in which rows are added.
+STATISTICS = {
+    "mean": lambda c: exact_mean(F.col(c) if isinstance(c, str) else c),
+    "min": F.min,
+    "max": F.max,
+    "sum": lambda c: exact_sum(F.col(c) if isinstance(c, str) else c),
+    "added": F.sum,
+}
 
 
 def _bin(column: str) -> Column:
@@ -97,19 +105,23 @@ def daily_rollup(silver: DataFrame, stats: dict[str, tuple[str, ...]] = CELL_STA
 
 
 def cell_totals(silver: DataFrame, stats: dict[str, tuple[str, ...]]) -> DataFrame:
-    """Per cell and day what any rollup over whole cells needs: sum, number, minimum and maximum of each variable."""
+    """Per cell and day what any rollup over whole cells needs: the parts of the sum, number, minimum and maximum of each variable."""
     carried = [F.max("spatial_ref").alias("spatial_ref")] if "spatial_ref" in silver.columns else []
     totals = []
     for v in stats:
-        totals += [F.sum(v).alias(f"{v}__sum"), F.count(v).alias(f"{v}__n"), F.min(v).alias(f"{v}__min"), F.max(v).alias(f"{v}__max")]
+        totals += [total.alias(f"{v}__{part}") for part, total in sum_parts(F.col(v)).items()]
+        totals += [F.count(v).alias(f"{v}__n"), F.min(v).alias(f"{v}__min"), F.max(v).alias(f"{v}__max")]
     return silver.groupBy("date", "latitude", "longitude").agg(*carried, *totals)
 
 
 def _from_totals(variable: str, statistic: str) -> Column:
-    if statistic != "mean":
+    if statistic in ("min", "max"):
         return F.col(f"{variable}__{statistic}")
+    total = joined({part: F.col(f"{variable}__{part}") for part in PARTS})
+    if statistic == "sum":
+        return total
     count = F.col(f"{variable}__n")
-    return F.when(count > 0, F.col(f"{variable}__sum") / count)
+    return F.when(count > 0, total / count)
 
 
 def cells_from_totals(totals: DataFrame, stats: dict[str, tuple[str, ...]]) -> DataFrame:
@@ -122,8 +134,8 @@ def cells_from_totals(totals: DataFrame, stats: dict[str, tuple[str, ...]]) -> D
 def regions_from_totals(
     totals: DataFrame, regions: Sequence[Region] | DataFrame, stats: dict[str, tuple[str, ...]]
 ) -> DataFrame:
-    """The regional rollup, without reading silver again. Sums and numbers add up, so the mean is that of all hours and cells."""
-    kinds = {"sum": "sum", "n": "sum", "min": "min", "max": "max"}
+    """The regional rollup, without reading silver again. Parts of sums and numbers add up, so the mean is that of all hours and cells."""
+    kinds = dict.fromkeys((*PARTS, "n"), "added") | {"min": "min", "max": "max"}
     measures = {f"{v}__{k}": (s, f"{v}__{k}") for v in stats for k, s in kinds.items()}
     added = aggregate_regions(totals, measures, regions)
     return added.select("date", "region", *[_from_totals(v, s).alias(name) for name, (s, v) in _named(stats).items()])

@@ -21,6 +21,7 @@ LEDGER = T.StructType(
         T.StructField("status", T.StringType()),
         T.StructField("reason", T.StringType()),
         T.StructField("recorded_at", T.TimestampType()),
+        T.StructField("fingerprint", T.StringType()),
     ]
 )
 LINEAGE = T.StructType(
@@ -46,7 +47,12 @@ LINEAGE = T.StructType(
     ]
 )
 JOURNAL = T.StructType(
-    [*LINEAGE.fields, T.StructField("status", T.StringType()), T.StructField("reason", T.StringType())]
+    [
+        *LINEAGE.fields,
+        T.StructField("status", T.StringType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("fingerprint", T.StringType()),
+    ]
 )
 
 
@@ -189,6 +195,7 @@ def ledger_rows(
         F.lit(status).alias("status"),
         (F.lit(None).cast("string") if reason is None else reason).alias("reason"),
         F.current_timestamp().alias("recorded_at"),
+        F.lit(None).cast("string").alias("fingerprint"),
     )
 
 
@@ -198,7 +205,7 @@ def journal_rows(records: DataFrame, failures: DataFrame | None, layer: str, tra
     if failures is None:
         return entries
     failed = (
-        failures.select("date", "reason")
+        failures.select("date", "reason", *[c for c in failures.columns if c == "fingerprint"])
         .withColumn("layer", F.lit(layer))
         .withColumn("transformation", F.lit(transformation))
         .withColumn("ingestion_timestamp", F.current_timestamp())
@@ -239,7 +246,7 @@ def ledger_of(status: DataFrame) -> DataFrame:
 
 def latest(ledger: DataFrame) -> DataFrame:
     """The last word on each table and day."""
-    last = F.max_by(F.struct("status", "reason"), "recorded_at").alias("last")
+    last = F.max_by(F.struct("status", "reason", "fingerprint"), "recorded_at").alias("last")
     return ledger.groupBy("layer", "transformation", "date").agg(last).select("layer", "transformation", "date", "last.*")
 
 

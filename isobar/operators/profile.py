@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from isobar.functions.exact import PARTS, joined, sum_parts
 from isobar.functions.numeric import null_percentage
 from isobar.operators.audit import SQL_TYPES
 from isobar.session import stage
@@ -186,3 +187,125 @@ def exact_quantiles(counted: DataFrame, quantiles: dict[str, float]) -> DataFram
     return values.groupBy("column_name").agg(
         *[F.max(F.when(F.col("quantile") == name, F.col("value"))).alias(name) for name in quantiles]
     )
+
+
+# Profiles from stored states: one row per day and column, merged without reading the table again.
+
+#: Bits of the registers that distinct counts are estimated from: a relative standard deviation of 1.04 / 2^(bits / 2), or 1.6 %.
+DISTINCT_BITS = 12
+STATE = T.StructType(
+    [
+        T.StructField("date", T.DateType()),
+        T.StructField("column_name", T.StringType()),
+        T.StructField("column_type", T.StringType()),
+        T.StructField("n_rows", T.LongType()),
+        T.StructField("n", T.LongType()),
+        *[T.StructField(f"sum_{part}", T.DoubleType() if kind == "double" else T.LongType()) for part, kind in PARTS.items()],
+        T.StructField("mean", T.DoubleType()),
+        T.StructField("spread", T.DoubleType()),
+        T.StructField("low", T.StringType()),
+        T.StructField("low_number", T.DoubleType()),
+        T.StructField("high", T.StringType()),
+        T.StructField("high_number", T.DoubleType()),
+        T.StructField("quantiles", T.BinaryType()),
+        T.StructField("distinct_values", T.BinaryType()),
+    ]
+)
+
+
+def day_states(df: DataFrame, sketch_size: int = SKETCH_SIZE) -> DataFrame:
+    """The mergeable state of every column but the day, per day: counts, the parts of the sum, mean and sum of squared deviations, extremes, a
+    quantile sketch (KLL) and a distinct-count sketch (HLL) of 64-bit hashes.
+
+    A day's state has a bounded size whatever the number of its rows. Extremes are kept as text, next to the number they are compared by.
+    """
+    measures: list[Column] = [F.count(F.lit(1)).alias("_rows")]
+    rows: list[Column] = []
+    for field in df.schema.fields:
+        c, dtype = field.name, field.dataType.simpleString()
+        if c == "date":
+            continue
+        held = F.when(F.col(c).isNotNull(), F.xxhash64(c))
+        measures += [F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max"), F.count(c).alias(f"{c}__n")]
+        measures.append(F.hll_sketch_agg(held, F.lit(DISTINCT_BITS)).alias(f"{c}__distinct"))
+        cells = dict.fromkeys((f.name for f in STATE.fields), F.lit(None)) | {
+            "date": F.col("date"),
+            "column_name": F.lit(c),
+            "column_type": F.lit(SQL_TYPES.get(dtype, dtype.upper())),
+            "n_rows": F.col("_rows"),
+            "n": F.col(f"{c}__n"),
+            "low": F.col(f"{c}__min").cast("string"),
+            "high": F.col(f"{c}__max").cast("string"),
+            "distinct_values": F.col(f"{c}__distinct"),
+        }
+        if _numeric(field):
+            value = F.col(c).cast("double")
+            measures += [total.alias(f"{c}__{part}") for part, total in sum_parts(value).items()]
+            measures += [F.var_pop(value).alias(f"{c}__var"), F.kll_sketch_agg_double(value, F.lit(sketch_size)).alias(f"{c}__sketch")]
+            parts = {part: F.col(f"{c}__{part}") for part in PARTS}
+            cells |= {f"sum_{part}": total for part, total in parts.items()} | {
+                "mean": F.when(F.col(f"{c}__n") > 0, joined(parts) / F.col(f"{c}__n")),
+                "spread": F.col(f"{c}__var") * F.col(f"{c}__n"),
+                "low_number": F.col(f"{c}__min").cast("double"),
+                "high_number": F.col(f"{c}__max").cast("double"),
+                "quantiles": F.col(f"{c}__sketch"),
+            }
+        rows.append(F.struct(*[cells[f.name].cast(f.dataType).alias(f.name) for f in STATE.fields]))
+    return df.groupBy("date").agg(*measures).select(F.inline(F.array(*rows)))
+
+
+def _date_state(states: DataFrame) -> DataFrame:
+    """The profile of the day column itself, which needs no sketch of its own: its values are the days."""
+    days = states.groupBy("date").agg(F.max("n_rows").alias("n"))
+    return days.agg(
+        F.lit("date").alias("column_name"),
+        F.lit("DATE").alias("column_type"),
+        F.min("date").cast("string").alias("min"),
+        F.max("date").cast("string").alias("max"),
+        F.count(F.lit(1)).alias("distinct_values"),
+        F.lit(None).cast("double").alias("avg"),
+        F.lit(None).cast("double").alias("std"),
+        *[F.lit(None).cast("double").alias(q) for q in QUARTILES],
+        F.sum("n").alias("count"),
+        F.when(F.sum("n") > 0, F.lit(0.0)).alias("null_percentage"),
+    ).where(F.col("count") > 0)
+
+
+def profile_from_states(states: DataFrame) -> DataFrame:
+    """The profile that ``profile`` gives, from day states alone: work grows with the days and columns and not with the rows.
+
+    Sums merge exactly. The deviation is that within the days plus that of the days' means from the whole mean, so no large squares cancel. Equal
+    sketch sizes merge within the bounds that one sketch of the whole table has.
+    """
+    whole = states.groupBy("column_name").agg(
+        F.max("column_type").alias("column_type"),
+        F.coalesce(F.min_by("low", "low_number"), F.min("low")).alias("min"),
+        F.coalesce(F.max_by("high", "high_number"), F.max("high")).alias("max"),
+        F.sum("n").alias("count"),
+        F.sum("n_rows").alias("n_rows"),
+        *[F.sum(f"sum_{part}").alias(f"sum_{part}") for part in PARTS],
+        F.hll_sketch_estimate(F.hll_union_agg("distinct_values")).alias("distinct_values"),
+        F.kll_merge_agg_double("quantiles").alias("quantiles"),
+    )
+    mean = joined({part: F.col(f"sum_{part}") for part in PARTS}) / F.nullif("count", F.lit(0))
+    whole = whole.withColumn("avg", mean)
+    apart = states.join(whole.select("column_name", "avg"), "column_name")
+    spread = F.sum(F.col("spread") + F.col("n") * F.pow(F.col("mean") - F.col("avg"), F.lit(2)))
+    spreads = apart.groupBy("column_name").agg(spread.alias("spread"))
+    wanted = F.array(*[F.lit(q) for q in QUARTILES.values()])
+    filled = F.col("avg").isNotNull()
+    quartiles = F.when(filled, F.kll_sketch_get_quantile_double("quantiles", wanted))
+    merged = whole.join(spreads, "column_name").withColumn("quartiles", quartiles)
+    columns = merged.select(
+        "column_name",
+        "column_type",
+        "min",
+        "max",
+        "distinct_values",
+        "avg",
+        F.when(F.col("count") > 1, F.sqrt(F.col("spread") / (F.col("count") - 1))).alias("std"),
+        *[F.col("quartiles")[i].alias(q) for i, q in enumerate(QUARTILES)],
+        "count",
+        F.when(F.col("n_rows") > 0, null_percentage(F.col("count"), F.col("n_rows"))).alias("null_percentage"),
+    )
+    return columns.unionByName(_date_state(states))

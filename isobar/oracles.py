@@ -295,6 +295,21 @@ def _summary_rows(table: str, columns: dict[str, str]) -> str:
     )
 
 
+def _merged_rows(table: str, columns: dict[str, str]) -> str:
+    """The same of the profile that is merged from states, with deviation and null share."""
+    parts = []
+    for c, t in columns.items():
+        numeric = t == "DOUBLE"
+        avg, std = ((six(f"AVG({c})"), six(f"STDDEV_SAMP({c})")) if numeric else ("CAST(NULL AS DOUBLE)",) * 2)
+        parts.append(
+            f"SELECT '{c}' AS column_name, '{t}' AS column_type, CAST(MIN({c}) AS VARCHAR) AS \"min\","
+            f" CAST(MAX({c}) AS VARCHAR) AS \"max\", {avg} AS avg, {std} AS std, COUNT({c}) AS \"count\","
+            f" (1e0 - CAST(COUNT({c}) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE)) * 100e0 AS null_percentage,"
+            f" TRUE AS distinct_near, {'TRUE' if numeric else 'CAST(NULL AS BOOLEAN)'} AS quartiles_near FROM {table}"
+        )
+    return union(parts)
+
+
 _CELL_METRICS = (
     "temperature_2m_mean",
     "temperature_2m_min",
@@ -379,6 +394,24 @@ _FAILED = (
 )
 
 
+def _exact_sum(value: str) -> str:
+    """Exact in whole numbers of 2^-48, then the nearest double."""
+    return f"CAST(CAST(SUM(CAST(trunc({value} * 281474976710656e0) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / 281474976710656e0"
+
+
+def _exact_rollups() -> str:
+    values = ("temperature_2m", "wind_speed_10m")
+    regional = ", ".join(f"{_exact_sum(v)} / COUNT({v}) AS {v}_mean, {_exact_sum(v)} AS {v}_sum" for v in values)
+    cells = ", ".join(f"{_exact_sum(v)} / COUNT({v}) AS {v}_mean" for v in values)
+    near = ", ".join(f"{_exact_sum(f'{v}_mean')} AS {v}_of_means" for v in values)
+    used = "FROM silver WHERE date IN (SELECT date FROM ready)"
+    return (
+        f"SELECT * FROM (SELECT date, region, {regional} FROM (SELECT * {used}) s JOIN regions ON {_INSIDE} GROUP BY 1, 2) r"
+        f" JOIN (SELECT date, {near} FROM (SELECT date, latitude, longitude, {cells} {used} GROUP BY 1, 2, 3) c"
+        " WHERE latitude >= 0 GROUP BY date) n USING (date)"
+    )
+
+
 def statements() -> dict[str, str]:
     day = SLICED_DAY
     pending = (
@@ -461,6 +494,7 @@ def statements() -> dict[str, str]:
             f" {six('wind_speed_10m_max')} AS wind_speed_10m_max FROM cells",
         ),
         "daily_regional": over("silver ready regions", _regional_rollup(LONG)),
+        "exact_rollups": over("silver ready regions", _exact_rollups()),
         "monthly_regional_averages": over("daily_regional", _monthly("temp_mean", "tmp_avg")),
         "monthly_wind_averages": over("daily_regional", _monthly("wind_speed_mean", "wind_avg")),
         "mart_regional_monthly_averages": over("daily_regional", _MONTHLY_MART),
@@ -479,6 +513,7 @@ def statements() -> dict[str, str]:
         "mart_global_hottest_days": over("daily", _HOTTEST_MART),
         "summarize_daily_global": over("daily", _summary_rows("daily", _DAILY_TYPES)),
         "profile_daily_global": over("daily", _profile_rows("daily", _DAILY_TYPES)),
+        "summarize_from_sketches": over("daily", _merged_rows("daily", _DAILY_TYPES)),
         "profile_daily_regional": over(
             "daily_regional",
             _profile_rows(
@@ -561,6 +596,8 @@ def statements() -> dict[str, str]:
         ),
         "describe_daily_global": over("cells", _described("cells", _GOLD_TYPES)),
         "describe_daily_regional": over("daily_regional", _described("daily_regional", _REGIONAL_TYPES)),
+        "repaired_days": over("silver ready regions", _stored_regional(LONG)),
+        "landing_files": over("obs", "SELECT date, COUNT(*) AS n_rows, TRUE AS has_files, TRUE AS marked FROM obs GROUP BY date"),
         "elt_daily_regional": over("silver ready regions", _stored_regional(LONG)),
         "failed_days": over("status", _FAILED),
         "backfill_dates": over(

@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from isobar.functions import dates, text, weather
+from isobar.functions.exact import exact_sum
 from isobar.functions.numeric import round_half_up
 from isobar.operators import analytics, audit, gold, lineage, profile, quality, silver as to
 from isobar.plans.elt import Elt
@@ -20,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SLICED_DAY = date(2024, 1, 10)
 DAYS_AHEAD = 6
+EXACT_VALUES = ("temperature_2m", "wind_speed_10m")
 LIST_BLOCK = 4
 TABLES = (("bronze", "bronze"), ("silver", "silver"), ("gold", "daily_global"), ("gold", "daily_regional"))
 
@@ -258,7 +260,7 @@ def diurnal_range(spark, sf_dir):
 
 @query
 def regional_trend(spark, sf_dir):
-    return rounded(analytics.regional_trend(fixtures.daily_regional(spark, sf_dir)), "tmp_mean")
+    return analytics.regional_trend(rounded(fixtures.daily_regional(spark, sf_dir), "temp_mean"))
 
 
 @query
@@ -286,6 +288,16 @@ def daily_global(spark, sf_dir):
     return rounded(cells, "wind_speed_10m_mean", "wind_speed_10m_max")
 
 
+@query
+def exact_rollups(spark, sf_dir):
+    """Cells and regions per day to the last bit, whatever the partitions: nothing here is rounded."""
+    silver = gold_silver_of(spark, sf_dir).repartition(13)
+    regions = gold.regional_rollup(silver, stats={v: ("mean", "sum") for v in EXACT_VALUES})
+    cells = gold.daily_rollup(silver, {v: ("mean",) for v in EXACT_VALUES})
+    near = cells.where("latitude >= 0").groupBy("date").agg(*[exact_sum(F.col(f"{v}_mean")).alias(f"{v}_of_means") for v in EXACT_VALUES])
+    return regions.join(near, "date")
+
+
 @query
 def daily_regional(spark, sf_dir):
     regional = gold.regional_rollup(gold_silver_of(spark, sf_dir))
@@ -358,6 +370,16 @@ def summarize_daily_global(spark, sf_dir):
     return rounded(checked.select(*exact, "distinct_near", "quartiles_near"), "avg")
 
 
+@query
+def summarize_from_sketches(spark, sf_dir):
+    """The same from the stored states of each day: the profile itself reads no cell, the bounds are then checked on the cells."""
+    cells = stage(fixtures.daily(spark, sf_dir))
+    merged = profile.profile_from_states(stage(profile.day_states(cells)))
+    exact = ("column_name", "column_type", "min", "max", "avg", "std", "count", "null_percentage")
+    checked = profile.within_bounds(cells, stage(merged))
+    return rounded(checked.select(*exact, "distinct_near", "quartiles_near"), "avg", "std")
+
+
 # days, text and paths
 
 
@@ -533,6 +555,29 @@ def elt_daily_regional(spark, sf_dir):
     return rounded(regional, "wind_speed_10m_mean", "wind_speed_10m_max")
 
 
+@query
+def repaired_days(spark, sf_dir):
+    """Every third day lands without its first hour and fails; its files are then replaced, and an ordinary run notices that."""
+    observations, path, elt = obs(spark, sf_dir), scratch_root(spark), new_elt(spark)
+    days = observed_days(observations)
+    faulty = F.dayofmonth("date") % 3 == 0
+    tables.write_days(observations.where(~faulty | (F.hour("time") > 0)), path)
+    elt.run(landing.scan_observations(spark, path), days)
+    tables.write_days(observations.where(faulty), path)
+    elt.run(landing.scan_observations(spark, path), days)
+    return rounded(elt.daily_regional(), "wind_speed_10m_mean", "wind_speed_10m_max")
+
+
+@query
+def landing_files(spark, sf_dir):
+    """What the journal compares of each landed day, but for the digest, which is of this run's own files."""
+    path = scratch_root(spark)
+    tables.write_days(obs(spark, sf_dir), path)
+    stored = landing.scan_observations(spark, path)
+    marked = landing.fingerprints(stored, observed_days(stored))
+    return marked.select("date", "n_rows", (F.col("files") > 0).alias("has_files"), F.col("fingerprint").isNotNull().alias("marked"))
+
+
 @query
 def failed_days(spark, sf_dir):
     return lineage.failed_days(quality.day_status(quality.day_profile(obs(spark, sf_dir))))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, timedelta
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from isobar.functions.dates import utc_day
@@ -74,6 +75,23 @@ def land_days(df: DataFrame, days: list[date]) -> DataFrame:
     return days_slice(land(df), days)
 
 
+def fingerprints(df: DataFrame, days: list[date]) -> DataFrame | None:
+    """Per listed day of a landing table of files: its files, rows and a digest of the names, sizes, times and rows of the files that hold it.
+
+    Reads at most the column that tells the day. The digest adds up over files, so a day of many files is never gathered; it changes if a file of the
+    day is added, removed, rewritten or gets other rows. Nothing for a table that is no scan of files.
+    """
+    source = [F.col(f"_metadata.{c}").alias(f"_{c}") for c in ("file_name", "file_size", "file_modification_time")]
+    try:
+        told = land_days(df, days).select("date", *source)
+    except AnalysisException:
+        return None
+    files = told.groupBy("date", "_file_name", "_file_size", "_file_modification_time").agg(F.count(F.lit(1)).alias("n"))
+    mark = F.xxhash64("_file_name", "_file_size", "_file_modification_time", "n").cast("decimal(38,0)")
+    added = files.groupBy("date").agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("n_rows"), F.sum(mark).alias("marks"))
+    return added.select("date", "files", "n_rows", F.concat_ws(":", "files", "n_rows", "marks").alias("fingerprint"))
+
+
 def day_slice(df: DataFrame, day: date) -> DataFrame:
     """One UTC calendar day."""
     return days_slice(df, [day])
