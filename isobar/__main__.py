@@ -5,7 +5,9 @@
     python -m isobar marts --root PATH
     python -m isobar audit null_report --root PATH
     python -m isobar report rolling_7d --root PATH --value wind_speed_mean
+    python -m isobar report diurnal_range --root PATH --day 2015-01-15 --min-range 25
     python -m isobar summary daily_global --root PATH
+    python -m isobar tables --root PATH
     python -m isobar sql "SELECT region, MAX(temp_max) FROM daily_regional GROUP BY region" --root PATH --out PATH
 """
 
@@ -17,6 +19,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from isobar.functions.dates import day_range
+from isobar.operators import audit
 from isobar.plans.audits import AUDITS
 from isobar.plans.elt import Elt
 from isobar.plans.marts import build_marts
@@ -24,7 +27,7 @@ from isobar.plans.reports import REPORTS, report_on
 from isobar.session import configure
 from isobar.sources.landing import scan_observations
 from isobar.sources.tables import register_views
-from isobar.specs import SOURCE_NAME
+from isobar.specs import SOURCE_NAME, declared
 
 
 def arguments(words: list[str] | None = None) -> argparse.Namespace:
@@ -41,19 +44,24 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
     run.add_argument("--laid-out", action="store_true", help="the landing is ordered by day and cell: copy it without a shuffle")
     run.add_argument("--source", default=SOURCE_NAME, help="where the landing comes from, for lineage")
     marts = commands.add_parser("marts", help="test the gold views and build the marts")
-    audit = commands.add_parser("audit", help="print an audit of the stored tables")
-    audit.add_argument("name", choices=sorted(AUDITS))
+    audits = commands.add_parser("audit", help="print an audit of the stored tables")
+    audits.add_argument("name", choices=sorted(AUDITS))
     report = commands.add_parser("report", help="print a report over the gold views")
     report.add_argument("name", choices=sorted(REPORTS))
     report.add_argument("--value", help="the column to report on, where the report takes one")
     summary = commands.add_parser("summary", help="print a column profile of a gold table from its stored sketches")
     summary.add_argument("name", choices=("daily_global", "daily_regional"))
+    report.add_argument("--day", type=date.fromisoformat, help="one day only, where the report takes one")
+    for limit in ("lat-min", "lat-max", "min-range", "threshold"):
+        report.add_argument(f"--{limit}", type=float, help="a limit other than the report's own, where it takes one")
+    listing = commands.add_parser("tables", help="print the tables and views with their sizes")
     sql = commands.add_parser("sql", help="print the result of a query over the gold views")
     sql.add_argument("query")
-    for command in (audit, report, summary, sql):
+    for command in (audits, report, summary, listing, sql):
         command.add_argument("--out", help="write the whole result there as Parquet instead of printing it")
-    for command in (run, marts, audit, report, summary, sql):
+    for command in (run, marts, audits, report, summary, listing, sql):
         command.add_argument("--root", required=True)
+        command.add_argument("--declarations", help="JSON file with regions, threshold and statistics of the deployment")
     parsed = parser.parse_args(words)
     if parsed.command == "run" and parsed.start and not parsed.end:
         parser.error("--end is required with --start")
@@ -73,7 +81,11 @@ def deliver(result: DataFrame, out: str | None) -> None:
 def main(words: list[str] | None = None, spark: SparkSession | None = None) -> None:
     asked = arguments(words)
     spark = spark or configure(SparkSession.builder.appName("isobar").getOrCreate())
-    elt = Elt(spark, asked.root, source=getattr(asked, "source", SOURCE_NAME))
+    own = {}
+    if asked.declarations:
+        with open(asked.declarations, encoding="utf-8") as file:
+            own = declared(file.read())
+    elt = Elt(spark, asked.root, source=getattr(asked, "source", SOURCE_NAME), **own)
     if asked.command == "run":
         days = [asked.date] if asked.date else day_range(asked.start, asked.end)
         report = elt.run(scan_observations(spark, asked.landing), days, asked.batch_days, asked.redo, asked.laid_out)
@@ -89,7 +101,12 @@ def main(words: list[str] | None = None, spark: SparkSession | None = None) -> N
     elif asked.command == "summary":
         deliver(elt.summary(asked.name), asked.out)
     elif asked.command == "report":
-        deliver(report_on(asked.name, elt.views(), asked.value), asked.out)
+        limits = {limit: getattr(asked, limit) for limit in ("day", "lat_min", "lat_max", "min_range", "threshold")}
+        deliver(report_on(asked.name, elt.views(), asked.value, **limits), asked.out)
+    elif asked.command == "tables":
+        views = elt.views()
+        register_views(spark, views)
+        deliver(audit.list_tables(spark, tuple(views)), asked.out)
     else:
         register_views(spark, elt.views())
         deliver(spark.sql(asked.query), asked.out)

@@ -40,6 +40,7 @@ AUDITS: dict[str, Callable[[Elt], DataFrame]] = {
     "hours_check": hours,
     "duplicates": lambda elt: _each(_layers(elt), lambda df: audit.duplicate_observations(df, elt.spec.time_steps)),
     "missing_days": lambda elt: _each({**_layers(elt), **_gold(elt)}, lambda df: audit.missing_days(requested(elt), df)),
+    "extra_days": lambda elt: _each({**_layers(elt), **_gold(elt)}, lambda df: audit.extra_days(requested(elt), df)),
     "gold_null_report": lambda elt: _each(_gold(elt), audit.table_null_report),
     "failures": lambda elt: elt.failures(),
     "not_null_tests": lambda elt: audit.not_null_tests(elt.views()),

@@ -192,7 +192,7 @@ class Elt:
         return tables.read_days(self.spark, self.at.daily_regional, schema, days)
 
     def views(self) -> dict[str, DataFrame]:
-        """The gold tables as the reports and the declared tests read them, and the marts built so far.
+        """The gold tables as the reports and the declared tests read them, the marts built so far, and the records of the runs.
 
         The flat hourly table is a view: silver already holds exactly its rows.
         """
@@ -203,6 +203,8 @@ class Elt:
             "daily_regional": regional,
             "stg_daily_global": cells,
             "stg_daily_regional": regional,
+            "lineage": self.lineage(),
+            "ledger": self.ledger(),
         }
         for name in MARTS:
             stored = tables.stored(self.spark, f"{self.at.marts}/{name}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -124,3 +126,22 @@ def region_frame(spark: SparkSession, regions: tuple[Region, ...] = REGIONS) ->
         )
 
     return spark.range(1).select(F.inline(F.array(*[row(r) for r in regions])))
+
+
+def declared(text: str) -> dict[str, object]:
+    """Regions, null threshold and statistics of a deployment from JSON, under the names that ``Elt`` takes.
+
+    ``regions`` is a list of objects with name, lat_min, lat_max, lon_min and lon_max; ``cell_stats`` and ``region_stats`` map a
+    variable to a list of statistics; ``threshold`` is a percentage. What is not given keeps its default.
+    """
+    found: dict[str, object] = json.loads(text)
+    if unknown := set(found) - {"regions", "threshold", "cell_stats", "region_stats"}:
+        raise ValueError(f"unknown declarations: {', '.join(sorted(unknown))}")
+    if "regions" in found:
+        found["regions"] = tuple(Region(**region) for region in found["regions"])
+    for key in ("cell_stats", "region_stats"):
+        if key in found:
+            found[key] = {variable: tuple(names) for variable, names in found[key].items()}
+            if odd := {s for names in found[key].values() for s in names} - {"mean", "min", "max", "sum"}:
+                raise ValueError(f"unknown statistics: {', '.join(sorted(odd))}")
+    return found

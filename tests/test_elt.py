@@ -14,7 +14,7 @@ from isobar.operators import audit, lineage
 from isobar.plans.audits import AUDITS
 from isobar.plans.elt import Elt
 from isobar.sources import tables
-from isobar.specs import HOURLY_GRID
+from isobar.specs import HOURLY_GRID, declared
 from tests.frames import day_rows, observations
 
 GOOD, HOT, BARE, LATE = (date(2024, 5, d) for d in (1, 2, 3, 4))
@@ -316,3 +316,33 @@ def test_command_line(spark, root, source, capsys):
     assert ("silver", HOT) in missing and ("daily_global", BARE) in missing and ("bronze", HOT) not in missing
     main(["report", "rolling_7d", "--value", "wind_speed_mean", *at], spark)
     assert capsys.readouterr().out.splitlines()[0].split() == ["region", "day", "wind_speed_mean", "wind_speed_mean_rolling_7d"]
+    main(["tables", *at], spark)
+    listed = dict(line.split("\t")[::2] for line in capsys.readouterr().out.splitlines()[1:])
+    assert listed["daily_global"] == "2" and listed["mart_regional_monthly_averages"] == "2" and int(listed["ledger"]) > 4
+    main(["sql", "SELECT reason FROM ledger WHERE status = 'failed' AND transformation = 'silver'", *at], spark)
+    assert "max value 60.0" in capsys.readouterr().out
+    main(["report", "diurnal_range", "--day", GOOD.isoformat(), "--min-range", "22.5", "--lat-max", "50.5", *at], spark)
+    assert len(capsys.readouterr().out.splitlines()) == 2
+    main(["report", "hottest_day_per_location", "--threshold", "20", "--value", "temperature_2m_mean", *at], spark)
+    assert capsys.readouterr().out.split() == ["rlongitude", "rlatitude", "day", "temperature_2m_mean", "rank"]
+    main(["report", "monthly_summary", "--value", "wind_speed", *at], spark)
+    assert capsys.readouterr().out.split()[:5] == ["region", "month", "wind_speed_avg", "wind_speed_max", "days_in_month"]
+    main(["summary", "daily_regional", *at], spark)
+    assert capsys.readouterr().out.splitlines()[0].split()[0] == "column_name"
+    with pytest.raises(ValueError, match="takes no"):
+        main(["report", "rolling_7d", "--day", GOOD.isoformat(), *at], spark)
+
+
+def test_declarations_come_from_a_file(spark, root, source, tmp_path):
+    file = tmp_path / "declared.json"
+    box = {"name": "alps", "lat_min": 50.5, "lat_max": 52, "lon_min": 0, "lon_max": 20}
+    file.write_text(json.dumps({"regions": [box], "threshold": 60, "region_stats": {"temperature_2m": ["min", "sum"]}}))
+    source.write.parquet(root + "/landing")
+    at = ["--root", root + "/tables", "--declarations", str(file)]
+    main(["run", "--landing", root + "/landing", "--start", GOOD.isoformat(), "--end", BARE.isoformat(), *at], spark)
+    with open(file) as declared_file:
+        stored = Elt(spark, root + "/tables", **declared(declared_file.read())).daily_regional()
+    assert {(r.date, r.region): (r.temperature_2m_min, r.temperature_2m_sum) for r in stored.collect()} == {(GOOD, "alps"): (0.0, 276.0), (BARE, "alps"): (1.0, 12.0)}
+    for wrong in ('{"region": []}', '{"cell_stats": {"temperature_2m": ["median"]}}'):
+        with pytest.raises(ValueError, match="unknown"):
+            declared(wrong)
