@@ -26,6 +26,10 @@ FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 ALTERED = 5
 #: The tree of subroots.
 TOP = -1
+#: Copies of a node that the climb meets by turns, at most, and of all nodes on a level of the tree of subroots.
+MOST_COPIES = 4096
+LEVEL_COPIES = 1 << 16
+UP = ("up_tree", "up_level", "up_pos", "up_copies")
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -60,17 +64,27 @@ def _built(level: DataFrame) -> list[DataFrame]:
     return levels
 
 
-def _linked(levels: list[DataFrame], last_is_root: bool) -> DataFrame:
-    """Node rows with the name of their parent; the last node of a tree below the top names its parent in the tree of subroots."""
-    rows = []
+def _copies_below(level: int) -> int:
+    """One for each sixteen of the lowest nodes that can be below a node: all levels then have about as many rows, and none is met in one task."""
+    return min(MOST_COPIES, FAN ** max(level - 2, 0))
+
+
+def _copies_top(level: int, trees: int) -> int:
+    return max(1, min(MOST_COPIES, LEVEL_COPIES // -(-trees // FAN**level)))
+
+
+def _linked(levels: list[DataFrame], trees: int, top: bool = False) -> DataFrame:
+    """Node rows with the name of their parent; the last node of a tree names its parent in the tree of ``trees`` subroots, if there is one."""
+    rows, joins = [], not top and trees > 1
     for k, level in enumerate(levels, 1):
+        copies = [_copies_top(i, trees) if top else _copies_below(i) for i in (k, k + 1)]
         last = F.col("n") == 1
-        up = [F.when(~last, F.col("tree")), F.when(~last, F.lit(k + 1)), F.when(~last, F.expr(f"pos div {FAN}"))]
-        if not last_is_root:
-            up = [F.coalesce(u, o) for u, o in zip(up, (F.lit(TOP), F.lit(1), F.expr(f"tree div {FAN}")), strict=True)]
+        up = [F.when(~last, F.col("tree")), F.when(~last, F.lit(k + 1)), F.when(~last, F.expr(f"pos div {FAN}")), F.when(~last, F.lit(copies[1]))]
+        if joins:
+            up = [F.coalesce(u, o) for u, o in zip(up, (F.lit(TOP), F.lit(1), F.expr(f"tree div {FAN}"), F.lit(_copies_top(1, trees))), strict=True)]
         slot = F.when(last, F.col("tree")).otherwise(F.col("pos")) % FAN
-        cells = [*[u.cast("bigint").alias(c) for u, c in zip(up, ("up_tree", "up_level", "up_pos"), strict=True)], slot.alias("slot")]
-        rows.append(level.select("tree", F.lit(k).cast("bigint").alias("level"), "pos", "hash", "joined", (last & F.lit(not last_is_root)).alias("is_subroot"), *cells))
+        cells = [*[u.cast("bigint").alias(c) for u, c in zip(up, UP, strict=True)], slot.alias("slot"), F.lit(copies[0]).cast("bigint").alias("copies")]
+        rows.append(level.select("tree", F.lit(k).cast("bigint").alias("level"), "pos", "hash", "joined", (last & F.lit(joins)).alias("is_subroot"), *cells))
     whole = rows[0]
     for more in rows[1:]:
         whole = whole.unionByName(more)
@@ -79,14 +93,15 @@ def _linked(levels: list[DataFrame], last_is_root: bool) -> DataFrame:
 
 #: A row starts under its parent's name and ends at the root, which has no parent.
 CLIMB = f"""
-WITH RECURSIVE climb(tree, run, up_tree, up_level, up_pos, slot, folded, above, hash, subroot) AS (
-  SELECT tree, run, up_tree, up_level, up_pos, slot, folded, '' AS above, hash, subroot FROM {{starts}}
+WITH RECURSIVE climb(tree, run, up_tree, up_level, up_pos, up_copies, slot, folded, above, hash, subroot) AS (
+  SELECT tree, run, up_tree, up_level, up_pos, up_copies, slot, folded, '' AS above, hash, subroot FROM {{starts}}
   UNION ALL
-  SELECT c.tree, c.run, p.up_tree, p.up_level, p.up_pos, p.slot,
+  SELECT c.tree, c.run, p.up_tree, p.up_level, p.up_pos, p.up_copies, p.slot,
     transform(c.folded, f -> sha2(concat(substr(p.joined, 1, int(c.slot * {HEX})), f, substr(p.joined, int(c.slot * {HEX} + {HEX + 1}))), 256)),
     concat(c.above, substr(p.joined, 1, int(c.slot * {HEX})), substr(p.joined, int(c.slot * {HEX} + {HEX + 1}))),
     p.hash, CASE WHEN p.is_subroot THEN p.hash ELSE c.subroot END
   FROM climb c JOIN {{nodes}} p ON c.up_tree = p.tree AND c.up_level = p.level AND c.up_pos = p.pos
+    AND p.turn = (c.tree + c.run) % c.up_copies
 )
 SELECT tree, run, folded, above, hash AS root, subroot FROM climb WHERE up_level IS NULL"""
 _ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
@@ -98,7 +113,8 @@ def climbed(starts: DataFrame, nodes: DataFrame) -> DataFrame:
     before = spark.conf.get(_ROW_LIMIT, None)
     spark.conf.set(_ROW_LIMIT, "-1")
     try:
-        return stage(spark.sql(CLIMB, starts=starts, nodes=nodes))
+        above = nodes.where(f"tree = {TOP} OR level > 1").withColumn("turn", F.explode(F.expr("sequence(0L, copies - 1)")))
+        return stage(spark.sql(CLIMB, starts=starts, nodes=above))
     finally:
         spark.conf.set(_ROW_LIMIT, before) if before is not None else spark.conf.unset(_ROW_LIMIT)
 
@@ -119,7 +135,8 @@ class Manifest:
         n_trees = sizes.count()
         top = _built(stage(subroots.select(F.lit(TOP).cast("bigint").alias("tree"), F.col("tree").alias("pos"), "hash", F.lit(n_trees).cast("bigint").alias("n"))))
         self.nodes = None
-        parts = ([_linked(levels, n_trees == 1)] if levels else []) + ([_linked(top, True)] if top else [])
+        self.trees = n_trees
+        parts = ([_linked(levels, n_trees)] if levels else []) + ([_linked(top, n_trees, top=True)] if top else [])
         for part in parts:
             self.nodes = part if self.nodes is None else self.nodes.unionByName(part)
         if self.nodes is not None:
@@ -132,9 +149,9 @@ class Manifest:
         joined = F.array_join(F.col("held.leaf"), "")
         fold = F.transform("held", lambda x, i: F.sha2(F.concat(F.substr("joined", F.lit(1), i * HEX), x.tampered, F.substr("joined", i * HEX + (HEX + 1))), 256))
         many = held.where("n > 1").withColumn("joined", joined).select("tree", "run", fold.alias("folded"))
-        first = self.nodes.where("level = 1 AND tree >= 0").select("tree", F.col("pos").alias("run"), "up_tree", "up_level", "up_pos", "slot", "hash", F.when(F.col("is_subroot"), F.col("hash")).alias("subroot"))
+        first = self.nodes.where("level = 1 AND tree >= 0").select("tree", F.col("pos").alias("run"), *UP, "slot", "hash", F.when(F.col("is_subroot"), F.col("hash")).alias("subroot"))
         up = [F.lit(TOP).cast("bigint").alias("up_tree"), F.lit(1).cast("bigint").alias("up_level")]
-        lone = held.where("n = 1").select("tree", "run", *up, F.expr(f"tree div {FAN}").alias("up_pos"), (F.col("tree") % FAN).alias("slot"), F.col("held.leaf")[0].alias("hash"), F.col("held.leaf")[0].alias("subroot"), F.col("held.tampered").alias("folded"))
+        lone = held.where("n = 1").select("tree", "run", *up, F.expr(f"tree div {FAN}").alias("up_pos"), F.lit(_copies_top(1, self.trees)).cast("bigint").alias("up_copies"), (F.col("tree") % FAN).alias("slot"), F.col("held.leaf")[0].alias("hash"), F.col("held.leaf")[0].alias("subroot"), F.col("held.tampered").alias("folded"))
         return stage(many.join(first, ["tree", "run"]).unionByName(lone))
 
     def proofs(self) -> DataFrame:
