@@ -1,7 +1,8 @@
 """Interpolated Kneser-Ney models of characters, one per class, in sorted arrays that all classes share.
 
 A gram of up to four characters is a 64-bit code, 16 bits per character, the last one lowest; so its context is the code without the
-lowest 16 bits and its suffix the code without the highest character. Characters beyond U+FFFF share codes with others.
+lowest 16 bits and its suffix the code without the highest character. Characters beyond U+FFFF share the codes of surrogates, which no
+text holds, and of the private-use characters up to U+F8FF, 125 characters to a code; so they are told from every other letter and from space.
 
 A model has every gram of its documents. Spark counts the grams of all orders and works out their probabilities; they pass through the
 driver a partition at a time into files in the shared folder, which workers map.
@@ -27,6 +28,8 @@ from isobar.session import shared_folder, stage
 ORDER = 4
 BITS = 16
 SPACE = 0x20
+#: The codes that characters beyond U+FFFF share.
+SHARED, SHARED_END = 0xD800, 0xF900
 #: Bytes of text handled at a time.
 PIECE = 1 << 20
 #: Probability of a character of which nothing is known.
@@ -42,6 +45,10 @@ def any_character(c: str) -> int:
     return ord(c)
 
 
+def sixteen_bits(points: np.ndarray) -> np.ndarray:
+    return np.where(points > 0xFFFF, SHARED + points % (SHARED_END - SHARED), points)
+
+
 class Alphabet:
     """Maps code points, each asked for once per worker."""
 
@@ -54,7 +61,7 @@ class Alphabet:
             for p in np.unique(points[found < 0]).tolist():
                 self.table[p] = self.rule(chr(p))
             found = self.table[points]
-        return found & 0xFFFF
+        return sixteen_bits(found)
 
 
 def grams(texts: Texts, alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray]:

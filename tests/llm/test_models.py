@@ -98,7 +98,7 @@ def test_sample_on_labelled_documents(spark):
 
 
 def plain_grams(text, rule):
-    chars = [rule(c) & 0xFFFF for c in text or ""]
+    chars = [x if (x := rule(c)) <= 0xFFFF else 0xD800 + x % (0xF900 - 0xD800) for c in text or ""]
     out = [charmodel.SPACE]
     for c in [*chars, charmodel.SPACE]:
         if c != charmodel.SPACE or out[-1] != charmodel.SPACE:
@@ -238,3 +238,18 @@ def test_url_models_learn_from_rules(spark):
     rows += [(5000 + i, f"http://good{i}.net/wiki/article-{i}") for i in range(20)] + [(6000 + i, f"http://casino{i}.net/de/win-big-{i}") for i in range(20)]
     got = {r.page_id: r for r in urls.filter_urls(spark.createDataFrame(rows, "page_id bigint, url string"), URL_RULES).collect()}
     assert all(got[5000 + i].verdict == "allow" and got[6000 + i].verdict == "block" and got[5000 + i].rule is None for i in range(20))
+
+
+def test_letters_beyond_sixteen_bits_are_letters(spark):
+    """A script beyond U+FFFF is learned like any other, and none of its characters is a space."""
+    rows = []
+    for i in range(400):
+        lang, first, n = (("xa", 0x20020, 40), ("xb", 0x10A00 + 0x10, 4), ("en", 0x61, 26))[i % 3]
+        letters = [chr(first + (7 * i + j * j) % n) for j in range(60)]
+        rows.append((i, "".join(c if k % 6 else c + " " for k, c in enumerate(letters) if c.isalpha()), lang))
+    rows.append((1000, chr(0x20020) * 5, None))
+    got = {r.doc_id: r for r in language.identify(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert all(got[i].lang_pred == lang for i, _, lang in rows[:-1] if lang != "xb")
+    assert got[1000].lang_pred == "xa" and got[1000].score > 0.5
+    shared = charmodel.sixteen_bits(np.arange(0x110000))
+    assert (shared[:0x10000] == np.arange(0x10000)).all() and shared[0x10000:].min() >= 0xD800 and shared[0x10000:].max() < 0xF900
