@@ -35,16 +35,25 @@ PIECE = 1 << 21
 STEPS = 16
 
 
-@cache
-def _every_character() -> list[str]:
-    return [chr(c) for c in (*range(0xD800), *range(0xE000, 0x110000))]
+#: Characters asked about at a time; a list of all of them would take hundreds of megabytes.
+ASKED = 1 << 13
+
+
+def _characters() -> Iterator[str]:
+    """All characters but U+0000, in strings of ``ASKED``."""
+    for first, end in ((1, 0xD800), (0xE000, 0x110000)):
+        for c in range(first, end, ASKED):
+            yield "".join(map(chr, range(c, min(c + ASKED, end))))
 
 
 @cache
 def _lower_cases() -> dict[str, str]:
     """Where the library's lower case of a character is not Python's, which knows another Unicode version."""
-    library = Lowercase().normalize_str("\0".join(_every_character())).split("\0")
-    return {c: low for c, low in zip(_every_character()[1:], library[2:], strict=True) if low != c.lower()}
+    library, odd = Lowercase(), {}
+    for some in _characters():
+        lowered = library.normalize_str("\0".join(some)).split("\0")
+        odd |= {c: low for c, low in zip(some, lowered, strict=True) if low != c.lower()}
+    return odd
 
 
 @cache
@@ -53,8 +62,13 @@ def _class(expression: str) -> str:
 
     Asked of the library, since every regular-expression engine knows the letters of another Unicode version.
     """
-    found = Split(Regex(f"(?:{expression})+"), "removed", invert=True).pre_tokenize_str("".join(_every_character()))
-    spans = ((ord(run[0]), ord(run[-1])) for run, _ in found)
+    splitter, spans = Split(Regex(f"(?:{expression})+"), "removed", invert=True), []
+    for some in _characters():
+        for run, _ in splitter.pre_tokenize_str(some):
+            if spans and spans[-1][1] + 1 == ord(run[0]):
+                spans[-1][1] = ord(run[-1])
+            else:
+                spans.append([ord(run[0]), ord(run[-1])])
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in spans)
 
 
