@@ -1,15 +1,15 @@
-"""Phrase collocations by Toivonen's way of mining: a sample proposes, a full pass counts, failures of the border call for more passes.
+"""Phrase collocations by Toivonen's way of mining: a sample proposes, a full pass counts, failures of the border make another pass count more.
 
 A phrase is a run of up to ``LONGEST`` words inside a piece of text. Those that are frequent in a sample, at a lowered threshold, are put into a
-bit filter of bounded size. The full pass counts exactly the phrases whose two parts one word shorter are in the filter: the proposals and their
-negative border, as far as it occurs. If a phrase of the border turns out frequent, the filter gets the frequent phrases of the whole
-corpus and another pass counts what only the new filter lets through, until all frequent phrases were in the filter. Then every frequent
-phrase has been counted, since its parts are frequent and so were in the filter. A phrase that the filter lets through by mistake is
-counted as well, so the size of the filter decides how much is counted and never what is found.
+bit filter of bounded size. The first full pass counts the phrases whose two parts one word shorter are in that filter, by their 64-bit hashes:
+all words, the proposals, and their negative border as far as it occurs. The second pass spells and counts by their text the phrases found
+frequent. If some of the border are among them, the sample has failed there: the pass then also counts every phrase that the
+first one left out and whose parts are both frequent or themselves counted now. A frequent phrase has frequent parts, so after that pass, by induction
+over the length, no frequent phrase is left out: it is closed. What the filters let through by mistake is counted as well, so their size and
+collisions of hashes decide how much is counted and never what is found.
 
 Words are lower-cased in A to Z and separated by spaces and tabs; the characters of ``BREAKS`` end a piece. A language that is NULL is ``und``, a
-NULL text is empty; an empty table gives no phrase. Inside a task phrases are told apart by 64-bit hashes, across tasks by their text.
-Other columns are not read, and repeated rows count as often as they are there.
+NULL text is empty; an empty table gives no phrase. Other columns are not read, and repeated rows count as often as they are there.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ LONGEST = 5
 #: Occurrences from which a phrase is a candidate.
 FREQUENT = 100
 #: Share of the documents in the sample, and the part of a phrase's expected count there that is enough to propose it.
-SAMPLE = 0.125
-SLACK = 1 / 3
+SAMPLE = 1 / 16
+SLACK = 1 / 2
 SEED = 11
 #: A candidate is dropped where a longer one around it has at least this share of its occurrences, in per cent.
 ABSORBED = 100
@@ -41,7 +41,7 @@ TOP = 2000
 #: The filter has 16 bits for each phrase, and at most 2 to this power (16 MB).
 MOST_BITS = 27
 #: Bytes of text looked at together; longer texts are cut between pieces.
-BLOCK = 1 << 22
+BLOCK = 1 << 21
 
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 _BREAK = np.isin(np.arange(256), list(BREAKS))
@@ -51,7 +51,7 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 _PLACE = np.random.default_rng(20240511).integers(1, 2**63, LONGEST + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 
-COUNTED = "lang string, n int, phrase string, key bigint, known boolean, a bigint"
+SPELLED = "lang string, n int, phrase string, a bigint"
 
 
 class Filter:
@@ -99,14 +99,21 @@ class Block:
         self.bytes[np.arange(int(self.lengths.sum())) + np.repeat(np.arange(len(starts)), self.lengths)] = data[letter]
         self.hashes = Texts(self.bytes, np.array([0, len(self.bytes)])).words()[0]
 
-    def runs(self, seeds: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """For every length the hash of the run of words from each word on, and whether it lies in one piece."""
-        joined = seeds[self.text] * _PLACE[LONGEST]
+    def runs(self, seeds: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """For every length the words at which runs begin that lie in one piece, their hashes, and marks per word, all unset: the runs of the next
+        length are those whose two parts have been marked. The marks of the parts themselves come last."""
+        marks = np.ones(len(self.hashes), bool)
+        at, joined = np.arange(len(self.hashes)), seeds[self.text] * _PLACE[LONGEST]
         for n in range(1, LONGEST + 1):
-            joined = joined[: len(self.hashes) - n + 1] + self.hashes[n - 1 :] * _PLACE[n - 1]
-            if not len(joined):
+            if n > 1:
+                at = at[: np.searchsorted(at, len(self.hashes) - n + 1)]
+                going = marks[at] & marks[at + 1] & (self.piece[at] == self.piece[at + n - 1])
+                at, joined = at[going], joined[: len(going)][going]
+            if not len(at):
                 return
-            yield n, mixed(joined), self.piece[: len(joined)] == self.piece[n - 1 :]
+            joined = joined + self.hashes[at + n - 1] * _PLACE[n - 1]
+            marks = np.zeros(len(self.hashes), bool)
+            yield n, at, mixed(joined), marks
 
     def spelled(self, first: np.ndarray, n: int) -> pa.Array:
         """The runs of ``n`` words from the words ``first`` on, with single spaces."""
@@ -125,15 +132,27 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK) -> Iterator[tup
         langs = batch.column("lang").dictionary_encode()
         names, codes = langs.dictionary.to_pylist(), langs.indices.to_numpy(zero_copy_only=False)
         offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-        data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-        offsets = offsets - offsets[0]
-        ends = np.unique(np.concatenate([np.flatnonzero(_BREAK[data]) + 1, offsets[1:]]))
-        at = 0
-        while at < len(data):
-            end = int(ends[max(np.searchsorted(ends, at + size, side="right") - 1, np.searchsorted(ends, at, side="right"))])
-            first, last = np.searchsorted(offsets, at, side="right") - 1, np.searchsorted(offsets, end, side="left")
-            yield Block(data[at:end], np.maximum(offsets[first:last] - at, 0)), names, codes[first:last]
-            at = end
+        data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+        row = 0
+        while row < len(column):
+            end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, side="right")) - 1)
+            some, texts = data[offsets[row] : offsets[end]], offsets[row:end] - offsets[row]
+            if end > row + 1 or len(some) <= size:
+                yield Block(some, texts), names, codes[row:end]
+            else:
+                for part in _cut(some, size):
+                    yield Block(part, texts), names, codes[row:end]
+            row = end
+
+
+def _cut(text: np.ndarray, size: int) -> Iterator[np.ndarray]:
+    """A long text in parts of about ``size`` bytes that end where a piece ends; a piece that is longer stays whole."""
+    ends = np.append(np.flatnonzero(_BREAK[text]) + 1, len(text))
+    at = 0
+    while at < len(text):
+        end = int(ends[max(np.searchsorted(ends, at + size, side="right") - 1, np.searchsorted(ends, at, side="right"))])
+        yield text[at:end]
+        at = end
 
 
 def _seeds(names: list[str], codes: np.ndarray) -> np.ndarray:
@@ -152,40 +171,49 @@ def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashes of all phrases that can be a part of another one, and their counts in a block."""
     for block, names, codes in blocks(batches):
-        for n, keys, inside in block.runs(_seeds(names, codes)):
-            if n < LONGEST and inside.any():
-                keys = keys[inside]
+        for n, at, keys, marks in block.runs(_seeds(names, codes)):
+            if n < LONGEST:
+                marks[at] = True
                 first, count = _grouped(keys)
                 yield pa.RecordBatch.from_arrays([pa.array(keys[first].view(np.int64)), pa.array(count)], ["key", "a"])
 
 
-def _counted(batches: Iterator[pa.RecordBatch], new, old) -> Iterator[pa.RecordBatch]:
-    """Phrases that the filter ``new`` lets through and ``old`` did not. Without an old one, also all words, and their number as an empty phrase."""
-    new, old = new.value, old and old.value
+def _hashed(batches: Iterator[pa.RecordBatch], proposed) -> Iterator[pa.RecordBatch]:
+    """Hashes and counts of the phrases whose parts are proposed, and whether they can only be failures of the border: parts, not proposed."""
+    wanted = proposed.value
+    for block, names, codes in blocks(batches):
+        for n, at, keys, marks in block.runs(_seeds(names, codes)):
+            first, count = _grouped(keys)
+            alike = wanted.has(keys) if n < LONGEST else np.ones(len(keys), bool)
+            marks[at] = alike
+            yield pa.RecordBatch.from_arrays([pa.array(keys[first].view(np.int64)), pa.array(~alike[first]), pa.array(count)], ["key", "failed", "a"])
+
 
-    def rows(block, names, codes, n, first, keys, known, count):
-        langs = pa.DictionaryArray.from_arrays(pa.array(codes[block.text[first]], pa.int32()), pa.array(names, pa.string())).cast(pa.string())
-        return pa.RecordBatch.from_arrays([langs, pa.array(np.full(len(first), n, np.int32)), block.spelled(first, n), pa.array(keys.view(np.int64)), pa.array(known), pa.array(count)], ["lang", "n", "phrase", "key", "known", "a"])
+def _spelled(batches: Iterator[pa.RecordBatch], proposed, frequent, failed: bool) -> Iterator[pa.RecordBatch]:
+    """The frequent phrases of the first pass; if that one ``failed``, also what it left out and may be frequent. An empty phrase has the words' number."""
+    before, found = proposed.value, frequent.value
+
+    def rows(names, langs, n, phrases, count):
+        lang = pa.DictionaryArray.from_arrays(pa.array(langs, pa.int32()), pa.array(names, pa.string())).cast(pa.string())
+        return pa.RecordBatch.from_arrays([lang, pa.array(np.full(len(langs), n, np.int32)), phrases, pa.array(count)], ["lang", "n", "phrase", "a"])
 
     for block, names, codes in blocks(batches):
-        if not old and len(block.hashes):
-            words = np.bincount(codes[block.text], minlength=len(names))
-            used = np.flatnonzero(words)
-            zero = np.zeros(len(used), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in used], pa.string()), pa.array(zero.astype(np.int32)), pa.array([""] * len(used)), pa.array(zero), pa.array(zero == 0), pa.array(words[used])], ["lang", "n", "phrase", "key", "known", "a"])
-        parts = before = None
-        for n, keys, inside in block.runs(_seeds(names, codes)):
-            wanted = inside if parts is None else inside & parts[:-1] & parts[1:]
-            if old:
-                wanted = wanted & (n > 1)
-                wanted = wanted if before is None else wanted & ~(before[:-1] & before[1:])
-                before = inside & old.has(keys)
-            parts = inside & new.has(keys)
-            at = np.flatnonzero(wanted)
+        words = np.bincount(codes[block.text], minlength=len(names))
+        used = np.flatnonzero(words)
+        yield rows(names, used, 0, pa.array([""] * len(used), pa.string()), words[used])
+        parts_proposed = None
+        for n, at, keys, marks in block.runs(_seeds(names, codes)):
+            counted = np.ones(len(at), bool) if parts_proposed is None else parts_proposed[at] & parts_proposed[at + 1]
+            wanted = counted & found.has(keys)
+            if failed:
+                wanted |= ~counted
+                parts_proposed = np.zeros(len(marks), bool)
+                parts_proposed[at] = counted & before.has(keys)
+            at, keys = at[wanted], keys[wanted]
+            marks[at] = True
             if len(at):
-                first, count = _grouped(keys[at])
-                first = at[first]
-                yield rows(block, names, codes, n, first, keys[first], parts[first], count)
+                first, count = _grouped(keys)
+                yield rows(names, codes[block.text[at[first]]], n, block.spelled(at[first], n), count)
 
 
 def _bits(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
@@ -196,34 +224,30 @@ def _bits(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBat
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(held.words[used].view(np.int64))], ["word", "bits"])
 
 
-def _filter(keys: DataFrame, bits: int, base: Filter | None = None) -> Filter:
-    """A filter of ``keys``; only its words, of bounded number, reach the driver."""
+def _filter(keys: DataFrame, most_bits: int) -> Filter:
+    """A filter of the column ``key``; only its words, of bounded number, reach the driver."""
+    bits = min(max(16, math.ceil(math.log2(16 * (1 + keys.count())))), most_bits)
     words = keys.select("key").mapInArrow(partial(_bits, bits=bits), "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    made = Filter(bits, base.words.copy() if base else None)
-    made.words[words.column("word").to_numpy()] |= words.column("bits").to_numpy().view(np.uint64)
+    made = Filter(bits)
+    made.words[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
     return made
 
 
 def frequent_phrases(docs: DataFrame, frequent: int = FREQUENT, sample: float = SAMPLE, most_bits: int = MOST_BITS) -> tuple[DataFrame, int]:
     """(lang, n, phrase, a) of every phrase of up to ``LONGEST`` words with ``a >= frequent`` occurrences, and of an empty phrase with n = 0 whose a
-    is the number of all words; and how many full passes it took."""
+    is the number of all words; and how many hashes of the border turned out frequent."""
     context = docs.sparkSession.sparkContext
     rows = docs.select(empty_to(F.col("lang").cast("string"), "und").alias("lang"), F.col("text").cast("string").alias("text"))
     enough = max(1, math.floor(frequent * sample * SLACK))
-    proposed = stage(rows.sample(sample, seed=SEED).mapInArrow(_sampled, "key bigint, a bigint").groupBy("key").agg(F.sum("a").alias("a")).where(F.col("a") >= enough))
-    bits = min(max(16, math.ceil(math.log2(16 * (1 + proposed.count())))), most_bits)
-    new, old, found, passes = _filter(proposed, bits), None, None, 0
-    while True:
-        passes += 1
-        sent = [context.broadcast(new), old and context.broadcast(old)]
-        counted = rows.mapInArrow(partial(_counted, new=sent[0], old=sent[1]), COUNTED)
-        summed = counted.groupBy("lang", "n", "phrase", "key", "known").agg(F.sum("a").alias("a"))
-        met = stage(summed.where((F.col("a") >= frequent) | (F.col("n") == 0)))
-        found = met if found is None else found.unionByName(met)
-        failed = met.where((F.col("n") > 0) & (F.col("n") < LONGEST) & ~F.col("known"))
-        if failed.isEmpty():
-            return found.select("lang", "n", "phrase", "a"), passes
-        old, new = new, _filter(failed, bits, new)
+    sampled = rows.sample(sample, seed=SEED).mapInArrow(_sampled, "key bigint, a bigint").groupBy("key").agg(F.sum("a").alias("a"))
+    proposed = context.broadcast(_filter(stage(sampled.where(F.col("a") >= enough)), most_bits))
+    hashed = rows.mapInArrow(partial(_hashed, proposed=proposed), "key bigint, failed boolean, a bigint")
+    met = stage(hashed.groupBy("key").agg(F.sum("a").alias("a"), F.max("failed").alias("failed")).where(F.col("a") >= frequent))
+    failures = met.where("failed").count()
+    found = context.broadcast(_filter(met, most_bits))
+    spelled = rows.mapInArrow(partial(_spelled, proposed=proposed, frequent=found, failed=failures > 0), SPELLED)
+    summed = spelled.groupBy("lang", "n", "phrase").agg(F.sum("a").alias("a"))
+    return stage(summed.where((F.col("a") >= frequent) | (F.col("n") == 0))), failures
 
 
 def scored(found: DataFrame, absorbed: int = ABSORBED) -> DataFrame:
