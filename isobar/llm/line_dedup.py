@@ -1,18 +1,19 @@
-"""Remove repeated runs of lines, cut where the content says so.
+"""Remove repeated runs of lines: chunks cut where the content says so, extended over the lines around them.
 
 A line begins a new chunk where the rolling hash of the lines from it on is smaller than that of the line before and not larger than
 that of the line after. That depends on nearby lines alone, so insertions elsewhere do not shift the cuts, and it keeps cuts two
 lines apart: every chunk of a text with two or more lines has two or more lines. Of the chunks with the same bytes all but the
-first are removed. A passage of a few lines rarely has a whole chunk of its own, so chunks miss most of those.
+first are removed.
 
-``dedup_runs`` misses none: it compares every line with the next one, so a repeated run needs no cut at its ends.
+A passage rarely begins and ends at a cut. So pairs of neighbouring lines are compared as well: pairs that repeat beside a repeated chunk extend
+it, and those that touch each other make up passages too short to hold a chunk. No repeated passage of two lines or more is missed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from isobar.llm.common import let, trimmed, word_count
 from isobar.session import stage
@@ -22,6 +23,8 @@ WINDOW = 2
 #: A line of more words than this is a run by itself.
 LONG = 50
 KEYS = ("id", "salt")
+#: Bits of the filter that keeps documents without a match out of shuffles. It is broadcast, in rows of 16 bytes for 64 bits.
+SLOTS = 1 << 25
 
 
 def rolling(lines: Column, window: int) -> Column:
@@ -45,88 +48,124 @@ def chunk_starts(lines: Column, window: int = WINDOW) -> Column:
     return let(rolling(lines, window), cuts)
 
 
-def chunks(rows: DataFrame, window: int) -> DataFrame:
-    """One row per chunk of two or more lines that holds more than space: key, first line, number of lines, bytes."""
-    lines = rows.where(F.contains("body", F.lit("\n"))).select(*KEYS, F.split("body", "\n").alias("lines"))
-    cut = lines.select(*KEYS, "lines", F.concat(chunk_starts(F.col("lines"), window), F.array(F.size("lines"))).alias("starts"))
-    spans = F.transform(
-        F.sequence(F.lit(1), F.size("starts") - 1),
-        lambda k: F.struct(
-            F.element_at("starts", k).alias("start"),
-            (F.element_at("starts", k + 1) - F.element_at("starts", k)).alias("n"),
-        ),
-    )
-    flat = cut.select(*KEYS, "lines", F.explode(spans).alias("span"))
-    body = F.array_join(F.slice("lines", F.col("span.start") + 1, F.col("span.n")), "\n")
-    return flat.select(*KEYS, "span.start", "span.n", body.alias("chunk")).where((F.col("n") > 1) & (trimmed(F.col("chunk")) != ""))
+def chunk_spans(lines: Column, window: int) -> Column:
+    """First line and number of lines of the chunks of two or more lines that hold more than space."""
+
+    def spans(starts: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.size(starts) - 1),
+            lambda k: _span(F.element_at(starts, k), F.element_at(starts, k + 1) - F.element_at(starts, k), True),
+        )
+
+    found = let(F.concat(chunk_starts(lines, window), F.array(F.size(lines))), spans)
+    return F.filter(found, lambda s: (s["n"] > 1) & F.exists(F.slice(lines, s["start"] + 1, s["n"]), lambda line: trimmed(line) != ""))
+
+
+def unit_spans(lines: Column) -> Column:
+    """The smallest runs that count, as ``chunk_spans``: from a line that holds more than space to the next such line, and a line of
+    more than ``LONG`` words. Each longer run is a chain of them."""
+
+    def chain(filled: Column) -> Column:
+        after = F.slice(filled, 2, F.greatest(F.size(filled) - 1, F.lit(0)))
+        pairs = F.transform(after, lambda i, k: _span(F.get(filled, k), i - F.get(filled, k) + 1, False))
+        long = F.filter(filled, lambda i: word_count(F.get(lines, i)) > LONG)
+        return F.concat(pairs, F.transform(long, lambda i: _span(i, F.lit(1), False)))
+
+    return let(F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: trimmed(F.get(lines, i)) != ""), chain)
+
+
+def _span(start: Column, n: Column, whole: bool) -> Column:
+    return F.struct(start.alias("start"), n.alias("n"), F.lit(whole).alias("whole"))
 
 
 def span_text(lines: Column, span: Column) -> Column:
     return F.array_join(F.slice(lines, span["start"] + 1, span["n"]), "\n")
 
 
-def repeated_chunks(rows: DataFrame, window: int) -> DataFrame:
-    """Per document (id, salt) its later copies of chunks, in order: first line, number of lines, and the bytes of the copy that stays.
+def _slots(rows: DataFrame) -> DataFrame:
+    slot = F.pmod(F.xxhash64(*KEYS), F.lit(SLOTS))
+    return rows.withColumn("word", F.floor(slot / 64)).withColumn("bit", (slot % 64).cast("int"))
 
-    Only hashes and positions are shuffled to find repetitions. The bytes of a chunk that stays are then fetched once, from its
-    document, and sent to the repetitions. A chunk that very many documents share is counted before its rows are shuffled;
-    its repetitions meet the chunk in a join, which adaptive execution splits.
-    """
-    marks = stage(chunks(rows, window).select(*KEYS, "start", "n", F.xxhash64("chunk").alias("h"), F.hash("chunk").alias("g")))
-    at = F.struct("id", "salt", "start", "n")
-    groups = marks.groupBy("h", "g").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1")
-    wanted = groups.groupBy(F.col("first.id").alias("id"), F.col("first.salt").alias("salt")).agg(
-        F.collect_list(F.struct("h", "g", "first")).alias("wanted")
-    )
-    found = rows.select(*KEYS, "body").join(wanted, list(KEYS)).select(F.split("body", "\n").alias("lines"), F.explode("wanted").alias("w"))
-    stays = found.select("w.h", "w.g", "w.first", span_text(F.col("lines"), F.col("w.first")).alias("chunk"))
-    stays = stays.groupBy("h", "g").agg(F.min("first").alias("first"), F.min("chunk").alias("chunk"))
-    repeats = marks.join(stays, ["h", "g"]).where(at != F.col("first"))
-    return repeats.groupBy(*KEYS).agg(F.array_sort(F.collect_set(F.struct("start", "n", "chunk"))).alias("repeats"))
 
+def key_bits(keys: DataFrame) -> DataFrame:
+    """One bit per slot of a hash of the documents' keys, in at most ``SLOTS`` / 64 rows whatever the number of documents."""
+    return stage(_slots(keys).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")))
 
-def units(rows: DataFrame) -> DataFrame:
-    """Key, first line, number of lines and hashes of the smallest runs that count: from a line that holds more than space to the next
-    such line, and a line of more than ``LONG`` words. Each longer run is a chain of them."""
 
-    def spans(lines: Column) -> Column:
-        def unit(start: Column, n: Column) -> Column:
-            text = F.array_join(F.slice(lines, start + 1, n), "\n")
-            return F.struct(start.alias("start"), n.alias("n"), F.xxhash64(text).alias("h"), F.hash(text).alias("g"))
+def may_hold(rows: DataFrame, bits: DataFrame) -> DataFrame:
+    """``rows`` with ``hit``: false only for documents that are not among the keys behind ``bits``."""
+    met = _slots(rows).join(F.broadcast(bits), "word", "left")
+    return met.withColumn("hit", F.coalesce(F.getbit("bits", F.col("bit")) == 1, F.lit(False))).drop("word", "bit", "bits")
 
-        def chain(filled: Column) -> Column:
-            after = F.slice(filled, 2, F.greatest(F.size(filled) - 1, F.lit(0)))
-            pairs = F.transform(after, lambda i, k: unit(F.get(filled, k), i - F.get(filled, k) + 1))
-            long = F.filter(filled, lambda i: word_count(F.get(lines, i)) > LONG)
-            return F.concat(pairs, F.transform(long, lambda i: unit(i, F.lit(1))))
 
-        return let(F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: trimmed(F.get(lines, i)) != ""), chain)
+def later_copies(rows: DataFrame, spans: Callable[[Column], Column]) -> DataFrame:
+    """Key, first line, number of lines and ``whole`` of each span that an earlier place holds too, and that place: ``of``, ``of_salt``
+    and ``shift`` to its first line. A copy that overlaps the earliest one is none. Hashes and positions alone are shuffled."""
 
-    known = rows.where("body IS NOT NULL").select(*KEYS, F.explode(let(F.split("body", "\n"), spans)).alias("unit"))
-    return known.select(*KEYS, "unit.*")
+    def hashed(lines: Column) -> Column:
+        def mark(s: Column) -> Column:
+            text = span_text(lines, s)
+            return F.struct(s["start"].alias("start"), s["n"].alias("n"), s["whole"].alias("whole"), F.xxhash64(text).alias("h"), F.hash(text).alias("g"))
 
+        return F.transform(spans(lines), mark)
 
-def repeated_units(rows: DataFrame) -> DataFrame:
-    """As ``repeated_chunks``, of units; a copy that overlaps the one that stays is none."""
-    marks = stage(units(rows))
-    at = F.struct("id", "salt", "start", "n")
-    groups = marks.groupBy("h", "g").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last")
-    wanted = groups.groupBy(F.col("first.id").alias("id"), F.col("first.salt").alias("salt")).agg(
-        F.collect_list(F.struct("h", "g", "first")).alias("wanted")
-    )
+    known = rows.where("body IS NOT NULL").select(*KEYS, F.explode(let(F.split("body", "\n"), hashed)).alias("mark"))
+    marks = stage(known.select(*KEYS, "mark.*"))
+    groups = marks.groupBy("h", "g").agg(F.min(F.struct(*KEYS, "start")).alias("first"), F.count(F.lit(1)).alias("times"))
+    places = stage(groups.where("times > 1").select("h", "g", *[F.col(f"first.{c}").alias(to) for c, to in (("id", "of"), ("salt", "of_salt"), ("start", "at"))]))
+    apart = (F.col("id") != F.col("of")) | (F.col("salt") != F.col("of_salt")) | (F.col("at") + F.col("n") <= F.col("start"))
+    return marks.join(places, ["h", "g"]).where(apart).select(*KEYS, "start", "n", "whole", "of", "of_salt", (F.col("at") - F.col("start")).alias("shift"))
+
+
+def runs_of(copies: DataFrame) -> DataFrame:
+    """The copies of a document, chained into runs where they touch and have the same source at the same distance.
+
+    Copies inside a repeated chunk add nothing and go first; so does a run inside another one at the end. Equal copies, which rows
+    equal in id and text bring, are met before the shuffle. The windows follow one document's lines.
+    """
+    packed = copies.groupBy(*KEYS).agg(F.collect_set(F.struct("start", "n", "whole", "of", "of_salt", "shift")).alias("copies"))
+    line = packed.select(*KEYS, F.explode("copies").alias("c")).select(*KEYS, "c.*").withColumn("end", F.col("start") + F.col("n"))
+    before = Window.partitionBy(*KEYS).orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    covered = F.coalesce(F.max(F.when(F.col("whole"), F.col("end"))).over(before), F.lit(0))
+    line = line.withColumn("covered", covered).where(F.col("whole") | (F.col("end") > F.col("covered")))
+
+    source = (*KEYS, "of", "of_salt", "shift")
+    chain = Window.partitionBy(*source).orderBy("start", "end")
+    reach = F.max("end").over(chain.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("start") > F.col("reach"), F.lit(True)).cast("int")
+    line = line.withColumn("reach", reach).withColumn("run", F.sum(opens).over(chain.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    runs = line.groupBy(*source, "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+
+    outer = Window.partitionBy(*KEYS).orderBy("start", F.desc("end"), "of", "of_salt", "shift").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("outer", F.coalesce(F.max("end").over(outer), F.lit(0))).where(F.col("end") > F.col("outer"))
+    return runs.select(*KEYS, "start", (F.col("end") - F.col("start")).alias("n"), "of", "of_salt", (F.col("start") + F.col("shift")).alias("at"))
+
+
+def repeated(rows: DataFrame, spans: Callable[[Column], Column]) -> DataFrame:
+    """Per document (id, salt) the runs of ``spans`` that repeat, in order: first line, number of lines, and the bytes at the source.
+
+    The bytes of a source are cut once from its document, of which the others stay where they are, and sent to each repetition. A span that very
+    many documents share is counted before its rows are shuffled; its repetitions meet it in joins of two scans, which adaptive execution splits.
+    """
+    runs = stage(runs_of(later_copies(rows, spans)))
+    wanted = runs.select(F.col("of").alias("id"), F.col("of_salt").alias("salt"), F.struct("at", "n").alias("piece"))
+    wanted = stage(wanted.groupBy(*KEYS).agg(F.collect_set("piece").alias("pieces")))
 
     def texts(lines: Column) -> Column:
-        return F.transform("wanted", lambda w: F.struct(w["h"].alias("h"), w["g"].alias("g"), w["first"].alias("first"), span_text(lines, w["first"]).alias("chunk")))
+        def text(p: Column) -> Column:
+            return F.struct(p["at"].alias("at"), p["n"].alias("n"), F.array_join(F.slice(lines, p["at"] + 1, p["n"]), "\n").alias("chunk"))
+
+        return F.transform("pieces", text)
 
-    found = rows.select(*KEYS, "body").join(wanted, list(KEYS)).select(F.explode(let(F.split("body", "\n"), texts)).alias("w")).select("w.*")
-    stays = found.groupBy("h", "g").agg(F.min("first").alias("first"), F.min("chunk").alias("chunk"))
-    apart = (F.struct(*KEYS) != F.struct("first.id", "first.salt")) | (F.col("first.start") + F.col("first.n") <= F.col("start"))
-    repeats = marks.join(stays, ["h", "g"]).where(apart)
-    return repeats.groupBy(*KEYS).agg(F.array_sort(F.collect_set(F.struct("start", "n", "chunk"))).alias("repeats"))
+    sources = may_hold(rows, key_bits(wanted.select(*KEYS))).where("hit").join(wanted, list(KEYS))
+    found = sources.select(F.col("id").alias("of"), F.col("salt").alias("of_salt"), F.explode(let(F.split("body", "\n"), texts)).alias("p")).select("of", "of_salt", "p.*")
+    place = ["of", "of_salt", "at", "n"]
+    sent = runs.join(stage(found.groupBy(*place).agg(F.min("chunk").alias("chunk"))), place)
+    return sent.groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("start", "n", "chunk"))).alias("repeats"))
 
 
 def merged(spans: Column) -> Column:
-    """The lines of ``spans``, which are in order and may overlap, as spans that do not."""
+    """The lines of ``spans``, of which both begins and ends ascend, as spans that do not overlap."""
 
     def ends(s: Column) -> Column:
         def end(x: Column) -> Column:
@@ -156,43 +195,45 @@ def without(lines: Column, spans: Column) -> Column:
 def dedup_lines(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` with ``row`` (all their columns, packed), the text that stays, n_lines and n_removed.
 
-    A chunk is removed where a document earlier by id (by position within one document) holds the same bytes; the earliest copy
-    stays. Chunks of white space and texts of a single line are left alone. A NULL text stays NULL with 0 lines, an
-    empty one has one line. Rows equal in id and text count as one document and are treated alike; a NULL id counts as the
-    smallest. ``id_column`` and ``text_column`` are read, other columns pass through whatever their names. An empty table gives no rows.
+    A chunk is removed where a document earlier by id, or an earlier place of the same document that does not overlap, holds the same
+    bytes. So is every other run of lines that stands at such a place: two neighbouring lines that hold more than space, with the blank ones
+    between them, or one line of more than ``LONG`` words. Each line that is removed stays somewhere; where two runs overlap, their
+    copies that stay may lie in different documents. A run whose bytes differ from its source's, which takes equal hashes, stays.
+
+    Chunks of white space are left alone. A NULL text stays NULL with 0 lines, an empty one has one line. Rows equal in id
+    and text count as one document and are treated alike; a NULL id counts as the smallest. ``id_column`` and ``text_column`` are
+    read, other columns pass through whatever their names. An empty table gives no rows.
     """
-    return _cut(docs, lambda rows: repeated_chunks(rows, window), lambda spans: spans, id_column, text_column)
+    return _cut(docs, lambda lines: F.concat(chunk_spans(lines, window), unit_spans(lines)), id_column, text_column)
 
 
 def dedup_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """As ``dedup_lines``, but every run of lines goes that stands at an earlier place, whatever surrounds it.
+    """As ``dedup_lines``, without chunks: blank lines go inside a run only."""
+    return _cut(docs, unit_spans, id_column, text_column)
 
-    A run counts if two of its lines hold more than space, or if it is a line of more than ``LONG`` words; blank lines go inside a run
-    only. Earlier is an earlier document by id, or an earlier place of the same document that does not overlap. Each line that is
-    removed stays somewhere; where two runs overlap, their copies that stay may lie in different documents.
-    """
-    return _cut(docs, repeated_units, merged, id_column, text_column)
 
-
-def _cut(docs: DataFrame, repeated: Callable[[DataFrame], DataFrame], apart: Callable[[Column], Column], id_column: str, text_column: str) -> DataFrame:
-    """``docs`` without the spans that ``repeated`` finds; ``apart`` makes them free of overlaps."""
+def _cut(docs: DataFrame, spans: Callable[[Column], Column], id_column: str, text_column: str) -> DataFrame:
+    """``docs`` without the later copies of ``spans``. Documents without one are not shuffled."""
     rows = docs.select(F.struct(*docs.columns).alias("row"))
-    known = F.coalesce(F.col("row")[id_column].cast("bigint"), F.lit(-(2**63)).cast("bigint"))
-    salt = F.coalesce(F.substring(F.md5(F.col("row")[text_column]), 1, 16), F.lit(""))
-    rows = rows.select(known.alias("id"), salt.alias("salt"), F.col("row")[text_column].alias("body"), "row")
-    joined = rows.drop("body").join(repeated(rows.drop("row")), list(KEYS), "left")
     body = F.col("row")[text_column]
+    known = F.coalesce(F.col("row")[id_column].cast("bigint"), F.lit(-(2**63)).cast("bigint"))
+    salt = F.coalesce(F.conv(F.substring(F.md5(body), 1, 15), 16, 10).cast("bigint"), F.lit(-1).cast("bigint"))
+    rows = rows.select(known.alias("id"), salt.alias("salt"), body.alias("body"), "row")
+    repeats = stage(repeated(rows.drop("row"), spans))
+    sieved = may_hold(rows.drop("body"), key_bits(repeats.select(*KEYS)))
+    joined = sieved.where("hit").join(repeats, list(KEYS), "left").select("row", "repeats")
+    joined = joined.unionByName(sieved.where("NOT hit").select("row", F.lit(None).cast(repeats.schema["repeats"].dataType).alias("repeats")))
 
     def verified(lines: Column) -> Column:
         same = F.filter(F.col("repeats"), lambda r: span_text(lines, r) == r["chunk"])
-        return F.struct(lines.alias("lines"), apart(F.transform(same, lambda r: F.struct(r["start"].alias("start"), r["n"].alias("n")))).alias("spans"))
+        return F.struct(lines.alias("lines"), merged(F.transform(same, lambda r: F.struct(r["start"].alias("start"), r["n"].alias("n")))).alias("spans"))
 
     checked = joined.select("row", F.when(F.col("repeats").isNotNull(), let(F.split(body, "\n"), verified)).alias("cut"))
     left = let(F.col("cut"), lambda c: F.array_join(without(c["lines"], c["spans"]), "\n"))
     removed = F.aggregate("cut.spans", F.lit(0), lambda total, s: total + s["n"])
     return checked.select(
         "row",
-        F.when(F.col("cut").isNotNull(), left).otherwise(F.col("row")[text_column]).alias("kept_text"),
-        F.coalesce(F.size(F.split(F.col("row")[text_column], "\n")), F.lit(0)).cast("bigint").alias("n_lines"),
+        F.when(F.col("cut").isNotNull(), left).otherwise(body).alias("kept_text"),
+        F.coalesce(F.size(F.split(body, "\n")), F.lit(0)).cast("bigint").alias("n_lines"),
         F.coalesce(removed, F.lit(0)).cast("bigint").alias("n_removed"),
     )

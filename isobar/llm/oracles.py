@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from isobar.llm.line_dedup import WINDOW
 from isobar.llm.mixing import BLOCK, MOST, SHARE, WEIGHTS
 from isobar.llm.quality_rules import DUP_LINE_PERCENT, FEW_WORDS, HOST_LIMIT, REPEATED_PERCENT, SYMBOL_PERCENT
 
@@ -65,22 +64,35 @@ def op5_mixing() -> str:
     return f"WITH RECURSIVE {', '.join(parts)} SELECT id AS doc_id, size, source_size, target, size * copies AS taken, copies FROM ({result}) r"
 
 
+def op6_lines(chunks: bool) -> str:
+    """Spans of lines that repeat: pairs of neighbouring lines with a word, lines of more than 50 words and, if asked for, chunks of two or more lines."""
+    rolled = "md5(string_agg(md5(line), '') OVER (PARTITION BY row_no ORDER BY i ROWS BETWEEN CURRENT ROW AND 1 FOLLOWING))"
+    with_chunks = f""",
+hashed AS (SELECT row_no, i, {rolled} AS h FROM lines),
+cuts AS (SELECT row_no, i FROM (SELECT *, lag(h) OVER (PARTITION BY row_no ORDER BY i) AS before, lead(h) OVER (PARTITION BY row_no ORDER BY i) AS after FROM hashed) x
+ WHERE i = 0 OR (h < before AND h <= after)),
+chunks AS (SELECT row_no, i AS start, COALESCE(lead(i) OVER (PARTITION BY row_no ORDER BY i), len(ls)) - i AS n FROM cuts JOIN docs USING (row_no))"""
+    more = "SELECT row_no, start, n FROM chunks WHERE n > 1 UNION ALL "
+    return f"""WITH docs AS (SELECT row_number() OVER () AS row_no, doc_id, text, string_split(text, chr(10)) AS ls,
+ dense_rank() OVER (ORDER BY doc_id NULLS FIRST, substr(md5(text), 1, 16) NULLS FIRST) AS place FROM documents),
+lines AS (SELECT row_no, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS i FROM docs),
+full_lines AS (SELECT *, lead(i) OVER (PARTITION BY row_no ORDER BY i) AS next_i FROM lines WHERE trim(line, {SPACES}) <> ''){with_chunks if chunks else ""},
+spans AS ({more if chunks else ""}SELECT row_no, i AS start, next_i - i + 1 AS n FROM full_lines WHERE next_i IS NOT NULL
+ UNION ALL SELECT row_no, i, 1 FROM full_lines WHERE len({words("line")}) > 50),
+bodies AS (SELECT row_no, place, start, n, array_to_string(ls[start + 1:start + n], chr(10)) AS body FROM spans JOIN docs USING (row_no)),
+firsts AS (SELECT body, MIN(struct_pack(place := place, start := start)) AS f FROM bodies WHERE trim(body, {SPACES}) <> '' GROUP BY body),
+gone AS (SELECT DISTINCT row_no, unnest(range(start, start + n)) AS i FROM bodies b JOIN firsts f ON f.body = b.body WHERE f.f.place <> b.place OR f.f.start + n <= b.start),
+kept AS (SELECT row_no, string_agg(line, chr(10) ORDER BY i) AS body, COUNT(*) AS n FROM lines l ANTI JOIN gone g ON g.row_no = l.row_no AND g.i = l.i GROUP BY row_no)
+SELECT doc_id, CAST(COALESCE(len(ls), 0) AS BIGINT) AS n_lines, CAST(COALESCE(len(ls) - COALESCE(k.n, 0), 0) AS BIGINT) AS n_removed,
+ CASE WHEN text IS NULL THEN NULL ELSE COALESCE(k.body, '') END AS text FROM docs d LEFT JOIN kept k ON k.row_no = d.row_no"""
+
+
 def op6_line_dedup() -> str:
-    rolled = "md5(line)"
-    if WINDOW > 1:
-        rolled = f"md5(string_agg(md5(line), '') OVER (PARTITION BY row_no ORDER BY i ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING))"
-    return f"""WITH docs AS (SELECT row_number() OVER () AS row_no, doc_id, text, substr(md5(text), 1, 16) AS salt FROM documents),
-lines AS (SELECT row_no, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM docs),
-hashed AS (SELECT *, {rolled} AS h FROM lines),
-marked AS (SELECT *, SUM(CASE WHEN i = 0 OR (h < before AND h <= after) THEN 1 ELSE 0 END) OVER (PARTITION BY row_no ORDER BY i) AS chunk_no
- FROM (SELECT *, lag(h) OVER (PARTITION BY row_no ORDER BY i) AS before, lead(h) OVER (PARTITION BY row_no ORDER BY i) AS after FROM hashed) x),
-chunks AS (SELECT row_no, chunk_no, MIN(i) AS start, COUNT(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk FROM marked GROUP BY row_no, chunk_no),
-ranked AS (SELECT c.*, n > 1 AND trim(chunk, {SPACES}) <> '' AND
- dense_rank() OVER (PARTITION BY chunk ORDER BY d.doc_id NULLS FIRST, d.salt, CASE WHEN n > 1 THEN start ELSE 0 END) > 1 AS repeated FROM chunks c JOIN docs d USING (row_no)),
-left_over AS (SELECT row_no, string_agg(chunk, chr(10) ORDER BY start) FILTER (NOT repeated) AS kept, SUM(n) AS n_lines,
- COALESCE(SUM(n) FILTER (repeated), 0) AS n_removed FROM ranked GROUP BY row_no)
-SELECT doc_id, CAST(COALESCE(n_lines, 0) AS BIGINT) AS n_lines, CAST(COALESCE(n_removed, 0) AS BIGINT) AS n_removed,
- CASE WHEN text IS NULL THEN NULL ELSE COALESCE(kept, '') END AS text FROM docs LEFT JOIN left_over USING (row_no)"""
+    return op6_lines(chunks=True)
+
+
+def op6_line_runs() -> str:
+    return op6_lines(chunks=False)
 
 
 def op7_quality_rules() -> str:
@@ -164,4 +176,4 @@ FROM leaves l JOIN ended e ON e.of_tree = l.tree AND e.of_pos = l.pos JOIN subro
 
 
 def statements() -> dict[str, str]:
-    return {f.__name__: f() for f in (op5_mixing, op6_line_dedup, op7_quality_rules, op11_collocations, op12_merkle)}
+    return {f.__name__: f() for f in (op5_mixing, op6_line_dedup, op6_line_runs, op7_quality_rules, op11_collocations, op12_merkle)}

@@ -48,22 +48,26 @@ def chunks(lines, window=1):
     return list(zip(starts, [*starts[1:], len(h)], strict=True))
 
 
+def line_runs(lines, long=50):
+    """(first line, number of lines) of the smallest runs that count: two neighbouring lines with a word, or one with more than ``long``."""
+    full = [i for i, x in enumerate(lines) if words(x)]
+    return [(i, j - i + 1) for i, j in zip(full, full[1:], strict=False)] + [(i, 1) for i in full if len(words(lines[i])) > long]
+
+
 def dedup_lines(docs, window=1):
     """docs: (id, text). The text that stays and the number of lines removed, per document in the given order."""
-    seen, out = set(), {}
+    first, out = {}, {}
     for id_, text in sorted(set(docs), key=lambda d: (d[0], hashlib.md5((d[1] or "").encode()).hexdigest()[:16])):
         if text is None:
             out[id_, text] = (None, 0)
             continue
-        lines, kept, removed = text.split("\n"), [], 0
-        for a, b in chunks(lines, window):
-            chunk = "\n".join(lines[a:b])
-            if b - a > 1 and chunk.strip(" \t\n\x0b\f\r") and chunk in seen:
-                removed += b - a
-                continue
-            seen.add(chunk)
-            kept += lines[a:b]
-        out[id_, text] = ("\n".join(kept), removed)
+        lines, gone = text.split("\n"), set()
+        spans = [(a, b - a) for a, b in chunks(lines, window) if b - a > 1 and words("\n".join(lines[a:b]))] + line_runs(lines)
+        for start, n in sorted(spans):
+            before, end = first.setdefault("\n".join(lines[start : start + n]), ((id_, text), start + n))
+            if before != (id_, text) or end <= start:
+                gone.update(range(start, start + n))
+        out[id_, text] = ("\n".join(x for i, x in enumerate(lines) if i not in gone), len(gone))
     return [out[d] for d in docs]
 
 
