@@ -504,6 +504,12 @@ def statements() -> dict[str, str]:
         ),
         "rolling_7d": over("daily_regional", _rolling(7)),
         "rolling_30d": over("daily_regional", _rolling(30)),
+        "rolling_30d_per_cell": over(
+            "daily",
+            f"SELECT latitude, longitude, date AS day, {decimals('temperature_2m_mean', 2)} AS tmp_mean,"
+            f" {decimals('AVG(temperature_2m_mean) OVER (PARTITION BY latitude, longitude ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)', 2)}"
+            " AS tmp_avg_rolling_30d FROM daily",
+        ),
         "hottest_days_per_region": over(
             "daily_regional",
             f"SELECT region, day, {decimals('peak', 2)} AS tmp_max, rank FROM (SELECT *, ROW_NUMBER() OVER"

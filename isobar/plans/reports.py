@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from isobar.operators import analytics, audit, profile
+from isobar.operators import analytics, audit, profile, rolling
 
 Views = dict[str, DataFrame]
 
+CELL = ("latitude", "longitude")
+
 REPORTS: dict[str, Callable[[Views], DataFrame]] = {
     "describe_daily_global": lambda v: audit.describe(v["daily_global"]),
     "describe_daily_regional": lambda v: audit.describe(v["daily_regional"]),
@@ -24,6 +26,7 @@ REPORTS: dict[str, Callable[[Views], DataFrame]] = {
     "compare_regions_over_time": lambda v: analytics.compare_regions(v["daily_regional"]),
     "rolling_7d": lambda v: analytics.rolling_mean(v["daily_regional"], 7),
     "rolling_30d": lambda v: analytics.rolling_mean(v["daily_regional"], 30),
+    "rolling_30d_per_cell": lambda v: rolling.rolling_mean_by_key(v["daily_global"], CELL, 30, "temperature_2m_mean", "tmp_mean", "tmp_avg_rolling_30d"),
     "diurnal_range": lambda v: analytics.diurnal_range(v["daily_global"]),
     "not_null_tests": lambda v: audit.not_null_tests(v),
 }
@@ -40,6 +43,7 @@ VALUED: dict[str, Callable[..., DataFrame]] = {
     "compare_regions_over_time": lambda v, value: analytics.compare_regions(v["daily_regional"], value, f"{value}_avg"),
     "rolling_7d": lambda v, value: analytics.rolling_mean(v["daily_regional"], 7, value, value, f"{value}_rolling_7d"),
     "rolling_30d": lambda v, value: analytics.rolling_mean(v["daily_regional"], 30, value, value, f"{value}_rolling_30d"),
+    "rolling_30d_per_cell": lambda v, value: rolling.rolling_mean_by_key(v["daily_global"], CELL, 30, value, value, f"{value}_rolling_30d"),
 }
 #: Limits that a report takes instead of its own.
 LIMITED: dict[str, tuple[str, ...]] = {

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from isobar.functions import dates, text, weather
 from isobar.functions.exact import exact_sum
 from isobar.functions.numeric import round_half_up
-from isobar.operators import analytics, audit, gold, lineage, profile, quality, silver as to
+from isobar.operators import analytics, audit, gold, lineage, profile, quality, rolling, silver as to
 from isobar.plans.elt import Elt
 from isobar.plans.marts import build_marts
 from isobar.session import configure, scratch_root, stage
@@ -23,6 +23,8 @@ SLICED_DAY = date(2024, 1, 10)
 DAYS_AHEAD = 6
 EXACT_VALUES = ("temperature_2m", "wind_speed_10m")
 LIST_BLOCK = 4
+#: Days of a block of the rolling means per cell, fewer than the rows of a frame, so that frames reach over several blocks.
+ROLLING_BLOCK = 14
 TABLES = (("bronze", "bronze"), ("silver", "silver"), ("gold", "daily_global"), ("gold", "daily_regional"))
 
 _QUERIES: dict[str, Query] = {}
@@ -337,6 +339,14 @@ def rolling_30d(spark, sf_dir):
     return analytics.rolling_mean(fixtures.daily_regional(spark, sf_dir), 30)
 
 
+@query
+def rolling_30d_per_cell(spark, sf_dir):
+    cells = ("latitude", "longitude")
+    return rolling.rolling_mean_by_key(
+        fixtures.daily(spark, sf_dir), cells, 30, "temperature_2m_mean", "tmp_mean", "tmp_avg_rolling_30d", block_days=ROLLING_BLOCK
+    )
+
+
 @query
 def hottest_days_per_region(spark, sf_dir):
     return analytics.hottest_days(fixtures.daily_regional(spark, sf_dir))
