@@ -32,6 +32,7 @@ COLUMNS = 16
 #: Width of the test, in deviations of a partial distance of a rotated vector.
 WIDTH = 2.1
 ROUNDS = 12
+ROW = ("row", "vec_id", "original", "rotated")
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -94,7 +95,7 @@ def _probe(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, sizes: np.n
             chosen = (np.arange(len(centroids)) < probes) | (held < least)
             of, at = np.nonzero(chosen & (sizes[order] > 0))
             lists = pa.array(order[of, at].astype(np.int32))
-            yield pa.RecordBatch.from_arrays([*[c.take(pa.array(of)) for c in (part.column("vec_id"), part.column("original"), part.column("rotated"))], lists], ["vec_id", "original", "rotated", "list"])
+            yield pa.RecordBatch.from_arrays([*[part.column(c).take(pa.array(of)) for c in ROW], lists], [*ROW, "list"])
 
 
 class _Chunk:
@@ -102,10 +103,11 @@ class _Chunk:
 
     def __init__(self, k: int, width: float):
         self.k, self.width = k, width
-        self.ids, self.original, self.rotated = np.zeros(0, np.int64), None, None
+        self.rows, self.ids, self.original, self.rotated = np.zeros(0, np.int64), np.zeros(0, np.int64), None, None
         self.best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))  # number of the query, candidate, score
 
-    def ask(self, ids: np.ndarray, original: np.ndarray, rotated: np.ndarray) -> None:
+    def ask(self, rows: np.ndarray, ids: np.ndarray, original: np.ndarray, rotated: np.ndarray) -> None:
+        self.rows = np.concatenate([self.rows, rows])
         self.ids = np.concatenate([self.ids, ids])
         self.original = original if self.original is None else np.concatenate([self.original, original])
         self.rotated = rotated if self.rotated is None else np.concatenate([self.rotated, rotated])
@@ -130,22 +132,22 @@ class _Chunk:
         limit[full] = scores[(np.cumsum(n) - 1)[full]] ** 2
         return limit
 
-    def scan(self, ids: np.ndarray, originals: np.ndarray, rotated: np.ndarray) -> None:
+    def scan(self, numbers: np.ndarray, ids: np.ndarray, originals: np.ndarray, rotated: np.ndarray) -> None:
         """Compare some candidates: the first ones in full, which gives limits, the others by blocks of columns."""
         begin = 4 * self.k if not len(self.best[0]) else 0
         for row, rows in ((0, begin), *((r, SLICE) for r in range(begin, len(ids), SLICE))):
             part = slice(row, row + rows)
             if rows and len(ids[part]) and len(self.ids):
-                self._compare(ids[part], originals[part], rotated[part])
+                self._compare(numbers[part], ids[part], originals[part], rotated[part])
 
-    def _compare(self, ids: np.ndarray, originals: np.ndarray, rotated: np.ndarray) -> None:
+    def _compare(self, numbers: np.ndarray, ids: np.ndarray, originals: np.ndarray, rotated: np.ndarray) -> None:
         dims, limit = rotated.shape[1], self.limits()
         slack = 1e-5 * ((self.rotated**2).sum(1)[:, None] + (rotated**2).sum(1))  # rounding of 4-byte floats
         q, c = self.rotated[:, :COLUMNS], rotated[:, :COLUMNS]
         first = (q**2).sum(1)[:, None] + (c**2).sum(1) - 2 * q @ c.T
         seen = min(COLUMNS, dims)
         bound = limit * (1 + self.width / np.sqrt(seen)) ** 2
-        of, at = np.nonzero((first * (dims / seen) <= bound[:, None] + slack * (dims / seen)) & (self.ids[:, None] != ids))
+        of, at = np.nonzero((first * (dims / seen) <= bound[:, None] + slack * (dims / seen)) & (self.rows[:, None] != numbers))
         sums = first[of, at]
         while seen < dims and len(of):
             columns = slice(seen, seen + COLUMNS)
@@ -163,14 +165,14 @@ def _scan(batches: Iterator[pa.RecordBatch], dims: int, k: int, width: float) ->
     def results(chunk: _Chunk) -> Iterator[pa.RecordBatch]:
         of, ids, scores = chunk.best
         if len(of):
-            yield pa.RecordBatch.from_arrays([pa.array(chunk.ids[of]), pa.array(ids), pa.array(scores)], ["query_id", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (chunk.rows[of], chunk.ids[of], ids, scores)], ["query", "query_id", "vec_id", "score"])
 
     group, chunk = None, _Chunk(k, width)
     for batch in batches:
         if not batch.num_rows:
             continue
         keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("list", "part", "chunk")], axis=1)
-        role, ids = batch.column("role").to_numpy(zero_copy_only=False), batch.column("vec_id").to_numpy(zero_copy_only=False)
+        role, numbers, ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("role", "row", "vec_id"))
         original = np.frombuffer(b"".join(batch.column("original").to_pylist()), np.float64).reshape(-1, dims)
         rotated = np.frombuffer(b"".join(batch.column("rotated").to_pylist()), np.float32).reshape(-1, dims)
         cuts = (np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist()
@@ -179,8 +181,8 @@ def _scan(batches: Iterator[pa.RecordBatch], dims: int, k: int, width: float) ->
                 yield from results(chunk)
                 group, chunk = tuple(keys[a]), _Chunk(k, width)
             asked = a + int((role[a:b] == 0).sum())
-            chunk.ask(ids[a:asked], original[a:asked], rotated[a:asked])
-            chunk.scan(ids[asked:b], original[asked:b], rotated[asked:b])
+            chunk.ask(numbers[a:asked], ids[a:asked], original[a:asked], rotated[a:asked])
+            chunk.scan(numbers[asked:b], ids[asked:b], original[asked:b], rotated[asked:b])
     yield from results(chunk)
 
 
@@ -219,7 +221,8 @@ class Index:
         wanted = lists or int(min(max(round(np.sqrt(self.n)), 1), MOST_LISTS))
         self.centroids = fit_centroids(_matrix(chosen, self.dims), wanted)
         rotation = np.linalg.qr(np.random.default_rng(11).standard_normal((self.dims, self.dims)))[0]
-        self.rows = stage(rows.mapInArrow(partial(_index, centroids=self.centroids, rotation=rotation), INDEXED))
+        indexed = rows.mapInArrow(partial(_index, centroids=self.centroids, rotation=rotation), INDEXED)
+        self.rows = stage(indexed.withColumn("row", F.monotonically_increasing_id()))  # written once: the numbers hold from here on
         self.sizes = np.zeros(len(self.centroids), np.int64)
         for r in self.rows.groupBy("list").count().collect():
             self.sizes[r["list"]] = r["count"]
@@ -238,7 +241,7 @@ class Index:
         return int(np.quantile(place, recall, method="higher")) + 1 if len(place) else 1
 
     def search(self, queries: DataFrame, k: int = K, recall: float = RECALL, width: float = WIDTH) -> DataFrame:
-        """(query_id, rank, vec_id, score): the ``k`` nearest found of each indexed vector whose id is in ``queries`` (vec_id), itself
+        """(query_id, rank, vec_id, score): the ``k`` nearest found of each indexed row whose id is in ``queries`` (vec_id), the row itself
         left out; the score is the Euclidean distance of the original vectors.
 
         A list is scanned in parts of about ``PART`` candidates by chunks of about ``QUERIES`` queries, however large it is: the rows
@@ -248,7 +251,7 @@ class Index:
             return queries.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
         probes = self.probes_for(recall, k)
         asked = self.rows.join(queries.select("vec_id").distinct(), "vec_id", "left_semi").drop("list")
-        probed = stage(asked.mapInArrow(partial(_probe, centroids=self.centroids, sizes=self.sizes, probes=probes, least=4 * k), "vec_id bigint, original binary, rotated binary, list int"))
+        probed = stage(asked.mapInArrow(partial(_probe, centroids=self.centroids, sizes=self.sizes, probes=probes, least=4 * k), "row bigint, vec_id bigint, original binary, rotated binary, list int"))
         known = [(i, int(n)) for i, n in enumerate(self.sizes)]
         lists = queries.sparkSession.createDataFrame(known, "list int, size bigint")
         counted = probed.groupBy("list").agg(F.count(F.lit(1)).alias("asked"))
@@ -257,21 +260,22 @@ class Index:
         def every(n: str):
             return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-        chunk, part = F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int"), F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
-        columns = ("list", "part", "chunk", "role", "vec_id", "original", "rotated")
+        chunk, part = F.pmod(F.xxhash64("row"), F.col("chunks")).cast("int"), F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")
+        columns = ("list", "part", "chunk", "role", *ROW)
         one = probed.join(plan, "list").withColumn("chunk", chunk).withColumn("part", every("parts")).withColumn("role", F.lit(0))
         two = self.rows.join(plan, "list").withColumn("part", part).withColumn("chunk", every("chunks")).withColumn("role", F.lit(1))
         groups = one.select(*columns).unionByName(two.select(*columns)).repartition("list", "part", "chunk").sortWithinPartitions("list", "part", "chunk", "role")
-        found = groups.mapInArrow(partial(_scan, dims=self.dims, k=k, width=width), "query_id bigint, vec_id bigint, score double").distinct()
-        rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+        found = groups.mapInArrow(partial(_scan, dims=self.dims, k=k, width=width), "query bigint, query_id bigint, vec_id bigint, score double")
+        rank = F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))
         return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def neighbours(vectors: DataFrame, every: int, k: int = K, id_column: str = "vec_id", vector_column: str = "embedding", **limits) -> DataFrame:
-    """The ``k`` nearest neighbours of all vectors whose id is divisible by ``every``, among all others.
+    """The ``k`` nearest neighbours of each row whose id is divisible by ``every``, among all other rows.
 
     Vectors that are NULL, zero, or hold a NULL or non-finite number take no part, nor do rows without an id and vectors of another
-    than the commonest length. Rows that repeat an id and vector count once, rows that repeat an id only are candidates of their own. Equal
+    than the commonest length, to which no distance is defined. Rows that repeat an id, with the same vector or another, are queries and
+    candidates of their own: such a query has ranks of its own under the shared id. Equal
     distances go to the smaller id. With fewer than ``k`` candidates all are returned; an empty table gives no rows. Other columns are not read.
     """
     asked = vectors.select(F.col(id_column).cast("bigint").alias("vec_id")).where(F.col("vec_id") % every == 0)

@@ -54,6 +54,15 @@ def test_ties_go_to_the_smaller_id(spark):
     assert got[100] == [(0.0, j) for j in range(10)] and got[0] == [(0.0, j) for j in range(1, 11)]
 
 
+def test_repeated_rows_are_candidates_of_their_own(spark):
+    """Equal rows, rows that share an id only, and a query whose row repeats: each query row has its own ranks and leaves out itself alone."""
+    rows = [(i, [float(i), 1.0, float(i % 3)]) for i in range(1, 40)] + [(7, [7.0, 1.0, 1.0])] * 5 + [(8, [6.5, 1.0, 1.0])] * 2 + [(20, [20.0, 1.0, 2.0])] * 3 + [(0, [7.0, 1.0, 1.0])]
+    at = [(i, np.array(v)) for i, v in rows]
+    want = [(q, n + 1, j, s) for a, (q, v) in enumerate(at) if q % 10 == 0 for n, (s, j) in enumerate(sorted((float(np.sqrt(((w - v) ** 2).sum())), j) for b, (j, w) in enumerate(at) if b != a)[:10])]
+    got = [(r.query_id, r.rank, r.vec_id, r.score) for r in neighbours(frame(spark, rows), 10).collect()]
+    assert sorted(got) == sorted(want)
+
+
 @pytest.mark.parametrize("clusters", [0, 20])
 def test_recall(spark, clusters):
     rng = np.random.default_rng(1)
