@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from isobar.llm.mixing import BLOCK, MOST, SHARE, WEIGHTS
-from isobar.llm.quality_rules import DUP_LINE_PERCENT, FEW_WORDS, HOST_LIMIT, REPEATED_PERCENT, SYMBOL_PERCENT
-
 SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 GAP = r"'[\x20\x09-\x0D]+'"
-#: Levels of the mixing tree that the SQL spells out; enough for BLOCK ** LEVELS documents of a source.
+#: Levels of the mixing tree that the SQL spells out; enough for 256 ** LEVELS documents of a source.
 LEVELS = 2
 
 
@@ -16,7 +13,7 @@ def words(text: str) -> str:
 
 
 def op5_mixing() -> str:
-    cases = " ".join(f"WHEN {i} THEN {w}" for i, w in enumerate(WEIGHTS))
+    # sources weigh 5, 2, 1, share 150 % and stop at twice their size; blocks are of 256
 
     def draw(tag: str, bits: str = "CAST(id AS VARCHAR), salt") -> str:
         return f"CAST('0x' || substr(md5(concat_ws(':', 'mix', {tag}, {bits})), 1, 10) AS BIGINT)"
@@ -24,9 +21,9 @@ def op5_mixing() -> str:
     parts = [
         f"""docs AS (SELECT CAST(doc_id AS BIGINT) AS id, source, len({words("text")}) AS size, substr(md5(text), 1, 16) AS salt FROM documents)""",
         "sizes AS (SELECT source, CAST(SUM(size) AS BIGINT) AS source_size, COUNT(*) FILTER (size > 0) AS units FROM docs GROUP BY source)",
-        f"""weighed AS (SELECT *, source_size * {MOST} AS bound, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} {cases} END AS weight FROM sizes)""",
-        f"""leveled AS (SELECT *, SUM(source_size) OVER () * CAST({SHARE} AS DOUBLE) AS total,
-  bound / weight <= (SUM(source_size) OVER () * CAST({SHARE} AS DOUBLE) - COALESCE(SUM(bound) OVER (ORDER BY bound / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+        f"""weighed AS (SELECT *, source_size * 2 AS bound, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM sizes)""",
+        f"""leveled AS (SELECT *, SUM(source_size) OVER () * CAST(1.5 AS DOUBLE) AS total,
+  bound / weight <= (SUM(source_size) OVER () * CAST(1.5 AS DOUBLE) - COALESCE(SUM(bound) OVER (ORDER BY bound / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
    / SUM(weight) OVER (ORDER BY bound / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS is_full FROM weighed)""",
         """targets AS (SELECT source, source_size, units, CASE WHEN is_full THEN CAST(bound AS DOUBLE)
   ELSE (total - SUM(CASE WHEN is_full THEN bound ELSE 0 END) OVER ()) / SUM(CASE WHEN is_full THEN 0 ELSE weight END) OVER () * weight END AS target FROM leveled)""",
@@ -38,7 +35,7 @@ def op5_mixing() -> str:
     for level in range(LEVELS):
         parts += [
             f"""placed_{level} AS (SELECT *, {draw(f"'block', '{level}'")} % blocks AS block, {draw(f"'{level}'")} / CAST({2**40} AS DOUBLE) AS draw
-  FROM (SELECT *, greatest(CAST(ceil(units / {BLOCK}) AS BIGINT), 1) AS blocks FROM units_{level}) x)""",
+  FROM (SELECT *, greatest(CAST(ceil(units / 256) AS BIGINT), 1) AS blocks FROM units_{level}) x)""",
             f"""run_{level} AS (SELECT *, row_number() OVER (PARTITION BY source, block ORDER BY size DESC, id NULLS FIRST, salt NULLS FIRST) AS k FROM placed_{level})""",
             f"""walk_{level} AS (
   SELECT source, block, k, k AS hk, size AS hs, least(greatest(p, 0), 1) AS hp, CAST(NULL AS BIGINT) AS done, CAST(NULL AS INTEGER) AS pick FROM run_{level} WHERE k = 1
@@ -107,16 +104,16 @@ measured AS (SELECT d.row_no, doc_id, host, len(ws) AS n_words, length(array_to_
  length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')) AS n_symbols,
  len(list_filter(string_split(body, chr(10)), lambda x: trim(x, {SPACES}) <> '')) - len(list_distinct(list_filter(string_split(body, chr(10)), lambda x: trim(x, {SPACES}) <> ''))) AS n_dup_lines,
  len(string_split(body, chr(10))) AS n_lines, COALESCE(r.n, 0) AS n_repeat_words FROM docs d LEFT JOIN repeats r USING (row_no)),
-judged AS (SELECT *, base_failed OR 100 * n_symbols > {SYMBOL_PERCENT} * n_words OR 100 * n_dup_lines > {DUP_LINE_PERCENT} * n_lines AS failed
- FROM (SELECT *, n_words < {FEW_WORDS} OR 100 * n_repeat_words > {REPEATED_PERCENT} * n_words AS base_failed FROM measured) x),
+judged AS (SELECT *, base_failed OR 100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 30 * n_lines AS failed
+ FROM (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured) x),
 hosts AS (SELECT host, COUNT(*) AS n, COUNT(*) FILTER (failed) AS f FROM judged GROUP BY host),
 totals AS (SELECT SUM(n) AS docs, SUM(f) / SUM(n) AS mean, SUM(CAST(n AS DOUBLE) * n) AS squares, SUM(CAST(f AS DOUBLE) * f / n) AS spread, COUNT(*) AS hosts FROM hosts),
 prior AS (SELECT mean, CASE WHEN (docs - squares / docs) * mean * (1 - mean) > 0
  THEN least(greatest((spread - docs * mean * mean - (hosts - 1) * mean * (1 - mean)) / ((docs - squares / docs) * mean * (1 - mean)), 0), 1) ELSE 0 END AS alike FROM totals),
-rated AS (SELECT host, CASE WHEN alike > 0 THEN n * alike / (n * alike + 1 - alike) * f / n + (1 - n * alike / (n * alike + 1 - alike)) * mean ELSE mean END > {HOST_LIMIT} AS host_refused
- FROM hosts, prior)
+rated AS (SELECT *, rate > 0.5 AS host_refused FROM (SELECT host, CASE WHEN alike > 0 THEN n * alike / (n * alike + 1 - alike) * f / n + (1 - n * alike / (n * alike + 1 - alike)) * mean ELSE mean END AS rate
+ FROM hosts, prior) x)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
- CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND NOT host_refused AS kept, host_refused
+ CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND NOT host_refused AS kept, host_refused, CAST(floor(rate * 1000000 + 0.5) AS BIGINT) AS host_rate_ppm
 FROM judged j JOIN rated r ON j.host IS NOT DISTINCT FROM r.host"""
 
 

@@ -73,7 +73,7 @@ def op6_line_runs(spark, sf_dir):
 def op7_quality_rules(spark, sf_dir):
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     base = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-    return judged.select(*base, "host_refused")
+    return judged.select(*base, "host_refused", F.floor(F.col("host_rate") * 1_000_000 + 0.5).cast("bigint").alias("host_rate_ppm"))
 
 
 @query
