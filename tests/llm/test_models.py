@@ -12,7 +12,7 @@ import pytest
 
 from isobar.llm import charmodel, importance, language, urls
 from isobar.llm.hashing import Texts, pieces, runs, sums
-from isobar.llm.queries import URL_RULES
+from isobar.llm.queries import URL_RULES, op3_url_filter
 from tests.llm import brute, frames
 from tests.llm.tables import documents, folder
 
@@ -233,6 +233,24 @@ def test_rules_for_urls(spark):
     assert urls.filter_urls(pages.where("false"), URL_RULES).collect() == []
 
 
+CONTRACT = [
+    ("http://a.org/x", "org/", "allow"),
+    ("http://example.org/en/2", "org/", "allow"),
+    ("http://a.example.org/es/2", "example.org/es/", "block"),
+    ("http://Example.org/en/1", "example.org/en/1", "block"),
+    ("http://a.example.org/en/15?q", "example.org/en/1", "block"),
+    ("http://a.com/fr/1", "com/fr/", "allow"),
+    ("http://a.com/de/1", "com/de/", "block"),
+]
+
+
+def test_each_rule_has_the_verdict_of_the_contract(spark, tmp_path):
+    rows = [(i, url) for i, (url, _, _) in enumerate(CONTRACT)]
+    spark.createDataFrame(rows, "page_id bigint, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: (r.rule, r.verdict) for r in op3_url_filter(spark, str(tmp_path)).collect()}
+    assert got == {i: (rule, verdict) for i, (_, rule, verdict) in enumerate(CONTRACT)}
+
+
 def test_url_models_learn_from_rules(spark):
     rows = [(i, f"http://good{i % 7}.org/wiki/article-{i}") for i in range(300)] + [(1000 + i, f"http://casino{i % 7}.com/de/win-big-{i}") for i in range(300)]
     rows += [(5000 + i, f"http://good{i}.net/wiki/article-{i}") for i in range(20)] + [(6000 + i, f"http://casino{i}.net/de/win-big-{i}") for i in range(20)]
