@@ -341,10 +341,9 @@ def rolling_30d(spark, sf_dir):
 
 @query
 def rolling_30d_per_cell(spark, sf_dir):
-    cells = ("latitude", "longitude")
-    return rolling.rolling_mean_by_key(
-        fixtures.daily(spark, sf_dir), cells, 30, "temperature_2m_mean", "tmp_mean", "tmp_avg_rolling_30d", block_days=ROLLING_BLOCK
-    )
+    cells, value = ("latitude", "longitude"), "temperature_2m_mean"
+    rows = stage(fixtures.daily(spark, sf_dir).select("date", *cells, value))
+    return rolling.rolling_mean_by_key(rows, cells, 30, value, "tmp_mean", "tmp_avg_rolling_30d", block_days=ROLLING_BLOCK)
 
 
 @query

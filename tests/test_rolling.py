@@ -47,6 +47,33 @@ def test_no_group_holds_a_long_key(spark):
     assert sum(g["count"] for g in groups) == 4000 + 29 * (len(groups) - 1)
 
 
+def test_sparse_days_are_not_copied_for_every_frame(spark):
+    """A row in every second block, and some dense blocks between: few rows are copied, and frames reach over several blocks."""
+    draw = random.Random(7)
+    sparse = [(FIRST + timedelta(days=20 * d), 1.0, 1.0, draw.uniform(-9, 9)) for d in range(1500)]
+    dense = [(FIRST + timedelta(days=20 * d + h), 2.0, 1.0, draw.uniform(-9, 9)) for d in range(900) for h in range(10 if d % 30 == 0 else 1)]
+    short = [(FIRST + timedelta(days=20 * d), 3.0, None, draw.uniform(-9, 9)) for d in range(100)]
+    df = spark.createDataFrame(sparse + dense + short, ROWS).repartition(5)
+    met = rolling.with_halos(df, CELL, "date", "v", 8, 10)
+    groups = met.groupBy(*CELL, "block").count().collect()
+    assert max(g["count"] for g in groups) <= (rolling.FRAMES + 2) * 8
+    halos = {r["latitude"]: r["count"] for r in met.where("halo").groupBy("latitude").count().collect()}
+    assert halos[1.0] <= 7 * (len(sparse) // (rolling.FRAMES * 8) + 1) and halos[2.0] <= 7 * 70 and 3.0 not in halos
+    assert ordered(blocks(df, 8, 10)) == ordered(whole(df, 8))
+
+
+@pytest.mark.parametrize("frames", [0, 1, 2])
+def test_blocks_of_few_rows_equal_one_window_per_key(spark, monkeypatch, frames):
+    """Keys cut into many blocks, some with fewer rows than a frame, with NULL and repeated days."""
+    monkeypatch.setattr(rolling, "FRAMES", frames or 0.2)
+    draw = random.Random(frames)
+    rows = [(FIRST + timedelta(days=draw.randrange(3000) // 7 * draw.choice([1, 7])), draw.choice([1.0, None]), draw.choice([2.0, 3.0]), draw.uniform(-9, 9)) for _ in range(700)]
+    rows += [(None, None, 2.0, float(i)) for i in range(9)] + [(FIRST + timedelta(days=40), 1.0, 3.0, float(i)) for i in range(25)]
+    df = spark.createDataFrame(rows, ROWS).repartition(5)
+    for width in (2, 5, 20):
+        assert ordered(blocks(df, width, 4)) == ordered(whole(df, width))
+
+
 def test_extra_columns_and_empty_tables(spark):
     df = spark.createDataFrame([], ROWS + ", block int, halo int, n int")
     assert blocks(df, 7, 30).collect() == [] and blocks(df, 7, 30).columns == [*CELL, "day", "v", "m"]
