@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at a time; the arrays of one piece take some forty times as much. A longer text is a piece of its own.
-PIECE = 1 << 21
+PIECE = 1 << 19
 
 _GAP = np.zeros(256, bool)
 _GAP[[0x20, *range(0x09, 0x0E)]] = True

@@ -6,10 +6,13 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from isobar.llm import jaccard
 from isobar.llm.components import connected
+from isobar.llm.hashing import pieces
+from isobar.session import stage
 from tests.llm import brute, frames
 from tests.llm.tables import documents
 
@@ -95,6 +98,37 @@ def test_sketches_differ_in_no_more_bits_than_sets():
     assert jaccard.near_in_sketch(np.full(4, 300), same, np.array([True, False, False, False]), np.array([0, 0, 1, 2]), 80).tolist() == [True, False, True, True]
 
 
+def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    """The session's own limit holds again afterwards, and a lower one is kept."""
+    name, given = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    monkeypatch.setattr(jaccard, "stage", lambda df: given.append(int(spark.conf.get(name))) or stage(df))
+    docs = spark.createDataFrame([(i, f"a b c d e f g {i % 3}") for i in range(9)], "doc_id bigint, text string")
+    before = spark.conf.get(name)
+    try:
+        for limit, used in ((10_000, jaccard.BATCH), (7, 7), (0, jaccard.BATCH)):
+            spark.conf.set(name, str(limit))
+            given.clear()
+            assert len(jaccard.near_duplicates(docs).collect()) == 9
+            assert given[0] == used and len(given) > 4 and spark.conf.get(name) == str(limit)
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_common_shingles_of_a_stretch(monkeypatch):
+    """Those that enough documents have, with their counts, of each stretch by itself."""
+    monkeypatch.setattr(jaccard, "STRETCH", 50)
+    texts = [f"one two three four five six {'seven' if i % 3 else 'eight'} nine {'ten' if i % 20 else i} x y z {i % 12} q" for i in range(103)]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": pa.array(range(a, b)), "text": texts[a:b]}) for a, b in ((0, 50), (50, 100), (100, 103))]
+    sets = [list(jaccard.shingle_sets(t))[0] for text in texts for _, t in pieces(pa.array([text]))]
+    plain = []
+    for a, b in ((0, 50), (50, 100), (100, 103)):
+        counts = Counter(int(x) for s in sets[a:b] for x in s if x < 1 << 62)
+        plain += sorted((x, n) for x, n in counts.items() if n >= jaccard.LEAST_COMMON)
+    rows = [r for b in jaccard._survey(iter(batches)) for r in b.to_pylist()]
+    assert plain and [(r["d1"], r["n"]) for r in rows if r["kind"] == 1] == plain
+    assert [r["n"] for r in rows if r["kind"] == 0] == [len(s) for s in sets]
+
+
 def test_components(spark):
     random.seed(5)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 200), (300, 301), (301, 300)]
