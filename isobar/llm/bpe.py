@@ -18,7 +18,7 @@ from functools import cache, partial
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 from tokenizers import Regex
 from tokenizers.normalizers import Lowercase
 from tokenizers.pre_tokenizers import Split
@@ -30,8 +30,8 @@ from isobar.session import stage
 LEXICON = 1 << 17
 #: Different words a worker counts before it passes the counts on, and looks up before it forgets them.
 HELD = 200_000
-#: Characters of text handled at a time.
-PIECE = 1 << 21
+#: Characters of text handled at a time. Their words are Python strings, of some ten times the memory.
+PIECE = 1 << 18
 STEPS = 16
 
 
@@ -85,6 +85,13 @@ def prepared(text: str) -> str:
     return json.dumps(json.loads(text) | {"tables": tables})
 
 
+def _tokens(text: str) -> list[str]:
+    """The tokens of a tokenizer file in the order of their ids, empty where an id has none."""
+    spec = json.loads(text)
+    tokens = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+    return [tokens.get(i, "") for i in range(max(tokens) + 1)]
+
+
 class Vocabulary:
     """A word-end vocabulary read from a prepared tokenizer file."""
 
@@ -97,8 +104,6 @@ class Vocabulary:
         self.ranks = {pair: rank for rank, pair in enumerate(pairs)}
         self.merged = [a + b for a, b in pairs]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
-        self.tokens = [tokens.get(i, "") for i in range(max(tokens) + 1)]
         self.chars = _byte_characters()
         self.pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.classes, self.lower = spec["tables"]["classes"], spec["tables"]["lower"]
@@ -240,11 +245,12 @@ class _Coder:
         return ids, at[np.concatenate([[0], np.cumsum(count)])]
 
 
-def _encode(batches: Iterator[pa.RecordBatch], spec: str, lexicon: bytes) -> Iterator[pa.RecordBatch]:
-    coder, keep = _Coder(spec, lexicon), None
+def _encode(batches: Iterator[pa.RecordBatch], spec: str, lexicon: bytes, field: int | None) -> Iterator[pa.RecordBatch]:
+    """``field`` is the place of the text in the rows; without one it comes beside them."""
+    coder = _Coder(spec, lexicon)
     for batch in batches:
-        keep = keep or [i for i, name in enumerate(batch.schema.names) if name != "bpe_text"]
-        texts, row = batch.column("bpe_text"), 0
+        rows, row = batch.column("row"), 0
+        texts = batch.column("bpe_text") if field is None else rows.field(field)
         while row < batch.num_rows:
             part, size = [], 0
             while row + len(part) < batch.num_rows and (not part or size < PIECE):
@@ -252,35 +258,17 @@ def _encode(batches: Iterator[pa.RecordBatch], spec: str, lexicon: bytes) -> Ite
                 size += len(part[-1])
             ids, at = coder.encode(part)
             lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))
-            here = batch.slice(row, len(part))
-            yield pa.RecordBatch.from_arrays([*[here.column(i) for i in keep], lists], [*[batch.schema.names[i] for i in keep], "bpe_ids"])
+            yield pa.RecordBatch.from_arrays([rows.slice(row, len(part)), lists], ["row", "bpe_ids"])
             row += len(part)
 
 
-@cache
-def _token_bytes(spec: str) -> tuple[np.ndarray, np.ndarray]:
-    return runs_of([(t + " ").encode() for t in _vocabulary(spec).tokens], np.uint8)
-
-
-def _decode(batches: Iterator[pa.RecordBatch], spec: str, rows: int = 64) -> Iterator[pa.RecordBatch]:
-    offsets, values = _token_bytes(spec)
-    for batch in batches:
-        for row in range(0, batch.num_rows, rows):
-            here = batch.slice(row, rows)
-            lists = here.column("bpe_ids")
-            count = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            data, at = ragged(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), offsets, values)
-            ends, data = at[np.concatenate([[0], np.cumsum(count)])].tolist(), data.tobytes()
-            texts = [data[a : max(a, b - 1)].decode() for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*here.columns, pa.array(texts, pa.string())], [*batch.schema.names, "bpe_decoded"])
-
-
 class WordBpe:
     """A tokenizer file and the lexicon of one corpus. The file is read on the driver; its path is a parameter."""
 
     def __init__(self, path: str, lexicon: bytes | None = None):
         with open(path, encoding="utf-8") as file:
-            self.spec = prepared(file.read())
+            text = file.read()
+        self.spec, self.tokens = prepared(text), _tokens(text)
         self.lexicon = lexicon or build({})
 
     def fit(self, docs: DataFrame, text_column: str = "text", most: int = LEXICON) -> WordBpe:
@@ -309,11 +297,18 @@ class WordBpe:
 
         NULL and empty texts have no ids. The lexicon changes no result: words it lacks are merged as the tokenizer does.
         """
-        rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_column).alias("bpe_text"))
-        schema = StructType([*rows.drop("bpe_text").schema, StructField("bpe_ids", ArrayType(IntegerType()))])
-        return rows.mapInArrow(partial(_encode, spec=self.spec, lexicon=self.lexicon), schema)
+        field = docs.columns.index(text_column) if docs.columns.count(text_column) == 1 else None
+        beside = [F.col(text_column).alias("bpe_text")] if field is None else []  # else the text goes to Python once, in its row
+        rows = docs.select(F.struct(*docs.columns).alias("row"), *beside)
+        schema = StructType([rows.schema["row"], StructField("bpe_ids", ArrayType(IntegerType()))])
+        return rows.mapInArrow(partial(_encode, spec=self.spec, lexicon=self.lexicon, field=field), schema)
 
     def decode(self, encoded: DataFrame) -> DataFrame:
-        """``encoded`` with ``bpe_decoded``, the tokens of the column ``bpe_ids`` joined by spaces; empty without ids."""
-        schema = StructType([*encoded.schema, StructField("bpe_decoded", StringType())])
-        return encoded.mapInArrow(partial(_decode, spec=self.spec), schema)
+        """``encoded`` with ``bpe_decoded``, the tokens of the column ``bpe_ids`` joined by spaces; empty without ids.
+
+        Ids are looked up in Spark, so that a task that encodes and decodes keeps one Python worker, not two. Ids that the
+        vocabulary lacks are passed over, as the tokenizers library does.
+        """
+        tokens = F.split(F.lit("\0".join(self.tokens)), "\0")  # a constant of the plan, split once
+        decoded = F.array_join(F.transform("bpe_ids", lambda i: F.get(tokens, i)), " ")
+        return encoded.withColumn("bpe_decoded", F.coalesce(decoded, F.lit("")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -87,6 +88,33 @@ def test_documents_round_trip(spark, library, most):
         assert r.row.label == "l"
 
 
+def test_a_task_keeps_one_python_worker_and_one_copy_of_a_text(spark, monkeypatch):
+    tokenizer = bpe.WordBpe(PATH)
+    plan = tokenizer.decode(tokenizer.encode(documents(spark)).select("row.doc_id", "bpe_ids"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "bpe_text" not in plan
+    given, encode = [], bpe._Coder.encode
+    monkeypatch.setattr(bpe._Coder, "encode", lambda self, texts: given.append(sum(map(len, texts))) or encode(self, texts))
+    rows = pa.array([{"id": i, "text": "word " * 2000} for i in range(300)])
+    batch = pa.RecordBatch.from_arrays([rows], ["row"])
+    coded = pa.Table.from_batches(bpe._encode(iter([batch.slice(0, 0), batch.slice(3)]), tokenizer.spec, tokenizer.lexicon, 1))
+    assert coded["row"].to_pylist() == rows[3:].to_pylist() and set(map(len, coded["bpe_ids"].to_pylist())) == {2000}
+    assert sum(given) == 297 * 10_000 and max(given) < (1 << 18) + 10_000
+
+
+def test_text_of_a_nested_column(spark):
+    docs = spark.createDataFrame([(1, ("a b c",)), (2, (None,))], "id bigint, held struct<text: string>")
+    got = {r.row.id: r for r in bpe.WordBpe(PATH).encode(docs, "held.text").collect()}
+    assert len(got[1].bpe_ids) == 3 and got[2].bpe_ids == [] and got[1].row.held.text == "a b c"
+
+
+def test_decoding_of_given_ids(spark, library):
+    lists = [[], None, list(range(len(library.get_vocab()))), [5, 1 << 20, 7, -1, 9]]
+    coded = spark.createDataFrame(list(enumerate(lists)), "id int, bpe_ids array<int>")
+    got = {r.id: r.bpe_decoded for r in bpe.WordBpe(PATH).decode(coded).collect()}
+    assert got[0] == got[1] == "" and got[2] == library.decode(lists[2], skip_special_tokens=False)
+    assert got[3] == library.decode([5, 1 << 20, 7, 9], skip_special_tokens=False)
+
+
 def test_empty_table(spark):
     tokenizer = bpe.WordBpe(PATH).fit(frames.none(spark))
     assert tokenizer.decode(tokenizer.encode(frames.none(spark))).collect() == []
