@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from isobar.llm import jaccard
+from isobar.llm import components, jaccard
 from isobar.llm.components import connected
 from isobar.llm.hashing import pieces
 from isobar.session import stage
@@ -129,6 +129,64 @@ def test_common_shingles_of_a_stretch(monkeypatch):
     assert [r["n"] for r in rows if r["kind"] == 0] == [len(s) for s in sets]
 
 
+def test_regions_too_large_for_sketches(spark, monkeypatch):
+    """Dealt out among pivots first, in the same pass as small regions; what is open then is joined by Voronoi regions."""
+    monkeypatch.setattr(jaccard, "SKETCH_PART", 16)
+    windows, whole = [], jaccard.Join.window_parts
+    monkeypatch.setattr(jaccard.Join, "window_parts", lambda *a: windows.append(1) or whole(*a))
+    rows = near_copies(seed=8, groups=4, copies=30)
+    shared = " ".join(f"shared{i}" for i in range(100))
+    rows |= {1000 + i: shared + " " + " ".join(f"own{i // 2}x{j}" for j in range(22)) + f" end{i}" for i in range(40)}
+    assert joined(frame(spark, rows), region=6, pivots=2) == expected(rows)
+    assert windows
+
+
+def test_crowded_regions_take_few_passes(spark, monkeypatch):
+    """Texts go to the tasks that join once for all regions, and once more for what is still open."""
+    passes, run = [], jaccard.Join._run
+    monkeypatch.setattr(jaccard.Join, "_run", lambda self, rows, texts, work, schema: passes.append(work.__name__) or run(self, rows, texts, work, schema))
+    rows = near_copies()
+    assert joined(frame(spark, rows), region=8, pivots=2) == expected(rows)
+    assert passes.count("_join_parts") <= 2
+
+
+def test_edges_merged_in_a_task():
+    rng = np.random.default_rng(4)
+    for n, m in ((2, 1), (50, 30), (400, 390), (300, 2000)):
+        a, b = rng.integers(0, n, m), rng.integers(0, n, m)
+        low = list(range(n))
+        for _ in range(n):
+            for x, y in zip(a, b, strict=True):
+                low[x] = low[y] = min(low[x], low[y])
+        node, comp = components._forest(a, b)
+        assert dict(zip(node.tolist(), comp.tolist(), strict=True)) == {i: low[i] for i in range(n) if low[i] != i}
+    chain = np.random.default_rng(5).permutation(5000)
+    node, comp = components._forest(chain[1:], chain[:-1])
+    assert sorted(node.tolist()) == list(range(1, 5000)) and not comp.any()
+
+
+def test_components_within_a_task_need_no_round(spark, monkeypatch):
+    rounds, star = [], components._large_star
+    monkeypatch.setattr(components, "_large_star", lambda edges: rounds.append(1) or star(edges))
+    edges = [(i, i + 1) for i in range(300)] + [(1000, 1001)]
+    got = {r.node: r.comp for r in connected(spark.createDataFrame(edges, "a bigint, b bigint").coalesce(1)).collect()}
+    assert got == {**{i: 0 for i in range(301)}, 1000: 1000, 1001: 1000}
+    assert not rounds
+
+
+def test_components_of_edges_that_no_task_holds_together(spark, monkeypatch):
+    """With nothing merged, the rounds do all."""
+    monkeypatch.setattr(components, "_merged", lambda edges: stage(edges))
+    rounds, star = [], components._large_star
+    monkeypatch.setattr(components, "_large_star", lambda edges: rounds.append(1) or star(edges))
+    random.seed(6)
+    edges = [(i, i + 1) for i in range(60)] + [(100 + i, 200) for i in range(20)] + [(7, 8), (8, 7), (5, 5)]
+    random.shuffle(edges)
+    got = {r.node: r.comp for r in connected(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(20)}, 200: 100}
+    assert rounds
+
+
 def test_components(spark):
     random.seed(5)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 200), (300, 301), (301, 300)]
